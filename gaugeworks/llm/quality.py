@@ -43,7 +43,7 @@ RULES = (
     Rule("mean_word_long", "word_chars", "n_words", ">", 14000),
     Rule("symbols", "n_symbols", "n_words", ">", 300),
     Rule("stop_words", "n_stop_words", "n_words", "<", 40, 30),
-    Rule("same_lines", "n_dup_lines", "n_lines", ">", 300),
+    Rule("same_lines", "n_dup_lines", "n_lines", ">", 400),
 )
 
 

@@ -5,17 +5,32 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality
+from . import bpe, html_extract, packing, quality, token_store
+from .shared import new_folder
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_read(spark, sf_dir, "pages"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(quality.measure(_read(spark, sf_dir, "documents"))).drop("failed_rules", "n_lines", "n_stop_words")
 
 
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    store = token_store.write_store(docs, new_folder(spark, "token-store"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_store.digests(docs, store)
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, capacity=2048)
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
