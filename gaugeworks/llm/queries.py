@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html_extract, packing, quality, token_store
+from . import bpe, html_extract, minhash, packing, quality, token_store
 from .shared import new_folder
 
 
@@ -17,6 +17,10 @@ def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(_read(spark, sf_dir, "pages"))
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_read(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(quality.measure(_read(spark, sf_dir, "documents"))).drop("failed_rules", "n_lines", "n_stop_words")
 
