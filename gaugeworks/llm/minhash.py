@@ -41,8 +41,8 @@ from .shared import small_batches, written
 from .words import shingle_sets, split_words
 
 K = 64
-#: Members that a list holds against its others in one round: at least so many, and an eighth of a long list.
-PIVOTS = 16
+#: Members that a list holds against its others in one round: at least so many, and a quarter of a long list.
+PIVOTS = 32
 NO_ID = -(2**63)
 
 
@@ -157,8 +157,8 @@ def near_duplicates(df: DataFrame, size: int = 3, percent: int = 85, id_col: str
         named = written(named.drop("members").join(spans, "value"), "lists")
         if named.isEmpty():
             break
-        chosen = F.pmod(F.xxhash64("value", "node", F.lit(turn)), F.col("members")) < F.greatest(F.lit(PIVOTS), F.floor(F.col("members") / 8))
-        # a short list is held against itself whole; of a long one an eighth goes each turn
+        chosen = F.pmod(F.xxhash64("value", "node", F.lit(turn)), F.col("members")) < F.greatest(F.lit(PIVOTS), F.floor(F.col("members") / 4))
+        # a short list is held against itself whole; of a long one a quarter goes each turn
         chosen = (F.col("members") <= PIVOTS) | chosen
         pivots = named.filter(chosen).select("value", F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("component").alias("side"))
         pairs = other(named, pivots).filter(F.col("component") != F.col("side")).select(*pair()).distinct()
