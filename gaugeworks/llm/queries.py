@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html_extract, minhash, packing, quality, token_store
+from . import bpe, html_extract, minhash, nbsvm, packing, quality, secret_scan, token_store
 from .shared import new_folder
 
 
@@ -31,6 +31,15 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.digests(docs, store)
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(_read(spark, sf_dir, "documents")).drop("found")
+
+
+def op7_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return nbsvm.score(docs, nbsvm.train(docs, _read(spark, sf_dir, "labels")))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, capacity=2048)
 
