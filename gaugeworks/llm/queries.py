@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_extract, minhash, nbsvm, packing, quality, secret_scan, token_store, topk
+from . import bpe, html_extract, minhash, nbsvm, packing, pii, quality, secret_scan, token_store, topk
 from .shared import new_folder
 
 
@@ -36,6 +36,11 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_read(spark, sf_dir, "documents")).drop("found")
 
 
+def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.replace(_read(spark, sf_dir, "documents"), key="a key that the owner of the corpus keeps")
+    return out.select("doc_id", "text", "n_entities", *[F.col("kinds")[k].cast("long").alias(f"n_{k}") for k in pii.PATTERNS])
+
+
 def op7_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     return nbsvm.score(docs, nbsvm.train(docs, _read(spark, sf_dir, "labels")))
