@@ -10,11 +10,14 @@
    frequency these are the rare ones, so that widely shared passages make no lists. Values of one
    class only take places in that order but make no list.
 4. Candidates from the lists, without pairs of copies: in the first round each list ties its members
-   to the member whose values are shared most. What verifies is joined to components. Then each list
-   holds on only while it spans several components: a few of its members are held against all the
-   others of other components and leave the list, until no list is left. A list of copies is one
-   component after the first round, so it never grows into its square; every pair of different
-   components that share a list value is held against each other once.
+   to the member whose values are shared most; what verifies is joined to components. From then on a
+   list counts only while it spans several components. Short lists are held against themselves. A long
+   list is a crowd of strongly changed copies or of texts around one passage. Its members get exact
+   lists: all shingles of their full sets in the order of rising frequency, each with the number of
+   shingles from its place on, which bounds what a pair that first meets there can share. That leaves
+   few in a crowd, as those near the middle are one component and those far out meet nobody in time.
+   What still makes a long list is worked off in turns, a quarter of it against the rest, so every
+   pair of different components that share a list is compared in the end.
 5. The union of two sketches is itself the sketch of the union; the share of its k least values that
    both have estimates the similarity and drops candidates far below. The rest are confirmed on their
    full sets, counted exactly.
@@ -33,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -42,7 +45,7 @@ from .words import shingle_sets, split_words
 
 K = 64
 #: Members that a list holds against its others in one round: at least so many, and a quarter of a long list.
-PIVOTS = 32
+PIVOTS = 64
 NO_ID = -(2**63)
 
 
@@ -85,15 +88,21 @@ def _prefixes(classes: DataFrame, percent: int) -> DataFrame:
     return own.filter(left > 0).select("node", "n", "weight", F.explode(F.slice("seen", F.lit(1), left)).alias("x")).select(F.col("x.value").alias("value"), "node", "n", "weight")
 
 
-def _sizes_fit(percent: int):  # noqa: ANN202
-    return (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
+def _could_link(percent: int) -> Column:
+    """Whether two sets of n and m shingles, own and own_m of them not alone, can reach the threshold."""
+    common = F.least("own", "own_m")
+    return 100 * common >= percent * (F.col("n") + F.col("m") - common)
+
+
+def _of_nodes(table: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows of a wide table that written pairs name: a small list of nodes is broadcast, so the table isn't shuffled for a few."""
+    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    return table.join(written(nodes, "nodes"), "node", "left_semi")
 
 
 def _confirmed(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of distinct pairs (u, v) of nodes those whose sets reach the threshold."""
+    """Of distinct pairs (u, v) of nodes those whose sets reach the threshold, written."""
     least = percent / 100 - 5.2 * math.sqrt(percent / 100 * (1 - percent / 100) / K)
-    a = sketches.select(F.col("node").alias("u"), F.col("sketch").alias("a"))
-    b = sketches.select(F.col("node").alias("v"), F.col("sketch").alias("b"))
 
     def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,10 +121,6 @@ def _confirmed(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent:
                     keep[i] = len(twice) >= least * union
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns[:2]], ["u", "v"])
 
-    likely = pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(estimate, "u long, v long")
-    c = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
-    d = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
-
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
@@ -126,7 +131,33 @@ def _confirmed(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent:
                 keep[i] = 100 * common >= percent * (len(both) - common)
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns[:2]], ["u", "v"])
 
-    return likely.join(c, "u").join(d, "v").select("u", "v", "a", "b").mapInArrow(confirm, "u long, v long")
+    def beside(some: DataFrame, table: DataFrame, col: str) -> DataFrame:
+        own = _of_nodes(table, some).select("node", col)
+        return some.join(own.toDF("u", "a"), "u").join(own.toDF("v", "b"), "v").select("u", "v", "a", "b")
+
+    pairs = written(pairs, "pairs")
+    likely = written(beside(pairs, sketches, "sketch").mapInArrow(estimate, "u long, v long"), "likely")
+    return written(beside(likely, sets, "shingles").mapInArrow(confirm, "u long, v long"), "links")
+
+
+def _exact_lists(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(value, node, n, own): the rarest shingles of each node's full set that two of the nodes have; own: shingles from there on."""
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                own = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(1)]
+                size = [len(x) for x in own]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column(0).to_numpy(), size)), pa.array(np.repeat(size, size)), pa.array(np.concatenate(own))], ["node", "n", "value"])
+
+    each = written(sets.join(nodes, "node", "left_semi").select("node", "shingles").mapInArrow(shingles, "node long, n long, value long"), "shingles")
+    often = each.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
+    own = each.join(often, "value").groupBy("node").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("seen"))
+    alone = F.col("n") - F.size("seen")
+    room = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1 - alone
+    listed = own.filter(room > 0).select("node", "n", alone.alias("alone"), F.posexplode(F.slice("seen", F.lit(1), room.cast("int"))).alias("pos", "x"))
+    return listed.select(F.col("x.value").alias("value"), "node", "n", (F.col("n") - F.col("alone") - F.col("pos")).alias("own"))
 
 
 def near_duplicates(df: DataFrame, size: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -136,39 +167,65 @@ def near_duplicates(df: DataFrame, size: int = 3, percent: int = 85, id_col: str
     node = F.coalesce(F.min("id"), F.lit(NO_ID) + F.pmod(F.xxhash64("fp"), F.lit(2**62)))
     classes = written(with_words.groupBy("fp").agg(node.alias("node"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "classes")
     lists = written(_prefixes(classes, percent), "lists")
-    linked = lists.select("node").distinct()
-    sketches = written(classes.join(linked, "node", "left_semi"), "sketches")
+    sketches = written(classes.join(lists.select("node").distinct(), "node", "left_semi"), "sketches")
     sets = written(_full_sets(df, sketches, size, id_col, text_col), "sets")
-
-    def other(left: DataFrame, pivots: DataFrame) -> DataFrame:
-        return left.join(pivots, "value").filter((F.col("node") != F.col("pivot")) & _sizes_fit(percent))
-
-    def pair() -> list:
-        return [F.greatest("node", "pivot").alias("u"), F.least("node", "pivot").alias("v")]
-
-    top = lists.groupBy("value").agg(F.max(F.struct("weight", F.col("n").alias("m"), F.col("node").alias("pivot"))).alias("top")).select("value", "top.pivot", "top.m")
-    edges = written(_confirmed(other(lists, top).select(*pair()).distinct(), sketches, sets, percent), "edges")
-    label = written(components(edges), "labels")
-    turn = 0
-    while True:
-        turn += 1
-        named = lists.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        spans = named.groupBy("value").agg(F.count("*").alias("members"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("value", "members")
-        named = written(named.drop("members").join(spans, "value"), "lists")
-        if named.isEmpty():
-            break
-        chosen = F.pmod(F.xxhash64("value", "node", F.lit(turn)), F.col("members")) < F.greatest(F.lit(PIVOTS), F.floor(F.col("members") / 4))
-        # a short list is held against itself whole; of a long one a quarter goes each turn
-        chosen = (F.col("members") <= PIVOTS) | chosen
-        pivots = named.filter(chosen).select("value", F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("component").alias("side"))
-        pairs = other(named, pivots).filter(F.col("component") != F.col("side")).select(*pair()).distinct()
-        found = written(_confirmed(pairs, sketches, sets, percent), "edges")
-        lists = named.filter(~chosen).select("value", "node", "n", "weight")
-        if found.isEmpty():
-            continue
-        edges = edges.unionByName(found)
-        label = written(components(edges), "labels")
-    return _labelled(rows, classes, label, id_col)
+    links = _Links(sketches, sets, percent)
+    lists = lists.withColumns({"own": F.col("n"), "component": F.col("node")})
+    links.add(links.pairs(lists, _middle(lists, "weight")))
+    lists = links.spanning(lists)
+    short = lists.filter(F.col("members") <= PIVOTS)
+    links.add(links.pairs(short, short.select("value", *_as_pivot())))
+    long = links.spanning(lists.filter(F.col("members") > PIVOTS))
+    if not long.isEmpty():
+        lists = links.spanning(_exact_lists(sets, long.select("node").distinct(), percent))
+        links.add(links.pairs(lists, _middle(lists, "own")))
+        lists = links.spanning(lists)
+        while not lists.isEmpty():
+            # a turn's members are held against all others of their list and leave it
+            turn = F.pmod(F.xxhash64("value", "node"), F.col("members")) < F.greatest(F.lit(PIVOTS), F.floor(F.col("members") / 4))
+            turn = turn | (F.col("members") <= PIVOTS)
+            links.add(links.pairs(lists, lists.filter(turn).select("value", *_as_pivot())))
+            lists = links.spanning(lists.filter(~turn))
+    return _labelled(rows, classes, links.label, id_col)
+
+
+def _as_pivot() -> list[Column]:
+    return [F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("own").alias("own_m"), F.col("component").alias("side")]
+
+
+def _middle(lists: DataFrame, by: str) -> DataFrame:
+    """Of each list the member that most of the others are likely near to."""
+    top = lists.groupBy("value").agg(F.max(F.struct(by, *_as_pivot())).alias("top"))
+    return top.select("value", "top.pivot", "top.m", "top.own_m", "top.side")
+
+
+class _Links:
+    """The links confirmed so far, as components."""
+
+    def __init__(self, sketches: DataFrame, sets: DataFrame, percent: int):
+        self.sketches, self.sets, self.percent = sketches, sets, percent
+        self.edges: DataFrame | None = None
+        self.label: DataFrame | None = None
+
+    def pairs(self, lists: DataFrame, pivots: DataFrame) -> DataFrame:
+        near = lists.join(pivots, "value").filter((F.col("component") != F.col("side")) & _could_link(self.percent))
+        return near.select(F.greatest("node", "pivot").alias("u"), F.least("node", "pivot").alias("v")).distinct()
+
+    def add(self, pairs: DataFrame) -> None:
+        found = _confirmed(pairs, self.sketches, self.sets, self.percent)
+        if self.label is None or not found.isEmpty():
+            self.edges = found if self.edges is None else self.edges.unionByName(found)
+            self.label = written(components(self.edges), "labels")
+
+    def spanning(self, lists: DataFrame) -> DataFrame:
+        """The lists that span several components, without members that no other of their list could link with, and with their number of members; written."""
+        named = lists.drop("component", "members").join(self.label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        least = named.groupBy("value").agg(F.min("n").alias("m"))
+        far = F.greatest(F.col("m"), F.ceil(self.percent * F.col("n") / 100))
+        near = named.join(least, "value").filter(100 * F.col("own") >= self.percent * (F.col("n") + far - F.col("own"))).drop("m")
+        near = written(near, "near")
+        spans = near.groupBy("value").agg(F.count("*").alias("members"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("value", "members")
+        return written(near.join(spans, "value"), "lists")
 
 
 def _full_sets(df: DataFrame, sketches: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
@@ -190,3 +247,12 @@ def _labelled(rows: DataFrame, classes: DataFrame, label: DataFrame, id_col: str
     both = out.select("id", "n_shingles", "component").unionByName(none)
     kept = F.coalesce(F.col("id") == F.col("component"), F.col("component").isNull())
     return both.select(F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"), kept.alias("kept"))
+
+
+def keep_one(df: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All columns of df, of one document of each component: the one of least id. Of repeated ids the least row stays; rows without id can't be named and stay."""
+    kept = near_duplicates(df, size, percent, id_col, text_col).filter(F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__id")).distinct()
+    rows = df.select(F.col(f"`{id_col}`").alias("__id"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"))
+    named = rows.join(kept, "__id").groupBy("__id").agg(F.min("__row").alias("__row")).select("__row")
+    both = named.unionByName(rows.filter("__id IS NULL").select("__row"))
+    return both.select(*[F.col("__row").getField(c).alias(c) for c in df.columns])
