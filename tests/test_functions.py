@@ -90,6 +90,6 @@ def test_pages(spark):
     assert ok("404", "", []) == (False, "HTTP 404") and ok("200", "<TITLE>Sign In</TITLE>x", ["x"])[1] == "soft-error page" and not ok("200", "a", ["a", "b"])[0]
     form = '<input name="f-0-status" value="proposed"><input name="f-0-year" value="2020"><input name="f-1-status" value="Operating">'
     found = one(spark, pages.form_timeline(F.col("a")), a=form)
-    assert [(x.index, x.status, x.year) for x in found] == [(0, "proposed", "2020"), (1, "Operating", None)]
+    assert [(x["index"], x.status, x.year) for x in found] == [(0, "proposed", "2020"), (1, "Operating", None)]
     assert one(spark, pages.vessel_numbers(F.col("a")), a="IMO 1234567, imo#7654321, IMO 12") == ["1234567", "7654321"]
     assert [x.id for x in one(spark, pages.linked_entities(F.col("a")), a='<a href="/entities/5/">A</a><a href="/x">B</a>')] == ["5"]
