@@ -54,38 +54,35 @@ def least_overlap(threshold: float, k: int = K) -> int:
     return max(1, math.floor(k * threshold - 5.2 * math.sqrt(k * threshold * (1 - threshold))))
 
 
-def _sets(df: DataFrame, size: int, id_col: str, text_col: str, full: bool) -> DataFrame:
-    """(id, n_shingles, fp, sketch) for every row, or (id, n_shingles, fp, shingles) with the whole set as bytes."""
+def _sketches(df: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, n_shingles, fp, sketch) for every row; fp: a 128-bit hash of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             sets = shingle_sets(split_words(batch.column(1).to_pylist()), size)
             fp = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
             n = pa.array([len(s) for s in sets], pa.int64())
-            if full:
-                last = pa.array([s.tobytes() for s in sets], pa.binary())
-            else:
-                edge = np.concatenate(([0], np.cumsum([min(K, len(s)) for s in sets]))).astype(np.int32)
-                flat = np.concatenate([s[:K] for s in sets]).view(np.int64)
-                last = pa.ListArray.from_arrays(pa.array(edge), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column(0), n, pa.array(fp, pa.binary()), last], ["id", "n_shingles", "fp", "last"])
+            edge = np.concatenate(([0], np.cumsum([min(K, len(s)) for s in sets]))).astype(np.int32)
+            flat = np.concatenate([s[:K] for s in sets]).view(np.int64)
+            sketch = pa.ListArray.from_arrays(pa.array(edge), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column(0), n, pa.array(fp, pa.binary()), sketch], ["id", "n_shingles", "fp", "sketch"])
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"id long, n_shingles long, fp binary, last {'binary' if full else 'array<long>'}").withColumnRenamed("last", "shingles" if full else "sketch")
+    return rows.mapInArrow(run, "id long, n_shingles long, fp binary, sketch array<long>")
 
 
 def _prefixes(classes: DataFrame, percent: int) -> DataFrame:
-    """(value, node, n, weight): the rare values of each sketch, of those that several classes have. weight: how widely the node's values are shared."""
+    """(node, n, weight, fp, values): the rare values of each sketch, of those that several classes have. weight: how widely the node's values are shared."""
     t = least_overlap(percent / 100)
     size = F.size("sketch")
     exact = F.ceil(F.lit(percent) * F.col("n") / 100).cast("int")  # of sets that are their own sketch, and whose partners are
     need = F.when(F.col("n") * 100 <= percent * K, F.greatest(exact, F.lit(1))).otherwise(F.lit(t))
-    values = classes.select("node", "n", (size - need + 1).alias("room"), size.alias("size"), F.explode("sketch").alias("value"))
+    values = classes.select("node", "n", "fp", (size - need + 1).alias("room"), size.alias("size"), F.explode("sketch").alias("value"))
     often = values.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
     shared = values.join(often, "value")
-    own = shared.groupBy("node").agg(F.first("n").alias("n"), F.first("room").alias("room"), F.first("size").alias("size"), F.sum("df").alias("weight"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("seen"))
+    own = shared.groupBy("node").agg(F.first("n").alias("n"), F.first("room").alias("room"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.sum("df").alias("weight"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("seen"))
     left = F.col("room") - (F.col("size") - F.size("seen"))
-    return own.filter(left > 0).select("node", "n", "weight", F.explode(F.slice("seen", F.lit(1), left)).alias("x")).select(F.col("x.value").alias("value"), "node", "n", "weight")
+    return own.filter(left > 0).select("node", "n", "weight", "fp", F.transform(F.slice("seen", F.lit(1), left), lambda x: x.value).alias("values"))
 
 
 def _could_link(percent: int) -> Column:
@@ -100,8 +97,8 @@ def _of_nodes(table: DataFrame, pairs: DataFrame) -> DataFrame:
     return table.join(written(nodes, "nodes"), "node", "left_semi")
 
 
-def _confirmed(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of distinct pairs (u, v) of nodes those whose sets reach the threshold, written."""
+def _confirmed(pairs: DataFrame, sketches: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame:
+    """Of distinct pairs (u, v) of nodes those whose sets reach the threshold, written. With sketches these estimate first."""
     least = percent / 100 - 5.2 * math.sqrt(percent / 100 * (1 - percent / 100) / K)
 
     def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,8 +133,9 @@ def _confirmed(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent:
         return some.join(own.toDF("u", "a"), "u").join(own.toDF("v", "b"), "v").select("u", "v", "a", "b")
 
     pairs = written(pairs, "pairs")
-    likely = written(beside(pairs, sketches, "sketch").mapInArrow(estimate, "u long, v long"), "likely")
-    return written(beside(likely, sets, "shingles").mapInArrow(confirm, "u long, v long"), "links")
+    if sketches is not None:
+        pairs = written(beside(pairs, sketches, "sketch").mapInArrow(estimate, "u long, v long"), "likely")
+    return written(beside(pairs, sets, "shingles").mapInArrow(confirm, "u long, v long"), "links")
 
 
 def _exact_lists(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -162,30 +160,37 @@ def _exact_lists(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(df: DataFrame, size: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row: documents linked where 100 * shared >= percent * union of their shingles."""
-    rows = written(_sets(df, size, id_col, text_col, full=False), "sketches")
+    rows = written(_sketches(df, size, id_col, text_col), "sketches")
     with_words = rows.filter("fp IS NOT NULL")
     node = F.coalesce(F.min("id"), F.lit(NO_ID) + F.pmod(F.xxhash64("fp"), F.lit(2**62)))
     classes = written(with_words.groupBy("fp").agg(node.alias("node"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "classes")
-    lists = written(_prefixes(classes, percent), "lists")
-    sketches = written(classes.join(lists.select("node").distinct(), "node", "left_semi"), "sketches")
-    sets = written(_full_sets(df, sketches, size, id_col, text_col), "sets")
-    links = _Links(sketches, sets, percent)
-    lists = lists.withColumns({"own": F.col("n"), "component": F.col("node")})
-    links.add(links.pairs(lists, _middle(lists, "weight")))
+    listed = written(_prefixes(classes, percent), "listed")
+    sets = written(_full_sets(df, listed, size, id_col, text_col), "sets")
+    links = _Links(sets, percent)
+    lists = listed.select("node", "n", F.col("n").alias("own"), F.col("node").alias("component"), "weight", F.explode("values").alias("value"))
+    links.add(links.pairs(lists, _middle(lists, "weight")), classes)
+    links.settle()
     lists = links.spanning(lists)
     short = lists.filter(F.col("members") <= PIVOTS)
-    links.add(links.pairs(short, short.select("value", *_as_pivot())))
-    long = links.spanning(lists.filter(F.col("members") > PIVOTS))
+    links.add(links.pairs(short, short.select("value", *_as_pivot())), classes)
+    long = lists.filter(F.col("members") > PIVOTS)
     if not long.isEmpty():
         lists = links.spanning(_exact_lists(sets, long.select("node").distinct(), percent))
         links.add(links.pairs(lists, _middle(lists, "own")))
+        links.settle()
         lists = links.spanning(lists)
         while not lists.isEmpty():
             # a turn's members are held against all others of their list and leave it
             turn = F.pmod(F.xxhash64("value", "node"), F.col("members")) < F.greatest(F.lit(PIVOTS), F.floor(F.col("members") / 4))
             turn = turn | (F.col("members") <= PIVOTS)
-            links.add(links.pairs(lists, lists.filter(turn).select("value", *_as_pivot())))
-            lists = links.spanning(lists.filter(~turn))
+            new = links.add(links.pairs(lists, lists.filter(turn).select("value", *_as_pivot())))
+            lists = lists.filter(~turn)
+            if lists.isEmpty():
+                break
+            if new:
+                links.settle()
+            lists = links.spanning(lists)
+    links.settle()
     return _labelled(rows, classes, links.label, id_col)
 
 
@@ -200,22 +205,32 @@ def _middle(lists: DataFrame, by: str) -> DataFrame:
 
 
 class _Links:
-    """The links confirmed so far, as components."""
+    """The links confirmed so far, and the components of those that are settled."""
 
-    def __init__(self, sketches: DataFrame, sets: DataFrame, percent: int):
-        self.sketches, self.sets, self.percent = sketches, sets, percent
+    def __init__(self, sets: DataFrame, percent: int):
+        self.sets, self.percent = sets, percent
         self.edges: DataFrame | None = None
         self.label: DataFrame | None = None
+        self.fresh = True
 
     def pairs(self, lists: DataFrame, pivots: DataFrame) -> DataFrame:
         near = lists.join(pivots, "value").filter((F.col("component") != F.col("side")) & _could_link(self.percent))
         return near.select(F.greatest("node", "pivot").alias("u"), F.least("node", "pivot").alias("v")).distinct()
 
-    def add(self, pairs: DataFrame) -> None:
-        found = _confirmed(pairs, self.sketches, self.sets, self.percent)
-        if self.label is None or not found.isEmpty():
-            self.edges = found if self.edges is None else self.edges.unionByName(found)
-            self.label = written(components(self.edges), "labels")
+    def add(self, pairs: DataFrame, sketches: DataFrame | None = None) -> bool:
+        """Confirm pairs and keep their links; whether there are any."""
+        found = _confirmed(pairs, sketches, self.sets, self.percent)
+        if self.edges is None:
+            self.edges = found
+        elif found.isEmpty():
+            return False
+        else:
+            self.edges, self.fresh = self.edges.unionByName(found), True
+        return True
+
+    def settle(self) -> None:
+        if self.fresh:
+            self.label, self.fresh = written(components(self.edges), "labels"), False
 
     def spanning(self, lists: DataFrame) -> DataFrame:
         """The lists that span several components, without members that no other of their list could link with, and with their number of members; written."""
@@ -223,19 +238,26 @@ class _Links:
         least = named.groupBy("value").agg(F.min("n").alias("m"))
         far = F.greatest(F.col("m"), F.ceil(self.percent * F.col("n") / 100))
         near = named.join(least, "value").filter(100 * F.col("own") >= self.percent * (F.col("n") + far - F.col("own"))).drop("m")
-        near = written(near, "near")
         spans = near.groupBy("value").agg(F.count("*").alias("members"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("value", "members")
         return written(near.join(spans, "value"), "lists")
 
 
-def _full_sets(df: DataFrame, sketches: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(node, shingles) of the classes that have lists, from their texts."""
-    key = F.coalesce(F.col("id"), F.lit(NO_ID))
-    docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    wanted = sketches.select(F.when(F.col("node") < F.lit(NO_ID) + 2**62, F.lit(NO_ID)).otherwise(F.col("node")).alias("key")).distinct()
-    texts = docs.withColumn("key", key).join(wanted, "key", "left_semi").select("id", "text")
-    full = _sets(texts, size, "id", "text", full=True).filter("fp IS NOT NULL").select("fp", "shingles").dropDuplicates(["fp"])
-    return full.join(sketches.select("fp", "node"), "fp").select("node", "shingles")
+def _full_sets(df: DataFrame, listed: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """(node, shingles) of the classes that have lists, from their texts. Only texts of a class's least id are read; a text of that id whose set is another class's is passed over."""
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+    docs = df.select(key.alias("key"), F.col(text_col).cast("string").alias("text"))
+    wanted = listed.select(F.when(F.col("node") < F.lit(NO_ID) + 2**62, F.lit(NO_ID)).otherwise(F.col("node")).alias("key"), "node", "fp")
+    # repeated rows are dropped before their sets are made: the join has dealt them by key already
+    texts = docs.join(wanted, "key").withColumn("hash", F.xxhash64("text")).dropDuplicates(["key", "node", "fp", "hash"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            sets = shingle_sets(split_words(batch.column(1).to_pylist()), size)
+            raw = [s.tobytes() for s in sets]
+            own = pa.array([xxhash.xxh3_128_digest(r) == fp.as_py() for r, fp in zip(raw, batch.column(2), strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(own), pa.array(raw, pa.binary()).filter(own)], ["node", "shingles"])
+
+    return texts.select("node", "text", "fp").mapInArrow(run, "node long, shingles binary")
 
 
 def _labelled(rows: DataFrame, classes: DataFrame, label: DataFrame, id_col: str) -> DataFrame:
