@@ -122,3 +122,25 @@ def test_latest_status_as_a_stream(spark, tmp_path):
     query = stream.writeStream.outputMode("complete").format("memory").queryName("latest_status_test").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert [(r.unit_id, r.status) for r in spark.table("latest_status_test").collect()] == [(1, "operating")]
+
+
+def test_subnames_merge_only_when_the_sum_fits_better(spark):
+    kinds = "country_norm string, name_norm string, section string, capacity double, n_units int"
+    report = spark.createDataFrame([("o", "oman lng", "l", 7.8, 1), ("o", "qalhat", "l", 3.7, 1), ("x", "north", "l", 5.0, 1), ("x", "south", "l", 5.0, 1)], kinds)
+    register = spark.createDataFrame([("o", "oman qalhat", "l", 11.4, 3), ("x", "north south", "l", 5.0, 2)], kinds)
+    alias = spark.createDataFrame([], "country_norm string, alias_norm string, section string")
+    plain = report.withColumn("name_norm", reconcile.F.regexp_replace("name_norm", " lng", ""))
+    out = sorted((r.name_norm, r.register_name, r.survivor) for r in reconcile.merge_subnames(plain, register, alias).collect())
+    assert out == [("oman", "oman qalhat", "oman"), ("qalhat", "oman qalhat", "oman")]
+
+
+def test_units_align_once_and_whole_rows_do_not(spark):
+    rows = spark.createDataFrame([("m", 1, "Arzew GL1Z", 8.0), ("m", 2, "Arzew GL1Z", 8.0), ("m", 3, "Arzew GL2Z", 8.4), ("p", 1, "Portovaya T1", 1.5)], "match string, row int, site string, capacity double")
+    units = spark.createDataFrame([("m", 1, "GL1Z", 8.0, 17.0), ("m", 2, "GL2Z", 8.4, 17.0), ("p", 1, "T1", 0.75, 1.5)], "match string, row int, unit_name string, capacity double, total double")
+    assert sorted(map(tuple, reconcile.align_units(rows, units).collect())) == [("m", 1, "GL1Z"), ("m", 3, "GL2Z")]
+
+
+def test_prose_turns_rows_off(spark):
+    rows = spark.createDataFrame([(1, "indonesia", "Bontang Train F", 2.9, True), (2, "indonesia", "Bontang Train F", 2.9, True), (3, "indonesia", "Bontang Train E", 2.9, True)], "row int, country_norm string, site string, capacity double, operating boolean")
+    fixes = spark.createDataFrame([(1, "indonesia", "Train F", 2.9)], "id int, country_norm string, site string, capacity double")
+    assert [(r.row, r.operating) for r in reconcile.correct_by_prose(rows, fixes).orderBy("row").collect()] == [(1, False), (2, True), (3, True)]
