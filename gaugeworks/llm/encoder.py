@@ -7,18 +7,20 @@ space beside a blank go to the library whole.
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
 
 import numpy as np
 
-#: Chunks kept per worker, and the longest chunk that is kept: about 170 MB at most.
-KEPT, LONGEST = 900_000, 48
-_UNUSUAL = re.compile(r" (?=\s)| $|[^\S \n] | (?=<\|)")
+#: Chunks kept per worker, and the longest chunk that is kept: about 190 MB at most.
+KEPT, LONGEST = 1_000_000, 48
+#: New chunks that the library gets in one text.
+TOGETHER = 1000
 _TAIL = ".,!?;:#$%&*|)"
 
 
 class ChunkEncoder:
+    """Chunks are kept without their blank, as the chunk's ids after a blank; a text's first chunk is kept behind a NUL."""
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -26,62 +28,102 @@ class ChunkEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[str, bytes] = {}
-
-    def _library(self, chunks: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
+        self.lowers = "Lowercase" in str(self.tokenizer.normalizer)
+        # where one chunk's ids end and the next one's begin: a token with the mark of a blank, or of a word's end
+        self.suffix = self.tokenizer.model.end_of_word_suffix or ""
+        vocabulary = self.tokenizer.get_vocab()
+        self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.edge[[i for t, i in vocabulary.items() if (t.endswith(self.suffix) if self.suffix else t.startswith("\u0120"))]] = True
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
+    def _after_blank(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of every chunk after a blank. Many chunks make one text, where its ids can be told apart again."""
+        together = [c for c in chunks if len(c) <= LONGEST and (c.isalpha() if self.suffix else "<|" not in c)]
+        out: dict[str, bytes] = {}
+        groups = [together[i : i + TOGETHER] for i in range(0, len(together), TOGETHER)]
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, "<u4")
+            cut = 4 * (np.flatnonzero(self.edge[ids]) + bool(self.suffix))
+            cuts = [0, *cut.tolist()] if self.suffix else [*cut.tolist(), 4 * len(ids)]
+            if len(cuts) == len(group) + 1 and cuts[0] == 0 and cuts[-1] == 4 * len(ids):  # else some chunk has no edge of its own, or several
+                flat = ids.tobytes()
+                out.update(zip(group, [flat[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
+        alone = [c for c in chunks if c not in out]
+        out.update(zip(alone, self._library([" " + c for c in alone]), strict=True))
+        return out
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers; null is the empty text."""
-        known, out, later, whole = self.known, [b""] * len(texts), [], []
+        get, out = self.known.get, [b""] * len(texts)
+        later: list[tuple[int, list[str], list[bytes | None], list[int]]] = []
         missing: set[str] = set()
         for i, text in enumerate(texts):
             if not text:
                 continue
-            if "  " in text or _UNUSUAL.search(text):
-                whole.append(i)
-                continue
-            head, *rest = text.split(" ")
-            chunks = [head, *map(" ".__add__, rest)]
-            later.append((i, chunks))
-            missing.update([c for c in chunks if c not in known])
+            chunks = (_lowered(text) if self.lowers else text).split(" ")
+            chunks[0] = "\0" + chunks[0]
+            ids = list(map(get, chunks))
+            if None in ids:
+                gaps = [k for k, x in enumerate(ids) if x is None]
+                missing.update([chunks[k] for k in gaps])
+                later.append((i, chunks, ids, gaps))
+            else:
+                out[i] = b"".join(ids)
+        if not later:
+            return out
         new = self._missing(missing)
-        both = known if not new else _Either(known, new)
-        for i, chunks in later:
-            out[i] = b"".join(map(both.__getitem__, chunks))
+        whole = []
+        for i, chunks, ids, gaps in later:
+            for k in gaps:
+                ids[k] = new.get(chunks[k])
+            if None in ids:  # white space beside a blank, or a special token after one
+                whole.append(i)
+            else:
+                out[i] = b"".join(ids)
         for i, ids in zip(whole, self._library([texts[i] for i in whole]), strict=True):
             out[i] = ids
-        room = KEPT - len(known)
-        if room > 0 and new:
-            known.update([(k, v) for k, v in new.items() if len(k) <= LONGEST][:room])
+        room = KEPT - len(self.known)
+        if room > 0:
+            self.known.update([(k, v) for k, v in new.items() if len(k) <= LONGEST][:room])
         return out
 
     def _missing(self, missing: set[str]) -> dict[str, bytes]:
-        """Ids of unknown chunks. Closing punctuation after a letter or digit is a pre-token of its own, encoded once."""
-        known, parts, plain = self.known, {}, set()
+        """Ids of unknown chunks but those that can't be cut off safely. Closing punctuation after a letter or digit is a pre-token of its own."""
+        known, parts, plain, first = self.known, [], set(), []
         for chunk in missing:
+            if not chunk or chunk[0].isspace() or chunk.startswith("<|"):
+                continue
+            if chunk[0] == "\0":
+                first.append(chunk)
+                continue
             head = chunk.rstrip(_TAIL)
             if len(head) < len(chunk) and head and head[-1].isalnum() and "<|" not in chunk:
-                tail = chunk[len(head) :]
-                parts[chunk] = head, tail
-                plain.update(x for x in (head, tail) if x not in known)
+                parts.append((chunk, head, chunk[len(head) :]))
+                if head not in known:
+                    plain.add(head)
             else:
                 plain.add(chunk)
-        plain = sorted(plain)
-        new = dict(zip(plain, self._library(plain), strict=True)) if plain else {}
-        either = _Either(known, new)
-        for chunk, (head, tail) in parts.items():
-            new[chunk] = either[head] + either[tail]
+        new = self._after_blank(sorted(plain)) if plain else {}
+        tails = sorted({t for _, _, t in parts})
+        tail_ids = dict(zip(tails, self._library(tails), strict=True))
+        for chunk, head, tail in parts:
+            own = known.get(head)
+            new[chunk] = (new[head] if own is None else own) + tail_ids[tail]
+        new.update(zip(first, self._library([c[1:] for c in first]), strict=True))
         return new
 
 
-class _Either:
-    def __init__(self, a: dict, b: dict):
-        self.a, self.b = a, b
-
-    def __getitem__(self, key: str) -> bytes:
-        value = self.a.get(key)
-        return self.b[key] if value is None else value
+def _lowered(text: str) -> str:
+    """A Latin-1 text in lower case, as the vocabulary has it anyway: fewer chunks to keep. Other letters are left to the library."""
+    if not text.isascii():
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+    return text if "<|" in text else text.lower()
 
 
 @lru_cache(maxsize=2)

@@ -109,10 +109,10 @@ def _put(path: str, parts: list[bytes]) -> None:
 
 def write_shard(path: str, ids: list[bytes]) -> None:
     """ids: each document's as little-endian u32."""
-    width = 2 if all(np.frombuffer(x, "<u4").max(initial=0) < 65536 for x in ids) else 4
-    lengths = np.array([len(x) // 4 for x in ids], "<u4").tobytes()
-    head = MAGIC + struct.pack("<IQQ", width, len(ids), sum(map(len, ids)) // 4) + lengths
-    _put(path, [head, *(np.frombuffer(x, "<u4").astype(f"<u{width}").tobytes() for x in ids)])
+    flat = np.frombuffer(b"".join(ids), "<u4")
+    width = 2 if flat.max(initial=0) < 65536 else 4
+    head = MAGIC + struct.pack("<IQQ", width, len(ids), len(flat)) + np.array([len(x) // 4 for x in ids], "<u4").tobytes()
+    _put(path, [head, flat.astype(f"<u{width}").tobytes()])
 
 
 class Shard:
