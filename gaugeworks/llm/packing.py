@@ -116,7 +116,7 @@ def pieces(df: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col: st
     return df.mapInArrow(cut, kinds).withColumnRenamed("id", id_col)
 
 
-def assign(cut: DataFrame, capacity: int, id_col: str = "doc_id", rows_per_group: int = 50_000) -> DataFrame:
+def assign(cut: DataFrame, capacity: int, id_col: str = "doc_id", rows_per_group: int = 2_000) -> DataFrame:
     """Adds sequence_id and offset to a table of pieces that can be read more than once (a written one)."""
     spark = cut.sparkSession
     total = cut.count()
