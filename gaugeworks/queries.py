@@ -162,7 +162,7 @@ def collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    own = reconcile.projects(_units(spark, sf_dir))
+    own = reconcile.projects(_units(spark, sf_dir)).cache()  # both sides and every pass read it
     part = F.pmod(F.crc32(F.col("name_norm").cast("binary")), F.lit(5))
     report = own.filter(part < 4).withColumn("capacity", F.when(part == 0, F.col("capacity") * 1.5).otherwise(F.col("capacity")))
     return report, own.filter(part > 0)
