@@ -107,4 +107,6 @@ def keep_good(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """The rows that keep to the base and to every rule, with all their columns."""
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     judged = judge(measure(df.select(row.alias("row"), F.col(f"`{text_col}`").alias("text")), "row", "text"))
-    return judged.filter("kept").select(*[F.col("row").getField(c).alias(c) for c in df.columns])
+    # not a filter: the optimizer would push it below the counts and split each text anew for every use of its words
+    kept = F.explode(F.when(F.col("kept"), F.array("row")).otherwise(F.array().cast(judged.select(F.array("row")).schema[0].dataType)))
+    return judged.select(kept.alias("row")).select(*[F.col("row").getField(c).alias(c) for c in df.columns])
