@@ -134,7 +134,7 @@ def build(vectors: DataFrame) -> tuple[Index, DataFrame]:
         own = np.frombuffer(bytes(r["vec"]), "<f8")
         x[i, : len(own)] = own
     x = np.column_stack((x, np.sqrt(np.maximum(top**2 - (x**2).sum(1), 0.0))))
-    pivots = _pick_pivots(np.unique(x, axis=0), max(1, min(PIVOTS, n // (2 * BLOCK // RINGS)))) if len(x) else np.zeros((1, dim + 1))
+    pivots = _pick_pivots(np.unique(x, axis=0), max(1, min(PIVOTS, n // (2 * BLOCK)))) if len(x) else np.zeros((1, dim + 1))
     d = _distances(x, pivots)
     near = d.argmin(1) if len(x) else np.zeros(0, int)
     quantiles = np.arange(1, RINGS) / RINGS

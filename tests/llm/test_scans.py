@@ -51,7 +51,7 @@ def test_owners_part_examples_from_live_secrets(spark):
     assert by_id[4].base_sha256 == hashlib.sha256(b"access:0:20,assign:21:41").hexdigest()
     assert secret_scan.scan(df.filter("false")).count() == 0
     cut = sorted((r.doc_id, r.text, r.source) for r in secret_scan.redact(df).collect() if r.text)
-    assert cut == [(1, "use <secret> now", "s1"), (2, f"é {copied} x", "s1"), (3, copied, "s2"), (4, f"{copied} <secret>'", "s3"), (5, "", "s4"), (7, "again <secret>", "s1"), (7, "again <secret>", "s1")] or cut == [x for x in [(1, "use <secret> now", "s1"), (2, f"é {copied} x", "s1"), (3, copied, "s2"), (4, f"{copied} <secret>'", "s3"), (7, "again <secret>", "s1"), (7, "again <secret>", "s1")]]
+    assert cut == [(1, "use <secret> now", "s1"), (2, f"é {copied} x", "s1"), (3, copied, "s2"), (4, f"{copied} <secret>'", "s3"), (7, "again <secret>", "s1"), (7, "again <secret>", "s1")]
 
 
 def test_query_equals_plain_patterns_on_the_small_table(spark):
@@ -160,7 +160,7 @@ def test_search_is_exact(spark, seed, monkeypatch):
     monkeypatch.setattr(topk, "QUERIES", 3)
     make = np.random.default_rng(seed)
     rows = [(int(i), make.normal(size=6).round(2).tolist()) for i in range(500)]
-    rows += [(1000 + i, [0.5, 0.5, 0, 0, 0, 0]) for i in range(200)]  # one common vector
+    rows += [(1000 + i, [0.5, 0.5, 0.0, 0.0, 0.0, 0.0]) for i in range(200)]  # one common vector
     rows += [(3000, None), (3001, [None, 1.0]), (3002, [float("nan")] * 6), (3003, [float("inf")] * 6), (3004, []), (3005, [1.0]), (None, [1.0] * 6), (3100, [1e6] * 6)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = {}
