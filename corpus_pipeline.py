@@ -22,8 +22,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier scores 0.3 or more; it learns from the labelled ones among them."""
-    return nbsvm.keep_good(docs, nbsvm.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    """Documents that the classifier scores 0.3 or more. It learns from the labelled rows of the whole table: the rules have left few bad ones here."""
+    corpus, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    return nbsvm.keep_good(docs, nbsvm.train(corpus, labels))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ def test_run_equals_brute_force(spark):
     one = corpus_pipeline.quality_rules(spark, docs, SMALL)
     assert one.columns == columns and {r.doc_id for r in one.collect()} == good
     two = corpus_pipeline.quality_classifier(spark, one, SMALL)
-    model = nbsvm.train(one, spark.read.parquet(f"{SMALL}/labels.parquet"))
+    model = nbsvm.train(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))
     kept = {}
     for r in one.collect():
         score = model.scores(model.margins(*nbsvm.features([r.text])))[0]
