@@ -41,8 +41,10 @@ NEVER_WORDS = set("ad ads adv advert adverts advertisement advertising banner br
 #: Elements nested deeper share the path of this level, so that paths stay short.
 DEEPEST = 100
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")\b(?P<rest>[^>]*)>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<close>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*+)(?P<attrs>(?:[^\"'<>]++|\"[^\"<]*\"|'[^'<]*'|[\"'])*+)/?>|<[!?][^>]*>", re.S | re.I)
-_ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+_SELF_CLOSED = r"<svg(?=[\s/])(?:=\s*[^\s\"'<>]++|[^\"'<>/=]++|/(?!>)|=|\"[^\"<]*\"|'[^'<]*'|[\"'])*+/>"
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|" + _SELF_CLOSED + "|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?P<rest>[^>]*)>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<close>/?)(?P<name>[A-Za-z][A-Za-z0-9:._-]*+)(?P<attrs>(?:[^\"'<>]++|\"[^\"<]*\"|'[^'<]*'|[\"'])*+)/?>|<[!?][^>]*>", re.S | re.I)
+#: One attribute at a time from the tag's start: each takes its whole value, so that no word of a value is read as a name.
+_ATTR = re.compile(r"""([^\s/>=][^\s/>=]*+)(?:\s*=\s*("[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^\s>]*))?""")
 _WORD = re.compile(r"[a-z]+")
 _MARK = re.compile(r"[.,;:!?…。，、；：！？]")
 
@@ -67,7 +69,7 @@ def _opened(tag: str, attrs: str, parent: _Node) -> _Node:
                 never |= value in NEVER_ROLES
             elif name == "hidden" or (name == "aria-hidden" and value == "true"):
                 never = True
-            else:
+            elif name in ("class", "id"):
                 words = _WORD.findall(value)
                 never |= tag not in ("body", "html", "article", "main") and bool(NEVER_WORDS.intersection(words))
                 if name == "class" and words:

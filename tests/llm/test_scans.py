@@ -141,6 +141,16 @@ def test_pages(spark):
     assert html_extract.extract(df.filter("false")).count() == 0
 
 
+def test_attributes_and_raw_elements_go_by_whole_names():
+    text = "The text, as it is. All of it, here."
+    for tag in ('style="overflow:hidden"', 'title="The hidden valley"', 'data-hidden="false"', "data-id=sidebar data-role='navigation'", "data-x=hidden/", 'title="a class=ad id=menu">\n<div class=x', "alt='it is \"hidden\" there'", 'title = "x" data-aria-hidden=true'):
+        assert html_extract.main_text(f"<body style='overflow-x:hidden'><div {tag}><p>{text}</p></div></body>") == text, tag
+    for tag in ("hidden", "HIDDEN=''", "title='x'hidden", 'id="menu"', "/hidden", 'aria-hidden = "true"', "role=navigation", "data-a=b class='x ad'"):
+        assert html_extract.main_text(f"<body><div {tag}><p>No, not this. Not it, no.</p></div><div><p>{text}</p></div></body>") == text, tag
+    for icon in ("<svg-icon name=a></svg-icon>", "<svg/>", '<svg class="i" aria-label="a>b" />', "<svg><path d=1></svg>", "<svg width=1/>no</svg>", "<style_x></style_x>", "<title-bar></title-bar>"):
+        assert html_extract.main_text(f"<body>{icon}<p>{text}</p></body>") == text, icon
+
+
 def test_pages_of_the_small_table_give_their_articles(spark):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
     import html
