@@ -1,11 +1,16 @@
 """PII surrogates: every detected entity gets a keyed replacement of its own type, format, script and gender.
 
 Spark functions only. One pattern finds e-mail and IP addresses, phone, card, bank account and social
-security numbers, and persons after a title. An entity's canonical form (lower case, bare digits) is what
+security numbers, and persons after one title or several. Card numbers have 13 to 19 digits and a valid
+check digit. An entity's canonical form (lower case, bare digits; with the title's gender for persons) is what
 coreference means: it has one surrogate in the whole corpus, written in each mention's own format. Letters
 and digits of a surrogate come from a keyed hash of type, canonical form and attempt; persons get names
 of the title's gender in the name's script.
 
+Within a text a name that a title made known is replaced wherever it stands, also without title, and so is
+each of its words, by the same word of its surrogate. A titled last name alone is the first person of
+that name and of no other gender in the text; a title without gender takes that of the same name's other titles there.
+
 Distinctness: the distinct entities of the corpus are collected into one table with their first surrogate;
 as long as two entities of a type share one, or one equals an entity that is in the corpus, all but the
 least of them try again with the next attempt number.
@@ -36,17 +41,20 @@ FAMILY = {
     "latin": "al an ar ba bel ber bo bran cor da del den dor el en er fal fer gar gel han har hol in jan kal kel lan lar len lo lun mar mel mon nel nor ol or pal ran rel ros sal san sel sol tal tan ter tor val van ver vin wal wel win zan",
     "cyrillic": "ал ан ар бел бер бор вал вер вол гал гор дан дор ел ер жар зар зол ив кал кар ков лан лар лев мар мел мор нар нов ол ор пал пол рад ров сал сев сол тал тар тор фал хар чер шар юр ян",
 }
-_NAME = r"\p{Lu}[\p{L}’'-]+(?:\x20\p{Lu}[\p{L}’'-]+){0,2}"
 _TITLES = f"{MALE_TITLES}|{FEMALE_TITLES}|{PLAIN_TITLES}"
+#: Words of a name end in a letter, before a genitive 's.
+_WORD = r"\p{Lu}(?:(?![’']s(?!\p{L}))[’'-]?\p{L})+"
+_NAME = rf"(?!(?:{_TITLES})(?!\p{{L}})){_WORD}(?:\x20{_WORD}){{0,2}}"
+_TITLE = rf"(?:(?:{_TITLES})\.?\x20)+"
 #: The patterns by type, in the order in which they are tried at a place.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "card": r"(?<![0-9+-])[2-6][0-9]{3}(?:[\x20-]?[0-9]{4}){2}[\x20-]?[0-9]{1,7}(?![0-9])",
+    "card": r"(?<![0-9+-])[0-9]{4}(?:(?:[\x20-]?[0-9]{4}){2}[\x20-]?[0-9]{1,7}|[\x20-][0-9]{6}[\x20-][0-9]{4,5})(?![0-9])",
     "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{1,4}\)[\x20.-]?)?[0-9]{2,4}(?:[\x20.-]?[0-9]{2,4}){1,4}|\([0-9]{3}\)\x20?[0-9]{3}[.-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])",
-    "person": rf"(?<![\p{{L}}])(?:{_TITLES})\.?\x20{_NAME}",
+    "person": rf"(?<![\p{{L}}]){_TITLE}{_NAME}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Cheap tests of what any entity needs: a digit or an at sign, or a title.
@@ -57,16 +65,53 @@ ATTEMPTS = 40
 def _type_of(entity: Column) -> Column:
     test = lambda p: entity.rlike(rf"^(?:{p})$")
     # look-arounds hold at both ends of the entity alone
-    return F.coalesce(*[F.when(test(PATTERNS[k]), F.lit(k)) for k in ("email", "ip", "iban", "ssn", "card", "phone")], F.lit("person"))
+    card = F.when(luhn_total(F.regexp_replace(entity, "[^0-9]", "")) % 10 == 0, "card").otherwise("none")
+    return F.coalesce(*[F.when(test(PATTERNS[k]), card if k == "card" else F.lit(k)) for k in ("email", "ip", "iban", "ssn", "card", "phone")], F.lit("person"))
 
 
 def _canonical(entity: Column, kind: Column) -> Column:
-    name = F.lower(F.regexp_replace(entity, rf"^(?:{_TITLES})\.?\x20", ""))
+    name = F.lower(F.regexp_replace(entity, f"^{_TITLE}", ""))
     return F.when(kind.isin("email", "ip"), F.lower(entity)).when(kind == "iban", F.regexp_replace(entity, " ", "")).when(kind == "person", name).otherwise(F.regexp_replace(entity, "[^0-9]", ""))
 
 
 def _gender(entity: Column) -> Column:
-    return F.when(entity.rlike(rf"^(?:{MALE_TITLES})\.?\x20"), "m").when(entity.rlike(rf"^(?:{FEMALE_TITLES})\.?\x20"), "f").otherwise("n")
+    first = lambda titles: entity.rlike(rf"^(?:(?:{PLAIN_TITLES})\.?\x20)*(?:{titles})\.?\x20")
+    return F.when(first(MALE_TITLES), "m").when(first(FEMALE_TITLES), "f").otherwise("n")
+
+
+def _pattern(persons: Column) -> Column:
+    """ANY, and the bare names of these titled persons and their words, as they are or in other capitals; whole names first."""
+    bare = F.array_distinct(F.transform(persons, lambda x: F.regexp_replace(x, f"^{_TITLE}", "")))
+    spelled = lambda a: F.flatten(F.transform(a, lambda x: F.array(x, F.upper(x), F.initcap(F.lower(x)))))
+    words = F.filter(F.flatten(F.transform(bare, lambda x: F.split(x, " "))), lambda w: F.length(w) > 1)
+    forms = F.array_distinct(F.concat(spelled(F.filter(bare, lambda x: x.contains(" "))), spelled(words)))
+    # longer ones first, so that no name hides one that goes on
+    forms = F.transform(F.reverse(F.array_sort(F.transform(forms, lambda x: F.struct(F.length(x).alias("n"), x.alias("x"))))), lambda x: x.x)
+    return F.concat(F.lit(ANY + r"|(?<![\p{L}\p{N}])(?=\p{Lu})(?:"), F.array_join(forms, "|"), F.lit(r")(?![\p{L}\p{N}]|[A-Za-z0-9._%+-]{0,64}@)"))
+
+
+def _resolved(each: DataFrame) -> DataFrame:
+    """Mentions (key, pos, entity, kind, canonical, titled, gender) with the canonical form and gender of the person that they mean in their text, and part: which word of the name, 0 for all."""
+    people = each.filter("titled").groupBy("key", "canonical", "gender").agg(F.min("pos").alias("at"))
+    known = people.filter("gender <> 'n'").groupBy("key", "canonical").agg(F.min_by("gender", "at").alias("known"))
+    sexed = lambda df: df.join(known, ["key", "canonical"], "left").withColumn("gender", F.when(F.col("gender") == "n", F.coalesce("known", F.lit("n"))).otherwise(F.col("gender"))).drop("known")
+    words = F.split("canonical", " ")
+    people = sexed(people).withColumn("whole", F.size(words) > 1)
+    parts = people.select("key", "canonical", "gender", "at", "whole", F.size(words).alias("n"), F.posexplode(words).alias("i", "form"))
+    # whole names are told by all their words, single words by persons with more of them, last names before others
+    order = [(~F.col("whole")).alias("a"), (F.col("n") != F.col("i") + 1).alias("b"), "at", "gender", "canonical"]
+    loose = parts.select("key", "form", F.struct(*order, F.when(F.col("whole"), F.col("i") + 1).otherwise(0).alias("part")).alias("who"))
+    loose = loose.unionByName(people.filter("whole").select("key", F.col("canonical").alias("form"), F.struct((~F.col("whole")).alias("a"), F.lit(False).alias("b"), "at", "gender", "canonical", F.lit(0).alias("part")).alias("who")))
+    loose = loose.groupBy("key", "form").agg(F.min("who").alias("who"))
+    last = parts.filter("whole AND i + 1 = n").select("key", "form", "gender", F.struct("at", "gender", "canonical", F.col("n").alias("part")).alias("who"))
+    last = last.groupBy("key", "form").agg(*[F.min(F.when(F.lit(g == "n") | F.col("gender").isin(g, "n"), F.col("who"))).alias(g) for g in "mfn"])
+    alone = sexed(each.filter("titled")).join(last.withColumnRenamed("form", "canonical"), ["key", "canonical"], "left")
+    alone = alone.withColumn("who", F.when(F.col("gender") == "m", F.col("m")).when(F.col("gender") == "f", F.col("f")).otherwise(F.col("n"))).drop("m", "f", "n")
+    bare = each.filter("NOT titled AND kind = 'person'").join(loose.select("key", F.col("form").alias("canonical"), F.struct("who.at", "who.gender", "who.canonical", "who.part").alias("who")), ["key", "canonical"], "left")
+    persons = alone.unionByName(bare)
+    meant = lambda col: F.coalesce(F.col(f"who.{col}"), F.col(col)).alias(col)
+    persons = persons.select("key", "pos", "entity", "kind", meant("canonical"), meant("gender"), F.coalesce("who.part", F.lit(0)).alias("part"))
+    return persons.unionByName(each.filter("kind <> 'person'").select("key", "pos", "entity", "kind", "canonical", "gender", F.lit(0).alias("part")))
 
 
 def _script(text: Column) -> Column:
@@ -76,7 +121,8 @@ def _script(text: Column) -> Column:
 class _Drawn:
     """Numbers drawn from a keyed hash of an entity: `number(i, n)` is 0 to n - 1, by place i."""
 
-    def __init__(self, key: str, kind: Column, canonical: Column, attempt: Column):
+    def __init__(self, key: str, kind: Column, canonical: Column, gender: Column, attempt: Column):
+        canonical = F.when(kind == "person", F.concat_ws("\x1f", canonical, gender)).otherwise(canonical)
         self.digest = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, canonical, attempt.cast("string"), F.lit(key)).cast("binary"), 512)
 
     def number(self, digest: Column, i: Column | int, n: int) -> Column:
@@ -90,7 +136,7 @@ def _pick(words: str, number: Column) -> Column:
 
 def surrogate(key: str, kind: Column, canonical: Column, gender: Column, attempt: Column) -> Column:
     """The canonical surrogate of a canonical entity: letters for letters, digits for digits."""
-    drawn = _Drawn(key, kind, canonical, attempt)
+    drawn = _Drawn(key, kind, canonical, gender, attempt)
 
     def body(d: Column) -> Column:
         draw = drawn.number
@@ -130,8 +176,8 @@ def _written_as(entity: Column, kind: Column, made: Column) -> Column:
     sign = lambda c: c.rlike("^[0-9]$") | ((kind == "iban") & c.rlike("^[A-Z]$"))
     step = lambda a, c: F.struct(F.concat(a.out, F.when(sign(c), F.substring(made, a.at, F.lit(1))).otherwise(c)).alias("out"), F.when(sign(c), a.at + 1).otherwise(a.at).alias("at"))
     numbers = F.aggregate(slots, F.struct(F.lit("").alias("out"), F.lit(1).alias("at")), step, lambda a: a.out)
-    title = F.regexp_extract(entity, rf"^(?:{_TITLES})\.?\x20", 0)
-    bare = F.regexp_replace(entity, rf"^(?:{_TITLES})\.?\x20", "")
+    title = F.regexp_extract(entity, f"^{_TITLE}", 0)
+    bare = F.regexp_replace(entity, f"^{_TITLE}", "")
     capitals = F.regexp_replace(F.initcap(F.regexp_replace(made, "-", " - ")), " - ", "-")
     name = F.concat(title, F.when(bare == F.upper(bare), F.upper(made)).otherwise(capitals))
     email = F.when(entity == F.upper(entity), F.upper(made)).otherwise(made)
@@ -140,19 +186,19 @@ def _written_as(entity: Column, kind: Column, made: Column) -> Column:
 
 def mapping(entities: DataFrame, key: str) -> DataFrame:
     """(kind, canonical, made): one surrogate for each distinct (kind, canonical, gender), no two of a kind alike and none equal to an entity of the corpus."""
-    table = written(entities.groupBy("kind", "canonical").agg(F.min("gender").alias("gender")).withColumn("attempt", F.lit(0)), "entities")
-    originals = table.select("kind", F.col("canonical").alias("made"), F.lit(True).alias("taken"))
+    table = written(entities.select("kind", "canonical", "gender").distinct().withColumn("attempt", F.lit(0)), "entities")
+    originals = table.select("kind", F.col("canonical").alias("made"), F.lit(True).alias("taken")).distinct()
     made = surrogate(key, F.col("kind"), F.col("canonical"), F.col("gender"), F.col("attempt"))
     table = written(table.withColumn("made", made), "surrogates")
     for _ in range(ATTEMPTS):
-        crowd = table.groupBy("kind", "made").agg(F.count("*").alias("n"), F.min("canonical").alias("first"))
+        crowd = table.groupBy("kind", "made").agg(F.count("*").alias("n"), F.min(F.struct("canonical", "gender")).alias("first"))
         # who has to try again: all but one of a crowd, and those that hit an entity of the corpus
         clash = crowd.join(originals, ["kind", "made"], "left").filter("n > 1 OR taken").select("kind", "made", "first", F.coalesce("taken", F.lit(False)).alias("taken"))
         clash = written(clash, "clashes")
         if clash.isEmpty():
             return table
         hit = table.join(clash, ["kind", "made"], "left")
-        again = F.col("taken") | (F.col("first") != F.col("canonical"))
+        again = F.col("taken") | (F.col("first") != F.struct("canonical", "gender"))
         table = hit.withColumn("attempt", F.col("attempt") + F.coalesce(again, F.lit(False)).cast("int")).select("kind", "canonical", "gender", "attempt")
         table = written(table.withColumn("made", made), "surrogates")
     raise RuntimeError("surrogates still clash: the space of a type is too small for its entities")
@@ -166,15 +212,21 @@ def replace(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "te
     some = F.coalesce(F.size("found") > 0, F.lit(False))
     # texts with entities are few; their replacements hang on the text alone, so its hash joins them
     own = rows.filter(some).withColumn("key", F.sha2(F.col("text").cast("binary"), 256))
-    each = own.select("key", "found").dropDuplicates(["key"]).select("key", F.posexplode("found").alias("pos", "entity"))
+    persons = F.filter("found", lambda x: x.rlike(f"^{_TITLE}"))
+    own = own.withColumn("pattern", F.when(F.size(persons) > 0, _pattern(persons)).otherwise(F.lit(ANY)))
+    again = F.when(F.col("pattern") == F.lit(ANY), F.col("found")).otherwise(F.regexp_extract_all("text", F.col("pattern"), F.lit(0)))
+    each = own.dropDuplicates(["key"]).select("key", F.posexplode(again).alias("pos", "entity"))
     each = each.withColumn("kind", _type_of(F.col("entity")))
-    each = written(each.withColumns({"canonical": _canonical(F.col("entity"), F.col("kind")), "gender": F.when(F.col("kind") == "person", _gender(F.col("entity"))).otherwise("n")}), "mentions")
-    made = mapping(each, key).select("kind", "canonical", "made")
-    placed = each.join(made, ["kind", "canonical"]).withColumn("new", _written_as(F.col("entity"), F.col("kind"), F.col("made")))
+    person = F.col("kind") == "person"
+    each = each.withColumns({"canonical": _canonical(F.col("entity"), F.col("kind")), "titled": person & F.col("entity").rlike(f"^{_TITLE}"), "gender": F.when(person, _gender(F.col("entity"))).otherwise("n")})
+    each = written(_resolved(written(each, "mentions")), "resolved")
+    made = mapping(each.filter("kind <> 'none'"), key).select("kind", "canonical", "gender", "made")
+    part = F.when(F.col("part") > 0, F.get(F.split("made", " "), F.col("part") - 1)).otherwise(F.col("made"))
+    placed = each.join(made, ["kind", "canonical", "gender"], "left").withColumn("new", F.when(F.col("kind") == "none", F.col("entity")).otherwise(_written_as(F.col("entity"), F.col("kind"), part)))
     lists = placed.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("pos", "new", "kind"))).alias("new"))
-    joined = own.join(lists, "key").withColumn("gaps", F.split("text", ANY, -1))
+    joined = own.join(lists, "key").withColumn("gaps", F.split("text", F.col("pattern"), -1))
     pieces = F.zip_with(F.col("gaps"), F.transform("new", lambda x: x.new), lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))))
     counted = F.map_from_entries(F.transform(F.array(*map(F.lit, PATTERNS)), lambda k: F.struct(k, F.size(F.filter("new", lambda x: x.kind == k)))))
-    done = joined.select("id", F.array_join(pieces, "").alias("text"), F.size("new").cast("long").alias("n_entities"), counted.alias("kinds"))
+    done = joined.select("id", F.array_join(pieces, "").alias("text"), F.size(F.filter("new", lambda x: x.kind != "none")).cast("long").alias("n_entities"), counted.alias("kinds"))
     plain = rows.filter(~some).select("id", "text", F.lit(0).cast("long").alias("n_entities"), F.map_from_entries(F.array(*[F.struct(F.lit(k), F.lit(0)) for k in PATTERNS])).alias("kinds"))
     return done.unionByName(plain).withColumnsRenamed({"id": id_col})

@@ -63,5 +63,30 @@ def test_collisions_are_solved(spark, monkeypatch):
     assert len({r.text for r in out.values()}) == len(texts)
 
 
+def test_names_go_with_and_without_titles(spark):
+    texts = [
+        "Mrs. Anna Weber left. Anna Weber said: WEBER's car, Anna's too. Webern stays. Weber@mail.com",
+        "Mr Smith met Mr John Smith; Mrs Smith and Smith came. Herr Dr. Otto Klein, Dr Klein.",
+        "Mr Alex Kim here.", "Ms Alex Kim there.",
+    ]
+    out = {i: r for i, r in run(spark, texts).items()}
+    one = re.fullmatch(r"Mrs\. (\w+) (\w+) left\. (\w+) (\w+) said: (\w+)'s car, (\w+)'s too\. Webern stays\. \S+@\S+\.example\.org", out[0].text)
+    assert one and (one[1], one[2]) == (one[3], one[4]) and one[5] == one[2].upper() and one[6] == one[1] and out[0].n_entities == 5
+    assert not {"Anna", "Weber", "WEBER"} & set(one.groups()) and out[0].kinds["person"] == 4
+    two = re.fullmatch(r"Mr (\w+) met Mr (\w+) (\w+); Mrs (\w+) and (\w+) came\. Herr Dr\. (\w+) (\w+), Dr (\w+)\.", out[1].text)
+    assert two[1] == two[3] == two[5] != two[4] and two[7] == two[8] and two[6] in pii.NAMES["latin", "m"].split()
+    assert not {"John", "Smith", "Otto", "Klein"} & set(two.groups())
+    assert out[2].text.split()[1] in pii.NAMES["latin", "m"].split() and out[3].text.split()[1] in pii.NAMES["latin", "f"].split()
+    assert out[2].text.split()[2] != out[3].text.split()[2]
+
+
+def test_cards_are_told_by_length_and_check_digit(spark):
+    cards = ["378282246310005", "3782 822463 10005", "1234-5678-9012-3452", "6011 0000 0000 0004"]
+    others = ["4111 1111 1111 1112", "5500000000000005", "411111111111"]
+    out = run(spark, cards + others)
+    assert [out[i].n_entities for i in range(7)] == [1, 1, 1, 1, 0, 0, 0]
+    assert [out[4 + i].text for i in range(3)] == others and all(len(out[i].text) == len(c) and out[i].text != c for i, c in enumerate(cards))
+
+
 def test_empty_table(spark):
     assert pii.replace(spark.createDataFrame([], "doc_id long, text string"), "k").count() == 0
