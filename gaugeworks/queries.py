@@ -168,16 +168,24 @@ def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return report, own.filter(part > 0)
 
 
+def _other_names(spark: SparkSession, sf_dir: str, register: DataFrame) -> DataFrame:
+    """Every third customer's terminals also go by the name of the next site."""
+    units = _units(spark, sf_dir).filter("CAST(terminal_id AS LONG) % 3 = 0")
+    number = F.regexp_extract("terminal_name", "[0-9]+", 0).cast("int")
+    named = units.select(names.country(F.col("country")).alias("country_norm"), names.site(F.col("terminal_name")).alias("name_norm"), reconcile.section_of(F.col("facility")).alias("section"), F.concat(F.lit("Site "), ((number + 1) % 500).cast("string")).alias("other"), "row")
+    return named.join(register.select(*reconcile.KEY), reconcile.KEY, "left_semi").groupBy(*reconcile.KEY, "other").agg(F.min("row").alias("row"))
+
+
 def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     report, register = _sides(spark, sf_dir)
-    none = register.select("country_norm", F.lit("").alias("alias_norm"), "section", F.col("name_norm").alias("register_name")).limit(0)
-    return reconcile.reconcile(report, register, none)
+    other = _other_names(spark, sf_dir, register)
+    every = other.select("country_norm", names.site(F.col("other")).alias("alias_norm"), "section", F.col("name_norm").alias("register_name"))
+    return reconcile.reconcile(report, register, reconcile.aliases(register, other), other=every)
 
 
 def exact_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     report, register = _sides(spark, sf_dir)
-    none = register.select("country_norm", F.lit("").alias("alias_norm"), "section", F.col("name_norm").alias("register_name")).limit(0)
-    return reconcile.match_keys(report, register, none)
+    return reconcile.match_keys(report, register, reconcile.aliases(register, _other_names(spark, sf_dir, register)))
 
 
 def monitor_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:

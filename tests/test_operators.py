@@ -71,6 +71,20 @@ def test_designators_stand_for_one_unit(spark):
     assert [tuple(r) for r in reconcile.match_designators(report, units).collect()] == [("q", "big energy s(2)", "l", "big energy south", "Train S(2)")]
 
 
+def test_fuzzy_pass_reads_aliases_families_and_designators(spark):
+    report = side(spark, [("a", "old beta harbour", "l", 2.0, []), ("c", "tianjin (sinoco)", "l", 1.0, ["sinoco"]), ("q", "big energy s(2)", "l", 3.0, []), ("d", "gama", "l", 1.0, []), ("e", "north bay", "l", 1.0, ["o"]), ("f", "upper lake quay", "l", 1.0, []), ("g", "alone (owner)", "l", 1.0, [])])
+    register = side(spark, [("a", "beta", "l", 2.0, []), ("c", "tianjin (pipeco)", "l", 1.0, []), ("c", "tianjin (sinoco) nangang (sinoco)", "l", 1.0, []), ("c", "tianjin nangang (sinoco)", "l", 1.0, []), ("c", "tianjin nangang (otherco)", "l", 1.0, []), ("q", "big energy south", "l", 9.0, []), ("q", "big energy s(2) old", "l", 9.0, []), ("d", "xgamagori", "l", 1.0, []), ("e", "north port", "l", 1.0, ["o"]), ("f", "x", "l", 1.0, []), ("g", "other place", "l", 1.0, ["owner"])])
+    register = register.withColumn("unit_names", reconcile.F.when(reconcile.F.col("name_norm") == "big energy south", reconcile.F.array(reconcile.F.lit("Train S(2)"))).otherwise(reconcile.F.array().cast("array<string>")))
+    alias = spark.createDataFrame([("a", "old beta", "l", "beta"), ("f", "lake upper", "l", "x")], "country_norm string, alias_norm string, section string, register_name string")
+    out = {r.name_norm: (r.how, r.register_name) for r in reconcile.reconcile(report, register, alias).collect() if r.how != "register_only"}
+    assert out["old beta harbour"] == ("fuzzy", "beta") and out["upper lake quay"] == ("fuzzy", "x")
+    assert out["big energy s(2)"] == ("designator", "big energy south")
+    assert out["gama"] == ("fuzzy", "xgamagori") and out["north bay"] == ("fuzzy", "north port") and out["alone (owner)"] == ("report_only", None)
+    family = side(spark, [("c", "tianjin (pipeco)", "l", 1.0, []), ("c", "tianjin (sinoco)", "l", 1.0, [])])
+    one = side(spark, [("c", "tianjin", "l", 1.0, ["sinoco"])])
+    assert [tuple(r) for r in reconcile.reconcile(one, family, alias).filter("how = 'fuzzy'").collect()] == [("c", "tianjin", "l", "tianjin (sinoco)", "fuzzy")]
+
+
 def test_vessels(spark):
     units = spark.createDataFrame([("1", "Star"), ("2", "Moon Light"), ("3", "Sun"), ("4", ""), ("5", "Nova")], "unit_id string, vessel_name string")
     other = spark.createDataFrame([(1, "STAR"), (2, "Moon"), (3, "Sunrise"), (4, "Sunset"), (5, "star")], "row int, vessel_name string")
