@@ -1,7 +1,8 @@
 """Near duplicates by bottom-k sketches of one hash function.
 
 1. A document's set: the hashes of its distinct shingles. Documents with equal sets form a class; a
-   class is a node of the graph, named by its least doc_id.
+   class is a node of the graph, named by its least doc_id whose least set it is, or beyond all ids
+   (NO_ID and up, by its hash) if it has none. Classes that share a doc_id are linked.
 2. A class's sketch: the k least hashes of its set. If two sets' similarity reaches the threshold,
    their sketches share at least `least_overlap` values but for a chance under 1e-6 at the threshold
    itself and far less above (short sets: certainly, as the sketch is the set).
@@ -23,9 +24,9 @@
    full sets, counted exactly.
 
 Null and empty texts, and texts without words: empty set, linked with nothing. Repeated rows: rows of one
-doc_id are one node; each row is returned. Null doc_id: component_id is the least doc_id of its class or
+doc_id with words are of one component, whatever their texts; each row is returned. Null doc_id: component_id is the least doc_id of its class or
 component if there is one, else null, and kept is true only if there is none. Empty tables: empty result.
-Other columns of the input are not read.
+Ids are below 2**62. Other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ from .words import shingle_sets, split_words
 K = 64
 #: Members that a list holds against its others in one round: at least so many, and a quarter of a long list.
 PIVOTS = 64
-NO_ID = -(2**63)
+NO_ID = 2**62
 
 
 def least_overlap(threshold: float, k: int = K) -> int:
@@ -55,7 +56,7 @@ def least_overlap(threshold: float, k: int = K) -> int:
 
 
 def _sketches(df: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, n_shingles, fp, sketch) for every row; fp: a 128-bit hash of the set."""
+    """(id, hash, n_shingles, fp, sketch) for every row; hash: of the text, fp: a 128-bit hash of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
@@ -65,10 +66,10 @@ def _sketches(df: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame
             edge = np.concatenate(([0], np.cumsum([min(K, len(s)) for s in sets]))).astype(np.int32)
             flat = np.concatenate([s[:K] for s in sets]).view(np.int64)
             sketch = pa.ListArray.from_arrays(pa.array(edge), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column(0), n, pa.array(fp, pa.binary()), sketch], ["id", "n_shingles", "fp", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), n, pa.array(fp, pa.binary()), sketch], ["id", "hash", "n_shingles", "fp", "sketch"])
 
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, n_shingles long, fp binary, sketch array<long>")
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("hash", F.xxhash64("text"))
+    return rows.mapInArrow(run, "id long, hash long, n_shingles long, fp binary, sketch array<long>")
 
 
 def _prefixes(classes: DataFrame, percent: int) -> DataFrame:
@@ -162,11 +163,21 @@ def near_duplicates(df: DataFrame, size: int = 3, percent: int = 85, id_col: str
     """(id, n_shingles, component_id, kept) for every row: documents linked where 100 * shared >= percent * union of their shingles."""
     rows = written(_sketches(df, size, id_col, text_col), "sketches")
     with_words = rows.filter("fp IS NOT NULL")
-    node = F.coalesce(F.min("id"), F.lit(NO_ID) + F.pmod(F.xxhash64("fp"), F.lit(2**62)))
-    classes = written(with_words.groupBy("fp").agg(node.alias("node"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "classes")
+    # ids with several sets are few: each belongs to its least set, and its other sets are linked with that one
+    several = with_words.filter("id IS NOT NULL").groupBy("id").agg(F.min("fp").alias("own"), F.max("fp").alias("last")).filter("own <> last").select("id", "own")
+    several = written(several, "several")
+    # rows without id stay out of the join, which would bring them all to one task
+    named = with_words.filter("id IS NOT NULL").join(several, "id", "left").withColumn("named", F.when(F.col("own").isNull() | (F.col("own") == F.col("fp")), F.col("id"))).drop("own")
+    named = named.unionByName(with_words.filter("id IS NULL").withColumn("named", F.col("id")))
+    node = F.coalesce(F.min("named"), F.lit(NO_ID) + F.pmod(F.xxhash64("fp"), F.lit(2**62)))
+    # the text that a class's full set is read from, by its least id and its hash
+    text = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("text")
+    classes = written(named.groupBy("fp").agg(node.alias("node"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), text), "classes")
     listed = written(_prefixes(classes, percent), "listed")
-    sets = written(_full_sets(df, listed, size, id_col, text_col), "sets")
-    links = _Links(sets, percent)
+    sets = written(_full_sets(df, listed.join(classes.select("node", "text"), "node"), size, id_col, text_col), "sets")
+    of = lambda fp, name: classes.select(F.col("fp").alias(fp), F.col("node").alias(name))
+    tied = with_words.select("id", "fp").join(several, "id").filter("fp <> own").select("fp", "own").distinct()
+    links = _Links(sets, percent, tied.join(of("fp", "u"), "fp").join(of("own", "v"), "own").select("u", "v"))
     lists = listed.select("node", "n", F.col("n").alias("own"), F.col("node").alias("component"), "weight", F.explode("values").alias("value"))
     links.add(links.pairs(lists, _middle(lists, "weight")), classes)
     links.settle()
@@ -207,9 +218,9 @@ def _middle(lists: DataFrame, by: str) -> DataFrame:
 class _Links:
     """The links confirmed so far, and the components of those that are settled."""
 
-    def __init__(self, sets: DataFrame, percent: int):
+    def __init__(self, sets: DataFrame, percent: int, tied: DataFrame):
         self.sets, self.percent = sets, percent
-        self.edges: DataFrame | None = None
+        self.edges = written(tied, "tied")
         self.label: DataFrame | None = None
         self.fresh = True
 
@@ -220,12 +231,9 @@ class _Links:
     def add(self, pairs: DataFrame, sketches: DataFrame | None = None) -> bool:
         """Confirm pairs and keep their links; whether there are any."""
         found = _confirmed(pairs, sketches, self.sets, self.percent)
-        if self.edges is None:
-            self.edges = found
-        elif found.isEmpty():
+        if found.isEmpty():
             return False
-        else:
-            self.edges, self.fresh = self.edges.unionByName(found), True
+        self.edges, self.fresh = self.edges.unionByName(found), True
         return True
 
     def settle(self) -> None:
@@ -243,12 +251,15 @@ class _Links:
 
 
 def _full_sets(df: DataFrame, listed: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(node, shingles) of the classes that have lists, from their texts. Only texts of a class's least id are read; a text of that id whose set is another class's is passed over."""
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
-    docs = df.select(key.alias("key"), F.col(text_col).cast("string").alias("text"))
-    wanted = listed.select(F.when(F.col("node") < F.lit(NO_ID) + 2**62, F.lit(NO_ID)).otherwise(F.col("node")).alias("key"), "node", "fp")
-    # repeated rows are dropped before their sets are made: the join has dealt them by key already
-    texts = docs.join(wanted, "key").withColumn("hash", F.xxhash64("text")).dropDuplicates(["key", "node", "fp", "hash"])
+    """(node, shingles) of the classes that have lists, each from one text, that of its least id and its hash. Texts without id are told by their hash alone, after copies are put together."""
+    docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("hash", F.xxhash64("text"))
+    wanted = listed.select(F.col("text.id").alias("id"), F.col("text.hash").alias("hash"), "node", "fp")
+    named = docs.join(wanted.filter("id IS NOT NULL"), ["id", "hash"])
+    # repeated rows are dropped before their sets are made
+    named = named.select("node", "text", "fp").dropDuplicates(["node", "fp"])
+    nameless = docs.filter("id IS NULL").groupBy("hash").agg(F.first("text").alias("text"))
+    nameless = nameless.join(wanted.filter("id IS NULL").drop("id"), "hash")
+    texts = named.unionByName(nameless.select("node", "text", "fp"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
@@ -263,7 +274,7 @@ def _full_sets(df: DataFrame, listed: DataFrame, size: int, id_col: str, text_co
 def _labelled(rows: DataFrame, classes: DataFrame, label: DataFrame, id_col: str) -> DataFrame:
     named = classes.select("fp", "node").join(label, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
     out = rows.filter("fp IS NOT NULL").select("id", "n_shingles", "fp").join(named, "fp").drop("fp")
-    without_id = F.col("component") < F.lit(NO_ID) + 2**62
+    without_id = F.col("component") >= NO_ID
     out = out.withColumn("component", F.when(~without_id, F.col("component")))
     none = rows.filter("fp IS NULL").select("id", "n_shingles", F.col("id").alias("component"))
     both = out.select("id", "n_shingles", "component").unionByName(none)

@@ -77,6 +77,14 @@ def test_null_and_repeated_ids(spark):
     assert sorted((r.doc_id or 0) for r in minhash.keep_one(df).collect()) == [0, 0, 0, 0, 5]
 
 
+def test_each_text_of_a_repeated_or_null_id_has_its_own_links(spark):
+    text = lambda c: " ".join(f"{c}{k}" for k in range(40))
+    rows = [(5, text("a")), (5, text("b")), (8, text("a") + " end"), (9, text("b") + " end"), (3, text("b") + " more"), (12, text("c") + " end"), (None, text("c")), (None, text("d")), (None, text("d") + " end"), (20, text("e")), (20, "")]
+    for order in (rows, rows[::-1]):
+        got = minhash.near_duplicates(spark.createDataFrame(order, "doc_id long, text string").repartition(3)).collect()
+        assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in got) == [(0, 0, True), (0, 0, True), (0, 12, False), (3, 3, True), (5, 3, False), (5, 3, False), (8, 3, False), (9, 3, False), (12, 12, True), (20, 20, True), (20, 20, True)]
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert minhash.near_duplicates(none).count() == 0
