@@ -3,13 +3,19 @@
 Every text node has a root-to-leaf tag path (tag names, with the class where there is one). Over a page,
 each path gets two ratios: characters per node and punctuation marks per node. Both are smoothed over the
 node sequence with a Gaussian, fused by their product and held against a threshold (a share of the page's
-deviation); the paths above it are content. The text returned is that of the smallest section holding
-the content nodes, block by block, without the parts that are never content by their tag, role or class
-(menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments).
+deviation); the nodes on paths above it are content.
+
+The content nodes choose the section: an <article> (or <main>) that holds a fair share of their text, else
+the smallest section that leaves hardly any of it outside. Inside, the paths decide block by block: blocks
+on content paths stay; runs of links on other paths are menus and go; in a section without bounds of its
+own (the body), short blocks on other paths stay only as headings of content or between content. A page's
+own marks come first: elements that are never content by tag, role, `hidden` or a class or id made of nothing
+but such words (`ad`, `site-footer`, `comments-list`, but not `social-science`), are no nodes at all.
 
 Null or empty html, and pages without content: text '' and 0 characters. Broken markup (tags not closed,
-cut references, stray '<') is read as far as it goes. Repeated rows each have their row; an empty table
-gives an empty result; other columns of the input are not read.
+cut references, stray '<') is read as far as it goes. Very long and deeply nested pages: every text is read
+whole, in one pass over the tags. Ties: the first section in page order. Repeated rows each have their row; an
+empty table gives an empty result; other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -17,6 +23,7 @@ from __future__ import annotations
 import html as references
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,97 +33,143 @@ from pyspark.sql import functions as F
 
 from .shared import small_batches
 
-#: HTML's void elements, raw-text elements, blocks, and sections.
+#: HTML's void elements, raw-text elements, blocks, sections, headings.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = ("script", "style", "textarea", "noscript", "template", "iframe", "svg", "title")
 BLOCKS = set("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
-SECTIONS = {"article", "main", "section", "div", "td", "body", "html"}
+SECTIONS = {"article", "main", "section", "div", "td", "body", "center", "table", "tbody", "tr"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Start tags that close an open element of the same kind.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-#: Never content: by tag, by role, by a word of class or id.
+#: Never content: by tag, by role, by a class or id whose words all are one of these or of the plain ones.
 NEVER_TAGS = set("head nav header footer aside form button select menu dialog script style noscript template iframe svg canvas object textarea title".split())
 NEVER_ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 NEVER_WORDS = set("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies copyright disqus disclaimer footer footnav form header masthead menu modal nav navbar navigation newsletter notice notices pagination pager popup promo promoted related respond share sharing sidebar signup skip social sponsor sponsored subscribe tags toolbar widget".split())
+PLAIN_WORDS = set("area bar block body bottom box btn button buttons col column container content div global group holder inner item items left link links list main outer page panel post posts row section site slot sticky text top right unit widget widgets wrap wrapper".split())
 
-#: Elements nested deeper share the path of this level, so that paths stay short.
-DEEPEST = 100
+#: The least share of the content's text that makes an article the section, and the most that may lie outside a smaller section.
+FAIR, OUTSIDE = 0.3, 0.2
+#: Links in a row that make a menu, where the paths don't say otherwise.
+MENU = 3
 
-_SELF_CLOSED = r"<svg(?=[\s/])(?:=\s*[^\s\"'<>]++|[^\"'<>/=]++|/(?!>)|=|\"[^\"<]*\"|'[^'<]*'|[\"'])*+/>"
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|" + _SELF_CLOSED + "|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?P<rest>[^>]*)>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<close>/?)(?P<name>[A-Za-z][A-Za-z0-9:._-]*+)(?P<attrs>(?:[^\"'<>]++|\"[^\"<]*\"|'[^'<]*'|[\"'])*+)/?>|<[!?][^>]*>", re.S | re.I)
+_QUOTED = r"\"[^\"]*+\"(?=[\s/>])|'[^']*+'(?=[\s/>])|[\"']"
+_SELF_CLOSED = r"<svg(?=[\s/])(?:=\s*[^\s\"'<>]++|[^\"'<>/=]++|/(?!>)|=|" + _QUOTED + ")*+/>"
+_TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|" + _SELF_CLOSED + "|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?P<rest>(?:[^\"'>]++|" + _QUOTED + r")*+)>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<close>/?)(?P<name>[A-Za-z][A-Za-z0-9:._-]*+)(?P<attrs>(?:[^\"'<>]++|" + _QUOTED + r")*+)>|<[!?][^>]*>", re.S | re.I)
 #: One attribute at a time from the tag's start: each takes its whole value, so that no word of a value is read as a name.
 _ATTR = re.compile(r"""([^\s/>=][^\s/>=]*+)(?:\s*=\s*("[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^\s>]*))?""")
 _WORD = re.compile(r"[a-z]+")
+_UNSHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b")
 _MARK = re.compile(r"[.,;:!?…。，、；：！？]")
 
 
 class _Node:
-    __slots__ = ("block", "cls", "depth", "never", "parent", "path", "tag")
+    """An element. Its descendants are those numbered from its own number up to `end`."""
+
+    __slots__ = ("block", "end", "heading", "link", "never", "number", "parent", "path", "soft", "tag")
 
-    def __init__(self, tag: str, parent: _Node | None, cls: str, never: bool):
-        self.tag, self.parent, self.cls = tag, parent, cls
-        self.never = never or (parent is not None and parent.never)
-        self.depth = parent.depth + 1 if parent else 0
-        self.path = (parent.path if parent else "") + "/" + tag + ("." + cls if cls else "") if self.depth <= DEEPEST else parent.path
+    def __init__(self, tag: str, parent: _Node | None, path: int, never: bool, number: int):
+        self.tag, self.parent, self.path, self.number, self.end = tag, parent, path, number, -1
+        above = parent is not None
+        # an article's own header: its heading is the article's, the rest of it is not
+        inside = above and parent.soft
+        self.soft = inside or (tag == "header" and above and not parent.never and _within_article(parent))
+        self.heading = tag in HEADINGS or (above and parent.heading)
+        if self.heading and self.soft and not (above and parent.never and not inside):
+            self.never = never
+        else:
+            self.never = never or (above and parent.never)
+        self.link = tag == "a" or (above and parent.link)
         self.block = tag in BLOCKS
 
 
-def _opened(tag: str, attrs: str, parent: _Node) -> _Node:
-    cls, never = "", tag in NEVER_TAGS
-    if attrs and not attrs.isspace():
-        for name, value in _ATTR.findall(attrs):
-            name, value = name.lower(), value.strip("\"' ").lower()
-            if name == "role":
-                never |= value in NEVER_ROLES
-            elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-                never = True
-            elif name in ("class", "id"):
-                words = _WORD.findall(value)
-                never |= tag not in ("body", "html", "article", "main") and bool(NEVER_WORDS.intersection(words))
-                if name == "class" and words:
-                    cls = words[0]
-    return _Node(tag, parent, cls, never)
-
-
-def text_nodes(page: str) -> list[tuple[_Node, str, int]]:
-    """(element, text, block number) of every text node that may be content, in page order. A block number changes wherever a block starts or ends."""
-    root = _Node("html", None, "", False)
-    at, block, out = root, 0, []
-    position = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > position and not at.never:
-            out.append((at, page[position : m.start()], block))
-        position = m.end()
-        name = m["name"]
-        if not name:
-            continue
-        name = name.lower()
-        if name in ("html", "body") and not m["close"] and at is not root:
-            continue
-        if m["close"]:
-            here = at
-            while here is not None and here.tag != name:
-                here = here.parent
-            if here is not None and here.parent is not None:
-                at = here.parent
-            block += name in BLOCKS
-        elif name in VOID:
-            if name == "hr":
-                block += 1
-            elif name == "br":
-                out.append((at, " ", block))
-        elif name != "html":
-            if name in BLOCKS:
-                block += 1
-                shut = CLOSES.get(name) or ({"p"} if name not in ("html", "body") else None)
-                here = at
-                while here is not None and here.tag not in (shut or ()) and (not here.block or here.tag in ("p", "li", "dt", "dd") and name in CLOSES):
-                    here = here.parent
-                if here is not None and here.tag in (shut or ()) and here.parent is not None:
-                    at = here.parent
-            at = _opened(name, m["attrs"], at)
-    if position < len(page) and not at.never:
-        out.append((at, page[position:], block))
-    return out
+def _within_article(e: _Node | None) -> bool:
+    while e is not None:
+        if e.tag in ("article", "main"):
+            return True
+        e = e.parent
+    return False
+
+
+def _named_never(value: str) -> bool:
+    """Whether one of the names in a class or id consists of words that tell what is never content."""
+    for name in value.split():
+        words = _WORD.findall(name)
+        if any(w in NEVER_WORDS for w in words) and all(w in NEVER_WORDS or w in PLAIN_WORDS for w in words):
+            return True
+    return False
+
+
+class _Page:
+    """Elements of a page in order, and its text nodes (element, text, block number) that may be content. A block number changes wherever a block starts or ends."""
+
+    def __init__(self, page: str):
+        self.paths: dict[tuple[int, str], int] = {}
+        self.root = _Node("html", None, 0, False, 0)
+        self.elements, self.texts = [self.root], []
+        self.open: Counter[str] = Counter()
+        at, block, position = self.root, 0, 0
+        for m in _TOKEN.finditer(page):
+            if m.start() > position and not at.never:
+                self.texts.append((at, page[position : m.start()], block))
+            position = m.end()
+            name = m["name"]
+            if not name:
+                continue
+            name = name.lower()
+            if name in ("html", "body") and not m["close"] and at is not self.root:
+                continue
+            if m["close"]:
+                if self.open[name]:
+                    at = self._closed(at, {name})
+                block += name in BLOCKS
+            elif name in VOID:
+                if name == "hr":
+                    block += 1
+                elif name == "br":
+                    self.texts.append((at, " ", block))
+            elif name != "html":
+                if name in BLOCKS:
+                    block += 1
+                    shut = CLOSES.get(name) or ({"p"} if name != "body" else set())
+                    if any(self.open[x] for x in shut):
+                        here = at
+                        while here is not None and here.tag not in shut and (not here.block or (here.tag in ("p", "li", "dt", "dd") and name in CLOSES)):
+                            here = here.parent
+                        if here is not None and here.tag in shut and here.parent is not None:
+                            at = self._closed(at, shut)
+                at = self._opened(name, m["attrs"], at)
+        if position < len(page) and not at.never:
+            self.texts.append((at, page[position:], block))
+        while at is not None:
+            at.end, at = len(self.elements), at.parent
+
+    def _closed(self, at: _Node, names: set[str]) -> _Node:
+        """Closes the nearest of these elements that are open, and what is open in it."""
+        while True:
+            at.end, done = len(self.elements), at.tag in names
+            self.open[at.tag] -= 1
+            at = at.parent
+            if done:
+                return at
+
+    def _opened(self, tag: str, attrs: str, parent: _Node) -> _Node:
+        cls, never = "", tag in NEVER_TAGS
+        if attrs and not attrs.isspace():
+            for name, value in _ATTR.findall(attrs):
+                name, value = name.lower(), value.strip("\"' ").lower()
+                if name == "role":
+                    never |= value in NEVER_ROLES
+                elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and _UNSHOWN.search(value)):
+                    never = True
+                elif name in ("class", "id"):
+                    never |= tag not in ("body", "html", "article", "main", *HEADINGS) and _named_never(value)
+                    if name == "class" and (words := _WORD.findall(value)):
+                        cls = words[0]
+        path = self.paths.setdefault((parent.path, f"{tag}.{cls}" if cls else tag), len(self.paths) + 1)
+        node = _Node(tag, parent, path, never, len(self.elements))
+        self.elements.append(node)
+        self.open[tag] += 1
+        return node
 
 
 def smooth(values: np.ndarray, radius: int = 1) -> np.ndarray:
@@ -130,11 +183,11 @@ def smooth(values: np.ndarray, radius: int = 1) -> np.ndarray:
     return middle(values.astype(float)) / middle(np.ones(len(values)))
 
 
-def content_paths(nodes: list[tuple[str, str]], strictness: float = 0.2) -> set[str]:
+def content_paths(nodes: list[tuple[int, str]], strictness: float = 0.5) -> set[int]:
     """Of (path, text) nodes in page order, the paths whose smoothed, fused ratios pass the threshold."""
     if not nodes:
         return set()
-    total: dict[str, list[int]] = {}
+    total: dict[int, list[int]] = {}
     for path, text in nodes:
         t = total.setdefault(path, [0, 0, 0])
         t[0] += len(text)
@@ -143,7 +196,7 @@ def content_paths(nodes: list[tuple[str, str]], strictness: float = 0.2) -> set[
     by_length = smooth(np.array([total[p][0] / total[p][2] for p, _ in nodes]))
     by_marks = smooth(np.array([(total[p][1] + 1) / total[p][2] for p, _ in nodes]))
     fused = by_length * by_marks
-    own: dict[str, list[float]] = {}
+    own: dict[int, list[float]] = {}
     for (path, _), score in zip(nodes, fused, strict=True):
         own.setdefault(path, []).append(score)
     score = {p: sum(v) / len(v) for p, v in own.items()}
@@ -151,57 +204,111 @@ def content_paths(nodes: list[tuple[str, str]], strictness: float = 0.2) -> set[
     return {p for p, s in score.items() if s >= limit}
 
 
+class _Block:
+    """Text of one block: where it begins, its characters, those on content paths, those in links, and its links."""
+
+    __slots__ = ("at", "chars", "content", "heading", "linked", "links", "text", "weight")
+
+    def __init__(self, nodes: list[tuple[_Node, str]], chosen: set[int]):
+        written = [(e, t, len(t.strip())) for e, t in nodes]
+        written = [x for x in written if x[2]]
+        self.at = written[0][0]
+        self.text = " ".join("".join(t for _, t in nodes).split())
+        self.chars = sum(n for *_, n in written)
+        self.content = 2 * sum(n for e, _, n in written if e.path in chosen) >= self.chars
+        self.linked = sum(n for e, _, n in written if e.link)
+        self.links = len({id(e) for e, *_ in written if e.link})
+        self.heading = all(e.heading for e, *_ in written)
+        self.weight = self.chars - self.linked if self.content else 0
+
+
+def _section(page: _Page, blocks: list[_Block]) -> tuple[_Node, bool]:
+    """The section that the content chooses, and whether its bounds are those of the main text."""
+    held = [0] * len(page.elements)
+    for b in blocks:
+        held[b.at.number] += b.weight
+    if not any(held):
+        for b in blocks:
+            held[b.at.number] += b.chars
+    for e in reversed(page.elements):
+        if e.parent is not None:
+            held[e.parent.number] += held[e.number]
+    for tag in ("article", "main"):
+        tops, end = [], 0
+        for e in page.elements:  # those in another one are part of it
+            if e.tag == tag and e.number >= end:
+                tops.append(e)
+                end = e.end
+        best = max(tops, key=lambda e: held[e.number], default=None)
+        if best is not None and held[best.number] > 0 and held[best.number] >= FAIR * held[0]:
+            return best, True
+    below: dict[int, list[_Node]] = {}
+    for e in page.elements:
+        if e.tag in SECTIONS and e.parent is not None and held[e.number]:
+            below.setdefault(e.parent.number, []).append(e)
+    at = page.root
+    while inner := below.get(at.number):
+        best = max(inner, key=lambda e: held[e.number])
+        if held[at.number] - held[best.number] > OUTSIDE * held[at.number]:
+            break
+        at = best
+    return at, at.tag not in ("html", "body")
+
+
+def _without_menus(blocks: list[_Block]) -> list[_Block]:
+    """All blocks but runs of links that lie on no content path."""
+    out: list[_Block] = []
+    run: list[_Block] = []
+    for b in [*blocks, None]:
+        if b is not None and not b.content and not b.heading and 10 * b.linked >= 8 * b.chars:
+            run.append(b)
+            continue
+        if sum(x.links for x in run) < MENU:
+            out += run
+        run = []
+        if b is not None:
+            out.append(b)
+    return out
+
+
+def _between(blocks: list[_Block]) -> list[_Block]:
+    """Content blocks, headings that lead to one, and what lies between the first and the last of them."""
+    content = [i for i, b in enumerate(blocks) if b.content]
+    if not content:
+        return []
+    first, last = content[0], content[-1]
+    while first and blocks[first - 1].heading:
+        first -= 1
+    return blocks[first : last + 1]
+
+
 def main_text(page: str | None) -> str:
     """The page's article, its blocks joined by line ends."""
     if not page:
         return ""
-    found = [(e, references.unescape(t), b) for e, t, b in text_nodes(page)]
+    read = _Page(page)
+    found = [(e, references.unescape(t), b) for e, t, b in read.texts]
     written = [(e, t) for e, t, _ in found if t and not t.isspace()]
     if not written:
         return ""
     chosen = content_paths([(e.path, t) for e, t in written])
-    inside = [e for e, _ in written if e.path in chosen]
-    top: list[_Node] = []
-    for e in dict.fromkeys(inside):
-        line = []
-        while e is not None:
-            line.append(e)
-            e = e.parent
-        line.reverse()
-        top = line if not top else [a for a, b in zip(top, line, strict=False) if a is b]
-    while len(top) > 1 and top[-1].tag not in SECTIONS:
-        top.pop()
-    section = top[-1]
-    while (up := section.parent) is not None and section.tag not in ("article", "main", "body", "html"):  # a section inside an article stands for the article
-        line, here = None, up
-        while here is not None:
-            if here.tag in ("article", "main"):
-                line = here
-                break
-            here = here.parent
-        if line is None:
-            break
-        section = line
-    blocks: list[str] = []
-    held: list[str] = []
-    last = None
-    within: dict[_Node, bool] = {section: True}
-    for e, t, b in found:
-        line = []
-        while e is not None and e not in within:
-            line.append(e)
-            e = e.parent
-        inner = e is not None and within[e]
-        within.update(dict.fromkeys(line, inner))
-        if not inner:
-            continue
-        if b != last and held:
-            blocks.append(" ".join("".join(held).split()))
+    blocks: list[_Block] = []
+    held: list[tuple[_Node, str]] = []
+    for i, (e, t, b) in enumerate(found):
+        held.append((e, t))
+        if i + 1 == len(found) or found[i + 1][2] != b:
+            if any(x and not x.isspace() for _, x in held):
+                blocks.append(_Block(held, chosen))
             held = []
-        last = b
-        held.append(t)
-    blocks.append(" ".join("".join(held).split()))
-    return "\n".join(b for b in blocks if b)
+    section, bounded = _section(read, blocks)
+    inside = [b for b in blocks if section.number <= b.at.number < section.end]
+    kept = _without_menus(inside)
+    if not bounded:
+        kept = _between(kept)
+    elif section.tag not in ("article", "main") and not any(b.heading for b in kept[:1]):
+        # the title may stand before the section
+        kept = [b for b in blocks if b.heading and b.at.number < section.number][-1:] + kept
+    return "\n".join(b.text for b in kept)
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

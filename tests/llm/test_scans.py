@@ -151,6 +151,47 @@ def test_attributes_and_raw_elements_go_by_whole_names():
         assert html_extract.main_text(f"<body>{icon}<p>{text}</p></body>") == text, icon
 
 
+P = "<p>The text, as it is. All of it, here, and some more of it, so that it counts.</p>"
+LINE = P[3:-4]
+SHAPED = [
+    # no article, no class names: the content's section wins, menus and side texts go
+    (f"<body><div><a>Home</a> <a>News</a></div><div><h1>T</h1>{P * 3}</div><div><p>Side text.</p></div></body>", f"T\n{LINE}\n{LINE}\n{LINE}"),
+    (f"<body><div><a>Home</a> <a>News</a></div><h1>T</h1>{P * 3}<div>Side text</div></body>", f"T\n{LINE}\n{LINE}\n{LINE}"),
+    (f"<body><h1>T</h1><div>{P * 3}</div><table><tr><td><a>x</a></td><td><a>y</a></td></tr></table></body>", f"T\n{LINE}\n{LINE}\n{LINE}"),
+    (f"<body><span>Weather today</span>{P * 3}<div>Page 3 of 9</div></body>", f"{LINE}\n{LINE}\n{LINE}"),
+    # a run of links is a menu, a list with text is not
+    (f"<article>{P}<ul><li><a>One</a><li><a>Two</a><li><a>Three</a></ul>{P}</article>", f"{LINE}\n{LINE}"),
+    (f"<article>{P}<ul><li>One <a>a</a> here<li>Two<li>Three</ul>{P}</article>", f"{LINE}\nOne a here\nTwo\nThree\n{LINE}"),
+    # words of class and id tell nothing unless all of a name's words do
+    (f'<article><div class="social-science">{P}</div><p id="form-of-government">Short.</p><div class="article-header"><h1>Head</h1></div></article>', f"{LINE}\nShort.\nHead"),
+    (f'<article>{P}<div class="ad-container">Buy.</div><div class="post-comments"><p>I say, no.</p></div><div id="newsletter">Join.</div></article>', LINE),
+    # hidden parts, quoted marks, odd comments, headers
+    (f'<div style="margin:0; display: none"><p>No, no. No.</p></div>{P}', LINE),
+    (f'<article><a title="a<b">link</a> {P}</article>', f"link\n{LINE}"),
+    (f"<article><!-->{P}<!-- x --><p>b<!--->c</p></article>", f"{LINE}\nbc"),
+    (f"<header><h1>Site</h1></header><article><header><h1>Head</h1><p>by me</p></header>{P}</article>", f"Head\n{LINE}"),
+]
+
+
+@pytest.mark.parametrize("page,text", SHAPED)
+def test_content_is_chosen_by_its_paths(page, text):
+    assert html_extract.main_text(page) == text
+
+
+def test_the_threshold_decides(monkeypatch):
+    own = [html_extract.main_text(page) for page, _ in SHAPED]
+    monkeypatch.setattr(html_extract, "content_paths", lambda nodes: {p for p, _ in nodes})
+    every = [html_extract.main_text(page) for page, _ in SHAPED]
+    assert sum(a != b for a, b in zip(own, every, strict=True)) >= 3
+
+
+def test_repeated_and_very_large_pages(spark):
+    deep = "<div><p>" * 20_000 + LINE
+    df = spark.createDataFrame([(1, "u", deep, 5), (1, "u", deep, 5), (None, None, "<b>" * 5000 + "<p>x" * 5000, 1)], "page_id long, url string, html string, text int")
+    got = sorted((r.page_id or 0, r.text) for r in html_extract.extract(df).collect())
+    assert got == [(0, "\n".join("x" * 5000)), (1, LINE), (1, LINE)]
+
+
 def test_pages_of_the_small_table_give_their_articles(spark):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
     import html
