@@ -19,7 +19,7 @@ _TAIL = ".,!?;:#$%&*|)"
 
 
 class ChunkEncoder:
-    """Chunks are kept without their blank, as the chunk's ids after a blank; a text's first chunk is kept behind a NUL."""
+    """Chunks are kept without their blank, as the chunk's ids after a blank; first chunks of texts have a table of their own."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -28,6 +28,7 @@ class ChunkEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}
         self.lowers = "Lowercase" in str(self.tokenizer.normalizer)
         # where one chunk's ids end and the next one's begin: a token with the mark of a blank, or of a word's end
         self.suffix = self.tokenizer.model.end_of_word_suffix or ""
@@ -60,45 +61,47 @@ class ChunkEncoder:
         get, out = self.known.get, [b""] * len(texts)
         later: list[tuple[int, list[str], list[bytes | None], list[int]]] = []
         missing: set[str] = set()
+        missing_first: set[str] = set()
         for i, text in enumerate(texts):
             if not text:
                 continue
-            chunks = (_lowered(text) if self.lowers else text).split(" ")
-            chunks[0] = "\0" + chunks[0]
-            ids = list(map(get, chunks))
+            head, *chunks = (_lowered(text) if self.lowers else text).split(" ")
+            ids = [self.first.get(head), *map(get, chunks)]
             if None in ids:
                 gaps = [k for k, x in enumerate(ids) if x is None]
-                missing.update([chunks[k] for k in gaps])
+                chunks.insert(0, head)
+                if not gaps[0]:
+                    missing_first.add(head)
+                missing.update([chunks[k] for k in gaps if k])
                 later.append((i, chunks, ids, gaps))
             else:
                 out[i] = b"".join(ids)
         if not later:
             return out
-        new = self._missing(missing)
+        new, heads = self._missing(missing), sorted(missing_first)
+        new_first = dict(zip(heads, self._library(heads), strict=True))
         whole = []
         for i, chunks, ids, gaps in later:
             for k in gaps:
-                ids[k] = new.get(chunks[k])
+                ids[k] = new.get(chunks[k]) if k else new_first[chunks[0]]
             if None in ids:  # white space beside a blank, or a special token after one
                 whole.append(i)
             else:
                 out[i] = b"".join(ids)
         for i, ids in zip(whole, self._library([texts[i] for i in whole]), strict=True):
             out[i] = ids
-        room = KEPT - len(self.known)
-        if room > 0:
-            self.known.update([(k, v) for k, v in new.items() if len(k) <= LONGEST][:room])
+        for table, fresh in ((self.known, new), (self.first, new_first)):
+            room = KEPT - len(self.known) - len(self.first)
+            if room > 0:
+                table.update([(k, v) for k, v in fresh.items() if len(k) <= LONGEST][:room])
         return out
 
     def _missing(self, missing: set[str]) -> dict[str, bytes]:
         """Ids of unknown chunks but those that can't be cut off safely. Closing punctuation after a letter or digit is a pre-token of its own."""
-        known, parts, plain, first = self.known, [], set(), []
+        known, parts, plain = self.known, [], set()
         for chunk in missing:
             if not chunk or chunk[0].isspace() or chunk.startswith("<|"):
                 continue
-            if chunk[0] == "\0":
-                first.append(chunk)
-                continue
             head = chunk.rstrip(_TAIL)
             if len(head) < len(chunk) and head and head[-1].isalnum() and "<|" not in chunk:
                 parts.append((chunk, head, chunk[len(head) :]))
@@ -112,7 +115,6 @@ class ChunkEncoder:
         for chunk, head, tail in parts:
             own = known.get(head)
             new[chunk] = (new[head] if own is None else own) + tail_ids[tail]
-        new.update(zip(first, self._library([c[1:] for c in first]), strict=True))
         return new
 
 

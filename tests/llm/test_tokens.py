@@ -24,13 +24,22 @@ def some_texts(n: int) -> list[str | None]:
     return ODD + ["".join(pick.choice(LETTERS) for _ in range(pick.randint(1, 60))) for _ in range(n)]
 
 
+#: Control, format and blank-like characters anywhere in a text.
+CONTROL = ["\0", "\x01", "\x1c", "\x1f", "\x7f", "\x80", "\x85", "\xa0", "\xad", "\u200b", "\u200d", "\ufeff", "\u3000", "\u0301", "\ufffd", "\u202e", "\x0b", "\x0c", "\r", "\n", "<|endoftext|>", " ", " ", " ", "a", "The", "don't", "12", ".", "!?", "é", "日"]
+
+
+def control_texts(n: int) -> list[str | None]:
+    pick = random.Random(8)
+    return ["a \0bc", "\0", " \0", "\0 \0a"] + ["".join(pick.choice(CONTROL) for _ in range(pick.randint(1, 14))) for _ in range(n)]
+
+
 def rows(spark, texts):
     return spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "doc_id long, text string, ids string")
 
 
 @pytest.mark.parametrize("path", [WORD, BYTE])
 def test_chunks_give_the_librarys_ids(path):
-    texts = some_texts(1500)
+    texts = some_texts(1500) + control_texts(3000)
     want = [x.ids for x in Tokenizer.from_file(path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
     encoder = ChunkEncoder(path)
     for _ in range(2):  # once new, once known
@@ -38,7 +47,7 @@ def test_chunks_give_the_librarys_ids(path):
 
 
 def test_merge_rounds_give_the_librarys_ids_and_decoding(spark):
-    texts = some_texts(400)
+    texts = some_texts(400) + control_texts(400)
     library = Tokenizer.from_file(WORD)
     want = [x.ids for x in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
     encoded = bpe.encode(rows(spark, texts), WORD)
