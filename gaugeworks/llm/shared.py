@@ -38,6 +38,18 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def by_frequency(rows: DataFrame, table: DataFrame, key: str, count: str = "n", parts: int = 1000) -> DataFrame:
+    """rows joined with a written table of distinct keys and the number of rows of each (`count`).
+
+    Keys of a part in `parts` of all rows or more, at most `parts` of them, are joined by broadcast where
+    their rows are; the others are shuffled. So one key may hold any share of the rows.
+    """
+    total = table.agg(F.sum(count)).first()[0] or 0
+    hot = F.broadcast(table.filter(F.col(count) * parts >= total))  # `parts` keys at most: their counts add up to the total
+    rest = rows.join(F.broadcast(table.filter(F.col(count) * parts >= total).select(key)), key, "left_anti")
+    return rows.join(hot, key).unionByName(rest.join(table.filter(F.col(count) * parts < total), key))
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
