@@ -2,21 +2,26 @@
 
 A store is a folder:
 
-  shard-00007.bin   8 bytes magic, then little-endian: u32 bytes per id (2 or 4), u64 documents,
-                    u64 ids, the documents' lengths in ids (u32 each), and their raw ids one after the other
-  index-00003.bin   one bucket of the index: u32 levels, u64 keys, per level u64 bits and the packed bit
-                    array, then one entry a key: u64 fingerprint, u32 shard, u32 documents with the key,
-                    u64 first document in the shard, u64 first id in the shard
+  shard-00007-00002.bin  8 bytes magic, then little-endian: u32 bytes per id (2 or 4), u64 documents,
+                         u64 ids, the documents' lengths in ids (u32 each), and their raw ids one after the other
+  index-00003.bin        one bucket of the index: u32 levels, u64 keys, per level u64 bits and the packed bit
+                         array, then one entry a key: u64 fingerprint, u64 shard, u64 documents with the key,
+                         u64 first document in the shard, u64 first id in the shard
+  shards, parts          small Parquet tables: the shards in order with the documents and ids before each, and
+                         the places of those keys whose documents lie in several shards
 
 The index takes a key's bucket from its hash; inside a bucket each level maps the keys that are left to
 bits, keeps those alone on their bit and passes the rest on, so a key's place is the number of bits set
 before its own (its rank): as many places as keys, found in a constant number of steps. The stored
 fingerprint, another hash of the key, tells foreign keys.
 
-Shards hold documents in ascending key order, one shard a range of keys. Rows that share a key stay
-together, and its entry gives their number; a null key is kept as the key -2^63 and given back as null;
-null text is the empty text (the end id alone). Empty tables make a store without shards, and readings
-from it are empty. Other columns of the input are not read.
+Documents are in ascending order of key, then of their text's hash, so the order is the same each time and a
+key that a third of all rows have is many ranges. A task writes a shard whenever it holds SHARD_IDS ids, so
+its memory does not grow with the corpus; a longer document is a shard of its own. Rows that share a
+key and a shard are one entry, with their number; a key in several shards has an entry of 0 documents, and
+its places are in `parts`, as are those of the null key, which the index doesn't hold. Null text is the empty
+text (the end id alone). Very long texts are encoded whole. Empty tables make a store without shards, and
+readings from it are empty. Other columns of the input are not read.
 
 Files are written by the tasks under a name of their own and then renamed, so a task that runs again
 replaces its file with the same bytes.
@@ -34,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .encoder import chunk_encoder
@@ -42,8 +47,12 @@ from .shared import small_batches, written
 from .words import mix
 
 MAGIC = b"TOKSHRD1"
-NO_KEY = -(2**63)
-_ENTRY = np.dtype([("fingerprint", "<u8"), ("shard", "<u4"), ("documents", "<u4"), ("document", "<u8"), ("start", "<u8")])
+_PLACE = ("shard", "documents", "document", "start")
+_ENTRY = np.dtype([("fingerprint", "<u8"), *((name, "<u8") for name in _PLACE)])
+#: Ids in a shard: 32 MB while they are held.
+SHARD_IDS = 8_000_000
+#: Bytes of text for a task; files of a task; ids between two documents that are rather read than skipped; ids read at once.
+TASK_BYTES, TASK_FILES, SKIP, RUN = 128_000_000, 1 << 20, 16_384, 4_000_000
 
 
 # ---------------------------------------------------------------- the perfect hash, in numpy
@@ -179,36 +188,61 @@ class Store:
     buckets: int
 
 
-def write_store(df: DataFrame, folder: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", shards: int | None = None, keys_per_bucket: int = 1_000_000) -> Store:
+def _shard_path(folder: str, shard: int) -> str:
+    return f"{folder}/shard-{shard // TASK_FILES:05d}-{shard % TASK_FILES:05d}.bin"
+
+
+def write_store(df: DataFrame, folder: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", keys_per_bucket: int = 1_000_000, shard_ids: int = SHARD_IDS) -> Store:
     """Encode every text, end it with end_id and write the store. Keys are whole numbers."""
     spark = df.sparkSession
-    n_shards = shards or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     fs, at = pafs.FileSystem.from_uri(folder)
     fs.create_dir(at, recursive=True)
     end = int(end_id).to_bytes(4, "little")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, held = [], []
-        encoder = chunk_encoder(tokenizer)
+        encoder, task = chunk_encoder(tokenizer), TaskContext.get().partitionId() * TASK_FILES
+        keys: list[int | None] = []
+        held: list[bytes] = []
+        size = file = 0
+
+        def entries() -> pa.RecordBatch:
+            write_shard(_shard_path(folder, task + file), held)
+            n = np.fromiter((len(x) // 4 for x in held), np.int64, len(held))
+            before = np.cumsum(n) - n
+            first = [i for i, k in enumerate(keys) if not i or k != keys[i - 1]]
+            edges = np.append(first, len(keys))
+            columns = [np.full(len(first), task + file), np.diff(edges), edges[:-1], before[first], np.add.reduceat(n, first)]
+            return pa.RecordBatch.from_arrays([pa.array([keys[i] for i in first], pa.int64()), *(pa.array(c.astype(np.int64)) for c in columns)], ["key", *_PLACE, "ids"])
+
         for batch in small_batches(batches):
-            keys.append(batch.column(0).to_numpy(zero_copy_only=False))
-            held += [x + end for x in encoder.encode(batch.column(1).to_pylist())]
-        if not held:
-            return
-        shard = TaskContext.get().partitionId()
-        write_shard(f"{folder}/shard-{shard:05d}.bin", held)
-        n = np.fromiter((len(x) // 4 for x in held), np.int64, len(held))
-        key = np.concatenate(keys)
-        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        columns = [key[first], np.full(len(first), shard), np.diff(np.append(first, len(key))), first, (np.cumsum(n) - n)[first]]
-        for a in range(0, len(first), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(c[a : a + 100_000].astype(np.int64)) for c in columns], ["key", "shard", "documents", "document", "start"])
-
-    rows = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_KEY)).alias("key"), F.col(text_col).cast("string").alias("text"))
-    ordered = rows.repartitionByRange(n_shards, "key").sortWithinPartitions("key")
-    entries = written(ordered.mapInArrow(encode, "key long, shard long, documents long, document long, start long"), "token-entries")
-    n_keys = entries.count()
-    buckets = max(1, -(-n_keys // keys_per_bucket))
+            for key, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
+                if held and size + len(ids) // 4 + 1 > shard_ids:
+                    yield entries()
+                    keys, held, size, file = [], [], 0, file + 1
+                keys.append(key)
+                held.append(ids + end)
+                size += len(ids) // 4 + 1
+        if held:
+            yield entries()
+
+    rows = df.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).cast("string").alias("text")).withColumn("own", F.xxhash64("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES))
+    ordered = rows.repartitionByRange(tasks, "key", "own").sortWithinPartitions("key", "own").drop("own")
+    entries = written(ordered.mapInArrow(encode, "key long, shard long, documents long, document long, start long, ids long"), "token-entries")
+    # a row of some numbers for each shard, of 32 MB of ids
+    in_order = Window.orderBy("shard")
+    ends = entries.groupBy("shard").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count_if(F.col("key").isNull()).alias("nameless"), F.sum("documents").alias("documents"), F.sum("ids").alias("ids"))
+    before = lambda c: F.coalesce(F.sum(c).over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"{c}_before")
+    ends = written(ends.select("*", before("documents"), before("ids"), F.lag("high").over(in_order).alias("last_high")), "token-shards")
+    ends.select("shard", "documents", "ids", "documents_before", "ids_before").write.parquet(f"{folder}/shards")
+    several = ends.filter("low = last_high").select(F.col("low").alias("key")).distinct()
+    parts = entries.join(several, "key", "left_semi").unionByName(entries.filter("key IS NULL"))
+    parts.select("key", *_PLACE).write.parquet(f"{folder}/parts")
+    alone = entries.filter("key IS NOT NULL").join(several, "key", "left_anti").select("key", *_PLACE)
+    zero = F.lit(0).cast("long")
+    indexed = alone.unionByName(several.select("key", *[zero.alias(n) for n in _PLACE]))
+    buckets = max(1, -(-entries.count() // keys_per_bucket))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: dict[int, list[pa.RecordBatch]] = {}
@@ -216,17 +250,17 @@ def write_store(df: DataFrame, folder: str, tokenizer: str, end_id: int, id_col:
             where = bucket_of(batch.column(0).to_numpy(), buckets)
             for b in np.unique(where):
                 own.setdefault(int(b), []).append(batch.filter(pa.array(where == b)))
-        for b, parts in own.items():
-            table = pa.Table.from_batches(parts)
+        for b, tables in own.items():
+            table = pa.Table.from_batches(tables)
             key = table["key"].to_numpy()
             entry = np.zeros(len(key), _ENTRY)
             entry["fingerprint"] = fingerprint_of(key)
-            for name in ("shard", "documents", "document", "start"):
+            for name in _PLACE:
                 entry[name] = table[name].to_numpy()
             write_index(f"{folder}/index-{b:05d}.bin", key, entry)
             yield pa.RecordBatch.from_arrays([pa.array([b], pa.int64()), pa.array([len(key)], pa.int64())], ["bucket", "keys"])
 
-    _by_bucket(entries, buckets).mapInArrow(index, "bucket long, keys long").write.format("noop").mode("overwrite").save()
+    _by_bucket(indexed, buckets).mapInArrow(index, "bucket long, keys long").write.format("noop").mode("overwrite").save()
     return Store(folder, buckets)
 
 
@@ -242,7 +276,7 @@ def _by_bucket(keyed: DataFrame, buckets: int) -> DataFrame:
 
 
 def locate(keys: DataFrame, store: Store, id_col: str = "doc_id") -> DataFrame:
-    """(key, shard, documents, document, start) of those of the given keys that the store has, by its index."""
+    """(key, shard, documents, document, start) of those of the given keys that the store has, by its index; a key in several shards has several rows."""
     folder, buckets = store.folder, store.buckets
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,10 +289,17 @@ def locate(keys: DataFrame, store: Store, id_col: str = "doc_id") -> DataFrame:
                     opened = {int(b): IndexBucket(f"{folder}/index-{b:05d}.bin")}
                 own = key[where == b]
                 found, entry = opened[int(b)].find(own)
-                yield pa.RecordBatch.from_arrays([pa.array(own[found]), *(pa.array(entry[n].astype(np.int64)) for n in ("shard", "documents", "document", "start"))], ["key", "shard", "documents", "document", "start"])
+                yield pa.RecordBatch.from_arrays([pa.array(own[found]), *(pa.array(entry[n].astype(np.int64)) for n in _PLACE)], ["key", *_PLACE])
 
-    rows = keys.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_KEY)).alias("key")).distinct()
-    return _by_bucket(rows, buckets).mapInArrow(look, "key long, shard long, documents long, document long, start long")
+    rows = keys.select(F.col(id_col).cast("long").alias("key")).distinct()
+    found = _by_bucket(rows.filter("key IS NOT NULL"), buckets).mapInArrow(look, "key long, shard long, documents long, document long, start long")
+    parts = keys.sparkSession.read.schema("key long, shard long, documents long, document long, start long").parquet(f"{folder}/parts")
+    if parts.isEmpty():
+        return found
+    found = written(found, "token-places")
+    several = parts.join(found.filter("documents = 0").select("key"), "key", "left_semi")
+    found = found.filter("documents > 0").unionByName(several)
+    return found if rows.filter("key IS NULL").isEmpty() else found.unionByName(parts.filter("key IS NULL"))
 
 
 def read_ids(places: DataFrame, store: Store) -> DataFrame:
@@ -275,44 +316,50 @@ def read_digests(places: DataFrame, store: Store) -> DataFrame:
     return _read(places, store, "n_tokens long, ids_crc32 long", digest)
 
 
+def runs(start: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Documents (from, to), in order of their place, that are read together: close to one another, and about RUN ids at most."""
+    a = 0
+    for i in range(1, len(start) + 1):
+        if i == len(start) or start[i] - start[i - 1] - n[i - 1] > SKIP or start[i] + n[i] - start[a] > RUN:
+            yield a, i
+            a = i
+
+
 def _read(places: DataFrame, store: Store, kinds: str, made) -> DataFrame:  # noqa: ANN001
     folder = store.folder
     names = ["key", "shard", "document", "start", *(x.split(" ")[0] for x in kinds.split(", "))]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened, lengths = (-1, None), np.zeros(0, np.int64)
-        for whole in batches:
-            for batch in (whole.slice(i, 2000) for i in range(0, whole.num_rows, 2000)):
-                rows, ids = [], []
-                for key, shard, documents, document, start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    if shard != opened[0]:
-                        opened = shard, Shard(f"{folder}/shard-{shard:05d}.bin")
-                        lengths = opened[1].lengths()
-                    for k in range(documents):
-                        n = int(lengths[document + k])
-                        ids.append(opened[1].ids(start, n))
-                        rows.append((key, shard, document + k, start))
-                        start += n
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in zip(*rows, strict=True)), *made(ids)], names)
-
-    ordered = places.select("key", "shard", "documents", "document", "start").repartition("shard").sortWithinPartitions("shard", "document")
+        for batch in batches:
+            shards = batch.column(1).to_numpy()
+            cuts = np.flatnonzero(np.concatenate(([True], shards[1:] != shards[:-1]))) if len(shards) else []
+            for a, b in zip(cuts, np.append(cuts[1:], len(shards)) if len(shards) else [], strict=True):
+                part = batch.slice(a, b - a)
+                shard = int(shards[a])
+                if shard != opened[0]:
+                    opened = shard, Shard(_shard_path(folder, shard))
+                    lengths = opened[1].lengths()
+                documents, first, at = (part.column(i).to_numpy() for i in (2, 3, 4))
+                # an entry of several documents is one row for each
+                entry = np.repeat(np.arange(len(documents)), documents)
+                document = first[entry] + np.arange(len(entry)) - np.repeat(np.cumsum(documents) - documents, documents)
+                n = lengths[document]
+                ahead = np.cumsum(n) - n
+                start = at[entry] + ahead - ahead[np.repeat(np.cumsum(documents) - documents, documents)]
+                key = part.column(0)
+                for i, j in runs(start, n):
+                    flat = opened[1].ids(int(start[i]), int(start[j - 1] + n[j - 1] - start[i]))
+                    ids = [flat[x : x + m] for x, m in zip(start[i:j] - start[i], n[i:j], strict=True)]
+                    own = pa.array(entry[i:j])
+                    yield pa.RecordBatch.from_arrays([key.take(own), pa.array(np.full(j - i, shard)), pa.array(document[i:j]), pa.array(start[i:j]), *made(ids)], names)
+
+    ordered = places.select("key", *_PLACE).repartition("shard").sortWithinPartitions("shard", "document")
     return ordered.mapInArrow(read, f"key long, shard long, document long, start long, {kinds}")
 
 
-def shard_starts(spark: SparkSession, store: Store) -> DataFrame:
-    """(shard, ids before it): from the shards' heads, 28 bytes and one small row for each shard."""
-    fs, at = pafs.FileSystem.from_uri(store.folder)
-    names = sorted(x.base_name for x in fs.get_file_info(pafs.FileSelector(at)) if x.base_name.startswith("shard-") and x.base_name.endswith(".bin"))
-    total, rows = 0, []
-    for name in names:
-        rows.append((int(name[6:-4]), total))
-        total += Shard(f"{store.folder}/{name}").total
-    return spark.createDataFrame(rows, "shard long, before long")
-
-
 def digests(df: DataFrame, store: Store, id_col: str = "doc_id") -> DataFrame:
     """(id, start, n_tokens, ids_crc32) of every document of df, looked up through the index and read back from the shards."""
     read = read_digests(locate(df, store, id_col), store)
-    starts = F.broadcast(shard_starts(df.sparkSession, store))  # a row of two numbers for each shard
-    key = F.when(F.col("key") != NO_KEY, F.col("key"))
-    return read.join(starts, "shard").select(key.alias(id_col), (F.col("before") + F.col("start")).alias("start"), "n_tokens", "ids_crc32")
+    starts = df.sparkSession.read.schema("shard long, ids_before long").parquet(f"{store.folder}/shards")
+    return read.join(starts, "shard").select(F.col("key").alias(id_col), (F.col("ids_before") + F.col("start")).alias("start"), "n_tokens", "ids_crc32")

@@ -65,32 +65,43 @@ def test_empty_tables(spark):
     assert token_store.digests(none, token_store.write_store(none, new_folder(spark, "store"), WORD, 2)).count() == 0
 
 
-def test_store_gives_back_every_document_by_key(spark):
+@pytest.mark.parametrize("shard_ids", [40, 8_000_000])
+def test_store_gives_back_every_document_by_key(spark, shard_ids):
     texts = some_texts(300)
     ids = [7 * i - 900 for i in range(len(texts))]
-    table = [(i, t) for i, t in zip(ids, texts)] + [(None, "no key"), (ids[5], "the same key again")]
+    table = [(i, t) for i, t in zip(ids, texts)] + [(None, "no key"), (None, None), (-(2**63), "the least key"), (2**63 - 1, "the greatest")]
+    table += [(ids[5], f"the same key again {i % 40}") for i in range(120)]  # one key in many shards, with repeated rows
     df = spark.createDataFrame(table, "doc_id long, text string").repartition(5)
-    store = token_store.write_store(df, new_folder(spark, "store"), WORD, end_id=2, keys_per_bucket=100)
+    store = token_store.write_store(df, new_folder(spark, "store"), WORD, end_id=2, keys_per_bucket=100, shard_ids=shard_ids)
     assert store.buckets > 1
     library = Tokenizer.from_file(WORD)
-    want, at = [], 0
-    encoded = [(-(2**63) if i is None else i, library.encode(t or "", add_special_tokens=False).ids + [2]) for i, t in table]
-    found = sorted((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in token_store.digests(df, store).collect())
+    at = 0
+    encoded = [(i, library.encode(t or "", add_special_tokens=False).ids + [2]) for i, t in table]
+    found = sorted((r.start, -(2**64) if r.doc_id is None else r.doc_id, r.n_tokens, r.ids_crc32) for r in token_store.digests(df, store).collect())
     assert len(found) == len(table)
     by_key = {}
     for k, x in encoded:
-        by_key.setdefault(k, []).append((len(x), zlib.crc32(np.array(x, "<u4").tobytes())))
+        by_key.setdefault(-(2**64) if k is None else k, []).append((len(x), zlib.crc32(np.array(x, "<u4").tobytes())))
     got_by_key = {}
     for start, key, n, crc in found:
         assert start == at
         at += n
-        got_by_key.setdefault(-(2**63) if key is None else key, []).append((n, crc))
+        got_by_key.setdefault(key, []).append((n, crc))
     assert list(got_by_key) == sorted(by_key)
     assert {k: sorted(v) for k, v in got_by_key.items()} == {k: sorted(v) for k, v in by_key.items()}
+    some = spark.createDataFrame([(ids[5],), (ids[7],), (ids[7],), (None,), (10**9,)], "doc_id long")
+    read = token_store.read_ids(token_store.locate(some, store), store).collect()
+    assert sorted((str(r.key), list(r.ids)) for r in read) == sorted((str(k), x) for k, x in encoded if k in (ids[5], ids[7], None))
     foreign = spark.createDataFrame([(10**9 + i,) for i in range(500)], "doc_id long")
     assert token_store.locate(foreign, store).count() == 0
 
 
+def test_reading_in_runs():
+    start, n = np.array([0, 10, 15, 50_000, 50_010]), np.array([10, 5, 1, 10, 5_000_000])
+    assert list(token_store.runs(start, n)) == [(0, 3), (3, 4), (4, 5)]
+    assert list(token_store.runs(start[:0], n[:0])) == []
+
+
 def test_wide_ids_and_perfect_places(tmp_path):
     token_store.write_shard(f"file://{tmp_path}/shard-00000.bin", [np.array([70000, 1], "<u4").tobytes(), b""])
     shard = token_store.Shard(f"file://{tmp_path}/shard-00000.bin")
