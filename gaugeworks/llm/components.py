@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import by_frequency, written
 
 ROUNDS = 60
 
@@ -16,8 +16,8 @@ def _near(edges: DataFrame) -> DataFrame:
 
 def _star(near: DataFrame, large: bool) -> DataFrame:
     """Ties every larger (large) or smaller neighbour of u to the least of u and its neighbours."""
-    least = near.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    joined = near.join(least, "u")
+    least = written(near.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n")), "least")
+    joined = by_frequency(near, least, "u").drop("n")  # the middle of a large star has very many edges
     if large:
         return joined.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     own = least.select("u", F.col("m").alias("v"))

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import small_batches, written
+from .shared import by_frequency, salted, small_batches, written
 from .words import shingle_sets, split_words
 
 K = 64
@@ -78,10 +78,10 @@ def _prefixes(classes: DataFrame, percent: int) -> DataFrame:
     size = F.size("sketch")
     exact = F.ceil(F.lit(percent) * F.col("n") / 100).cast("int")  # of sets that are their own sketch, and whose partners are
     need = F.when(F.col("n") * 100 <= percent * K, F.greatest(exact, F.lit(1))).otherwise(F.lit(t))
-    values = classes.select("node", "n", "fp", (size - need + 1).alias("room"), size.alias("size"), F.explode("sketch").alias("value"))
-    often = values.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
-    shared = values.join(often, "value")
-    own = shared.groupBy("node").agg(F.first("n").alias("n"), F.first("room").alias("room"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.sum("df").alias("weight"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("seen"))
+    values = classes.select("node", F.explode("sketch").alias("value"))
+    often = written(values.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1"), "often")
+    seen = by_frequency(values, often, "value", "df").groupBy("node").agg(F.sum("df").alias("weight"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("seen"))
+    own = seen.join(classes.select("node", "n", "fp", (size - need + 1).alias("room"), size.alias("size")), "node")
     left = F.col("room") - (F.col("size") - F.size("seen"))
     return own.filter(left > 0).select("node", "n", "weight", "fp", F.transform(F.slice("seen", F.lit(1), left), lambda x: x.value).alias("values"))
 
@@ -131,7 +131,8 @@ def _confirmed(pairs: DataFrame, sketches: DataFrame | None, sets: DataFrame, pe
 
     def beside(some: DataFrame, table: DataFrame, col: str) -> DataFrame:
         own = _of_nodes(table, some).select("node", col)
-        return some.join(own.toDF("u", "a"), "u").join(own.toDF("v", "b"), "v").select("u", "v", "a", "b")
+        one = salted(some, own.toDF("u", "a"), "u")  # a middle of many lists is in very many pairs
+        return salted(one, own.toDF("v", "b"), "v", some).select("u", "v", "a", "b")
 
     pairs = written(pairs, "pairs")
     if sketches is not None:
@@ -151,8 +152,8 @@ def _exact_lists(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column(0).to_numpy(), size)), pa.array(np.repeat(size, size)), pa.array(np.concatenate(own))], ["node", "n", "value"])
 
     each = written(sets.join(nodes, "node", "left_semi").select("node", "shingles").mapInArrow(shingles, "node long, n long, value long"), "shingles")
-    often = each.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
-    own = each.join(often, "value").groupBy("node").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("seen"))
+    often = written(each.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1"), "often")
+    own = by_frequency(each, often, "value", "df").groupBy("node").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("seen"))
     alone = F.col("n") - F.size("seen")
     room = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1 - alone
     listed = own.filter(room > 0).select("node", "n", alone.alias("alone"), F.posexplode(F.slice("seen", F.lit(1), room.cast("int"))).alias("pos", "x"))
@@ -211,8 +212,8 @@ def _as_pivot() -> list[Column]:
 
 def _middle(lists: DataFrame, by: str) -> DataFrame:
     """Of each list the member that most of the others are likely near to."""
-    top = lists.groupBy("value").agg(F.max(F.struct(by, *_as_pivot())).alias("top"))
-    return top.select("value", "top.pivot", "top.m", "top.own_m", "top.side")
+    top = lists.groupBy("value").agg(F.max(F.struct(by, *_as_pivot())).alias("top"), F.count("*").alias("count"))
+    return top.select("value", "top.pivot", "top.m", "top.own_m", "top.side", "count")
 
 
 class _Links:
@@ -225,7 +226,8 @@ class _Links:
         self.fresh = True
 
     def pairs(self, lists: DataFrame, pivots: DataFrame) -> DataFrame:
-        near = lists.join(pivots, "value").filter((F.col("component") != F.col("side")) & _could_link(self.percent))
+        met = by_frequency(lists, written(pivots, "middles"), "value", "count") if "count" in pivots.columns else salted(lists, pivots, "value")
+        near = met.filter((F.col("component") != F.col("side")) & _could_link(self.percent))
         return near.select(F.greatest("node", "pivot").alias("u"), F.least("node", "pivot").alias("v")).distinct()
 
     def add(self, pairs: DataFrame, sketches: DataFrame | None = None) -> bool:
@@ -243,11 +245,13 @@ class _Links:
     def spanning(self, lists: DataFrame) -> DataFrame:
         """The lists that span several components, without members that no other of their list could link with, and with their number of members; written."""
         named = lists.drop("component", "members").join(self.label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        least = named.groupBy("value").agg(F.min("n").alias("m"))
+        named = written(named, "named")
+        least = written(named.groupBy("value").agg(F.min("n").alias("m"), F.count("*").alias("count")), "least")
         far = F.greatest(F.col("m"), F.ceil(self.percent * F.col("n") / 100))
-        near = named.join(least, "value").filter(100 * F.col("own") >= self.percent * (F.col("n") + far - F.col("own"))).drop("m")
+        near = by_frequency(named, least, "value", "count").filter(100 * F.col("own") >= self.percent * (F.col("n") + far - F.col("own"))).drop("m", "count")
+        near = written(near, "near")
         spans = near.groupBy("value").agg(F.count("*").alias("members"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("value", "members")
-        return written(near.join(spans, "value"), "lists")
+        return written(by_frequency(near, written(spans, "spans"), "value", "members"), "lists")
 
 
 def _full_sets(df: DataFrame, listed: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:

@@ -41,13 +41,28 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def by_frequency(rows: DataFrame, table: DataFrame, key: str, count: str = "n", parts: int = 1000) -> DataFrame:
     """rows joined with a written table of distinct keys and the number of rows of each (`count`).
 
-    Keys of a part in `parts` of all rows or more, at most `parts` of them, are joined by broadcast where
-    their rows are; the others are shuffled. So one key may hold any share of the rows.
+    The `parts` most frequent keys are joined by broadcast where their rows are, the others are shuffled; none of
+    these has more than one row in `parts`. So one key may hold any share of the rows.
     """
-    total = table.agg(F.sum(count)).first()[0] or 0
-    hot = F.broadcast(table.filter(F.col(count) * parts >= total))  # `parts` keys at most: their counts add up to the total
-    rest = rows.join(F.broadcast(table.filter(F.col(count) * parts >= total).select(key)), key, "left_anti")
-    return rows.join(hot, key).unionByName(rest.join(table.filter(F.col(count) * parts < total), key))
+    hot = F.broadcast(table.orderBy(F.desc(count), key).limit(parts))  # `parts` keys
+    rest = rows.join(hot.select(key), key, "left_anti").join(table, key)
+    return rows.join(hot, key).unionByName(rest)
+
+
+def salted(rows: DataFrame, table: DataFrame, key: str, counted: DataFrame | None = None, parts: int = 1000, copies: int = 32) -> DataFrame:
+    """rows joined with a table on a key that may be any share of the rows, where a key may have several or wide rows in the table.
+
+    The `parts` most frequent keys, as far as they have enough rows for it, are dealt to `copies` tasks, and their
+    rows of the table are copied to these; none of the others has more than one row in `parts`. counted: a frame
+    with the key's column to count in, if not rows.
+    """
+    n = (rows if counted is None else counted).groupBy(key).agg(F.count("*").alias("__n")).filter(F.col("__n") >= 2 * copies)
+    hot = F.broadcast(n.orderBy(F.desc("__n"), key).limit(parts).select(key, F.lit(True).alias("__hot")))  # `parts` keys
+    dealt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(copies))).otherwise(0).cast("int")
+    left = rows.join(hot, key, "left").withColumn("__salt", dealt).drop("__hot")
+    copied = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(copies - 1))).otherwise(F.array(F.lit(0)))
+    right = table.join(hot, key, "left").withColumn("__salt", F.explode(copied)).drop("__hot")
+    return left.join(right, [key, "__salt"]).drop("__salt")
 
 
 def text_or_empty(col: str = "text") -> Column:
