@@ -5,15 +5,21 @@ component sqrt(M^2 - |x|^2) and every query a 0: the distance d of the two then
 2 q.x = |q|^2 + M^2 - d^2, so the largest products are the nearest vectors.
 
 The index keys every vector by its nearest pivot and by the annulus its distance falls in. Pivots and
-annuli are fitted on a bounded sample; every vector is indexed. For a query, the annuli are sorted by the
+annuli are fitted on a bounded sample; every vector is indexed. There are about sqrt(n) / 8 pivots, up to PIVOTS
+(their bound and the sample's are what the driver holds). For a query, the annuli are sorted by the
 least distance the triangle inequality allows, max(d(q, p) - outer, inner - d(q, p)). The first ones, until
 they hold k vectors, are searched to get a k-th score; then all others whose bound can still reach it,
 the search stops at the bound. Scores are computed exactly, so the result is exact.
 
+How much the bounds skip depends on the vectors alone: clustered ones leave few blocks, vectors without any
+structure leave all of them, and then the search is exact by brute force (README has figures).
+
 Vectors and queries meet in blocks: a cell (pivot, annulus) is split by a hash into parts of some
-thousand vectors and queries into parts of a thousand, so a vector that a third of all rows repeat is
+thousand vectors and queries into parts of some thousand, so a vector that a third of all rows repeat is
 no large group.
 
+Ties: the smaller vector id is the better one, among equal scores of a vector repeated under one id each row counts.
+
 Vectors that are null, or hold null or non-finite components, and rows without id take no part. Missing
 components of shorter vectors count as 0. Scores beyond 64 bits are clipped. Repeated ids: each row is
 a candidate, and one query runs for an id. Fewer than k candidates: all of them. Empty tables: empty
@@ -33,7 +39,9 @@ from pyspark.sql import functions as F
 from .shared import written
 
 #: Rows of the sample that fits pivots and annuli; pivots, annuli of each, vectors and queries of a block.
-SAMPLE, PIVOTS, RINGS, BLOCK, QUERIES = 4096, 64, 8, 4096, 1024
+SAMPLE, PIVOTS, RINGS, BLOCK, QUERIES = 8192, 1024, 8, 4096, 4096
+#: Queries of a block that are scored at once, so that their scores take 16 MB.
+AT_ONCE = 512
 _KIND = "id long, vec binary"
 
 
@@ -134,7 +142,7 @@ def build(vectors: DataFrame) -> tuple[Index, DataFrame]:
         own = np.frombuffer(bytes(r["vec"]), "<f8")
         x[i, : len(own)] = own
     x = np.column_stack((x, np.sqrt(np.maximum(top**2 - (x**2).sum(1), 0.0))))
-    pivots = _pick_pivots(np.unique(x, axis=0), max(1, min(PIVOTS, n // (2 * BLOCK)))) if len(x) else np.zeros((1, dim + 1))
+    pivots = _pick_pivots(np.unique(x, axis=0), max(1, min(PIVOTS, round(n**0.5 / 8)))) if len(x) else np.zeros((1, dim + 1))
     d = _distances(x, pivots)
     near = d.argmin(1) if len(x) else np.zeros(0, int)
     quantiles = np.arange(1, RINGS) / RINGS
@@ -152,8 +160,9 @@ def build(vectors: DataFrame) -> tuple[Index, DataFrame]:
     cell, count, lo, hi = (np.array([r[i] for r in found]) for i in range(4))
     parts = -(-count.astype(np.int64) // BLOCK)
     index = Index(dim, top, pivots, edges, cell.astype(np.int64), count, parts, lo.astype(float), hi.astype(float))
-    many = F.create_map(*[F.lit(int(v)) for c, p in zip(cell, parts, strict=True) for v in (c, p)]) if len(cell) else F.create_map(F.lit(0), F.lit(1))
-    return index, keyed.withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce(F.element_at(many, F.col("cell").cast("int")), F.lit(1)))).drop("distance")
+    table = vectors.sparkSession.createDataFrame([(int(c), int(p)) for c, p in zip(cell, parts, strict=True)], "cell long, parts long")
+    placed = keyed.join(F.broadcast(table), "cell")  # PIVOTS x RINGS rows at most
+    return index, placed.select("id", "vec", "cell", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part"))
 
 
 def _needs(queries: DataFrame, index: Index, k: int, second: bool) -> DataFrame:
@@ -192,15 +201,18 @@ def _scores(vectors: DataFrame, needs: DataFrame, index: Index, k: int) -> DataF
         out: tuple[list, list, list] = ([], [], [])
         if len(ids) and len(queries):
             x, q = _matrix(one["vec"], index.dim), _matrix(two["vec"], index.dim)
-            if np.abs(x).max(initial=0) * np.abs(q).max(initial=0) * max(1, index.dim) < 2**52:
-                score = (q @ x.T).astype(np.int64)
-            else:  # whole numbers without limit, then clipped
-                a, b = (np.array([[int(v) for v in row] for row in m], object) for m in (q, x))
-                score = np.array([[max(min(int(v), 2**63 - 1), -(2**63)) for v in row] for row in a @ b.T], np.int64)
             by_id = np.argsort(ids, kind="stable")
-            ids, score = ids[by_id], score[:, by_id]
+            ids, x = ids[by_id], x[by_id]
+            small = np.abs(x).max(initial=0) * np.abs(q).max(initial=0) * max(1, index.dim) < 2**52
             for i, query in enumerate(queries):
-                row, own = (score[i], ids) if query not in ids else (score[i][ids != query], ids[ids != query])
+                if i % AT_ONCE == 0:
+                    some = q[i : i + AT_ONCE]
+                    if small:
+                        score = (some @ x.T).astype(np.int64)
+                    else:  # whole numbers without limit, then clipped
+                        a, b = (np.array([[int(v) for v in row] for row in m], object) for m in (some, x))
+                        score = np.array([[max(min(int(v), 2**63 - 1), -(2**63)) for v in row] for row in a @ b.T], np.int64)
+                row, own = (score[i % AT_ONCE], ids) if query not in ids else (score[i % AT_ONCE][ids != query], ids[ids != query])
                 at = np.arange(len(row))
                 if len(row) > k:
                     at = np.flatnonzero(row >= np.partition(row, len(row) - k)[len(row) - k])

@@ -269,6 +269,31 @@ def test_search_is_exact(spark, seed, monkeypatch):
     assert {q: sorted(x) for q, x in got.items()} == want
 
 
+def test_bounds_skip_what_is_far_from_clustered_queries(spark):
+    make = np.random.default_rng(3)
+    centres = make.normal(size=(20, 8)) * 4
+    rows = [(int(i), (centres[i % 20] + make.normal(size=8) * 0.05).tolist()) for i in range(6000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    index, vectors = topk.build(topk.written(topk.whole_vectors(df, "vec_id", "embedding", 1024), "vectors"))
+    assert len(index.pivots) == 10
+    own = vectors.filter("id % 100 = 0").select("id", "vec").withColumn("grp", F.lit(0).cast("long"))
+    whole = {i: np.floor(1024 * np.array(x)).astype(np.int64) for i, x in rows}
+    every = np.array([whole[i] for i in range(6000)])
+    kth = {q: int(np.sort(np.delete(every @ whole[q], q))[-10]) for q in range(0, 6000, 100)}
+    with_kth = own.join(spark.createDataFrame(list(kth.items()), "id long, kth long"), "id").select("id", "vec", "grp", "kth")
+    left = topk._needs(own, index, 10, False).count() + topk._needs(with_kth, index, 10, True).count()
+    assert left < 0.4 * len(kth) * int(index.parts.sum())
+    got = {}
+    for r in topk.top_k(df, F.col("id") % 100 == 0).collect():
+        got.setdefault(r.query_id, {})[r.rank] = r.score
+    assert {q: x[10] for q, x in got.items()} == kth
+
+
+def test_search_of_repeated_rows_and_clashing_columns(spark):
+    df = spark.createDataFrame([(0, [1.0], 1, "a"), (1, [2.0], 2, "b"), (1, [2.0], 2, "b"), (2, [2.0], 3, "c")], "vec_id long, embedding array<float>, id int, cell string")
+    assert [tuple(r)[:4] for r in topk.top_k(df, F.col("id") % 100 == 0).orderBy("rank").collect()] == [(0, 1, 1, 2097152), (0, 2, 1, 2097152), (0, 3, 2, 2097152)]
+
+
 def test_search_of_few_or_no_vectors(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in topk.top_k(df, F.col("id") % 100 == 0).collect()] == [(0, 1, 1, 1024 * 2048)]
