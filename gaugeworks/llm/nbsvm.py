@@ -173,7 +173,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: st
             own = [buckets[a:b].astype(np.int32).tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(own, pa.binary())], ["id", "y", "fold", "f"])
 
-    made = joined.mapInArrow(run, "id long, y int, fold long, f binary").dropDuplicates(["id"])
+    # of several texts of an id the least counts, so that a model is the same each time
+    made = joined.mapInArrow(run, "id long, y int, fold long, f binary").groupBy("id", "y", "fold").agg(F.min("f").alias("f"))
     got = sorted(written(made, "labelled").collect(), key=lambda r: r["id"])
     good = np.array([r["y"] == 1 for r in got], bool)
     if not len(good) or good.all() or not good.any():

@@ -1,6 +1,6 @@
 """PII surrogates: every detected entity gets a keyed replacement of its own type, format, script and gender.
 
-Spark functions only. One pattern finds e-mail and IP addresses, phone, card, bank account and social
+Spark functions only. One pattern finds e-mail and IP addresses (both versions), phone, card, bank account and social
 security numbers, and persons after one title or several. Card numbers have 13 to 19 digits and a valid
 check digit. An entity's canonical form (lower case, bare digits; with the title's gender for persons) is what
 coreference means: it has one surrogate in the whole corpus, written in each mention's own format. Letters
@@ -15,7 +15,11 @@ Distinctness: the distinct entities of the corpus are collected into one table w
 as long as two entities of a type share one, or one equals an entity that is in the corpus, all but the
 least of them try again with the next attempt number.
 
-Null text stays null, with 0 entities. Empty texts and texts without entities stay as they are. Repeated rows: each is
+Texts are scanned once and written cut up at their entities; what follows works on mentions. Entities and copies of
+texts that a large share of the corpus has are spread over tasks.
+
+Null text stays null, with 0 entities. Very long texts are scanned whole. Ties: of equal surrogates the least entity
+keeps its own. Empty texts and texts without entities stay as they are. Repeated rows: each is
 returned, with the same replacements. Empty tables: empty result. Other columns of the input are not read.
 """
 
@@ -24,10 +28,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import by_frequency, salted, written
 
 #: Titles by gender, and given and family names by gender and script.
-MALE_TITLES, FEMALE_TITLES, PLAIN_TITLES = "Mr|MR|Herr|HERR|Monsieur|Señor|Sr|Г-н|Господин", "Mrs|MRS|Ms|MS|Miss|MISS|Frau|FRAU|Madame|Mme|Mlle|Señora|Sra|Srta|Г-жа|Госпожа", "Dr|DR|Prof|PROF"
+MALE_TITLES, FEMALE_TITLES, PLAIN_TITLES = "Mr|MR|Herr|HERR|Monsieur|Señor|Sr|Г-н|Господин|Κύριος|Κος", "Mrs|MRS|Ms|MS|Miss|MISS|Frau|FRAU|Madame|Mme|Mlle|Señora|Sra|Srta|Г-жа|Госпожа|Κυρία|Κα", "Dr|DR|Prof|PROF"
 NAMES = {
     ("latin", "m"): "Adam Albert Anton Arthur Bruno Carl Daniel David Edgar Emil Erik Felix Frank Georg Hugo Ivan Jakob Karl Leo Louis Marco Martin Max Nils Oscar Otto Paul Peter Ralph Simon Theo Victor",
     ("latin", "f"): "Ada Agnes Alma Anna Carla Clara Diana Edith Elena Emma Eva Flora Gina Greta Hanna Helga Ida Irene Jana Julia Klara Laura Lena Lucia Maria Martha Nora Olga Paula Rosa Sofia Vera",
@@ -35,10 +39,14 @@ NAMES = {
     ("cyrillic", "m"): "Андрей Борис Виктор Глеб Денис Егор Захар Иван Кирилл Лев Максим Никита Олег Павел Роман Степан",
     ("cyrillic", "f"): "Алла Вера Галина Дарья Елена Жанна Зоя Ирина Клара Лидия Мария Нина Ольга Полина Раиса София",
     ("cyrillic", "n"): "Женя Саша Валя Слава",
+    ("greek", "m"): "Αλέξης Βασίλης Γιώργος Δημήτρης Ηλίας Κώστας Λεωνίδας Μιχάλης Νίκος Πέτρος Σπύρος Στέλιος",
+    ("greek", "f"): "Άννα Βασιλική Γεωργία Δήμητρα Ελένη Ζωή Ιωάννα Κατερίνα Μαρία Σοφία Φωτεινή Χριστίνα",
+    ("greek", "n"): "Μαρίνος Φανή Χρύσα Αριστέα",
 }
 #: Parts that family names are made of, three to a name.
 FAMILY = {
     "latin": "al an ar ba bel ber bo bran cor da del den dor el en er fal fer gar gel han har hol in jan kal kel lan lar len lo lun mar mel mon nel nor ol or pal ran rel ros sal san sel sol tal tan ter tor val van ver vin wal wel win zan",
+    "greek": "αλ αν βασ βελ γερ γιαν δαμ δημ ελ ζαχ θεο καλ καρ κων λαμ λεο μαν μαρ μιχ νικ παπ παυ πετ ραλ σαβ σταυ στε τσα φιλ χατ χρισ",
     "cyrillic": "ал ан ар бел бер бор вал вер вол гал гор дан дор ел ер жар зар зол ив кал кар ков лан лар лев мар мел мор нар нов ол ор пал пол рад ров сал сев сол тал тар тор фал хар чер шар юр ян",
 }
 _TITLES = f"{MALE_TITLES}|{FEMALE_TITLES}|{PLAIN_TITLES}"
@@ -46,10 +54,13 @@ _TITLES = f"{MALE_TITLES}|{FEMALE_TITLES}|{PLAIN_TITLES}"
 _WORD = r"\p{Lu}(?:(?![’']s(?!\p{L}))[’'-]?\p{L})+"
 _NAME = rf"(?!(?:{_TITLES})(?!\p{{L}})){_WORD}(?:\x20{_WORD}){{0,2}}"
 _TITLE = rf"(?:(?:{_TITLES})\.?\x20)+"
+_HEX = "[0-9A-Fa-f]{1,4}"
+#: Eight groups, or fewer around a double colon; a digit is in it, so that a::b is none.
+_IP6 = rf"(?<![0-9A-Za-z:.])(?=[A-Fa-f:]*[0-9])(?:(?:{_HEX}:){{7}}{_HEX}|{_HEX}(?::{_HEX}){{0,5}}::(?:{_HEX}(?::{_HEX}){{0,5}})?|::{_HEX}(?::{_HEX}){{0,6}})(?![0-9A-Za-z]|:[0-9A-Fa-f])"
 #: The patterns by type, in the order in which they are tried at a place.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])",
-    "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])",
+    "ip": rf"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){{3}}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])|{_IP6}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9+-])[0-9]{4}(?:(?:[\x20-]?[0-9]{4}){2}[\x20-]?[0-9]{1,7}|[\x20-][0-9]{6}[\x20-][0-9]{4,5})(?![0-9])",
@@ -115,7 +126,7 @@ def _resolved(each: DataFrame) -> DataFrame:
 
 
 def _script(text: Column) -> Column:
-    return F.when(text.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
+    return F.when(text.rlike(r"\p{IsCyrillic}"), "cyrillic").when(text.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
 
 class _Drawn:
@@ -145,11 +156,16 @@ def surrogate(key: str, kind: Column, canonical: Column, gender: Column, attempt
         mapped = lambda text: F.array_join(F.transform(F.split(text, ""), lambda c, i: F.when(c.rlike("^[0-9]$"), digit(i)).when(c.rlike("^[A-Z]$"), F.upper(letter(c, i))).when(c.rlike("^[a-z]$"), letter(c, i)).otherwise(c)), "")
         email = F.concat(mapped(F.substring_index(canonical, "@", 1)), F.lit("@mail"), draw(d, 21, 1_000_000).cast("string"), F.lit(".example.org"))
         # 240.0.0.0 and up is reserved and routed nowhere
-        ip = F.concat_ws(".", (draw(d, 1, 15) + 240).cast("string"), *[draw(d, i, 256).cast("string") for i in (2, 3, 4)])
+        ip4 = F.concat_ws(".", (draw(d, 1, 15) + 240).cast("string"), *[draw(d, i, 256).cast("string") for i in (2, 3, 4)])
+        # 2001:db8 is kept for documentation; short forms stay short
+        group = lambda i: F.lower(F.hex(draw(d, i, 65_535) + 1))
+        ip6 = F.when(canonical.contains("::"), F.concat(F.lit("2001:db8::"), F.concat_ws(":", *map(group, (5, 6, 7))))).otherwise(F.concat_ws(":", F.lit("2001"), F.lit("db8"), *map(group, range(5, 11))))
+        ip = F.when(canonical.contains(":"), ip6).otherwise(ip4)
         free = F.concat(F.substring(canonical, 1, 1), F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(canonical) - 2)), lambda i: digit(i)), ""))
         card = F.concat(free, F.when(luhn_total(canonical) % 10 == 0, F.pmod(F.lit(10) - luhn_total(F.concat(free, F.lit("0"))) % 10, F.lit(10)).cast("string")).otherwise(digit(19)))
         phone = F.array_join(F.transform(F.split(canonical, ""), lambda c, i: F.when(F.length(canonical) - i > 10, c).otherwise(digit(i))), "")
-        iban = F.concat(F.substring(canonical, 1, 2), mapped(F.substring(canonical, 3, 40)))
+        land, account = F.substring(canonical, 1, 2), mapped(F.substring(canonical, 5, 40))
+        iban = F.concat(land, F.lpad((98 - remainder97(F.concat(account, land, F.lit("00")))).cast("string"), 2, "0"), account)
         first = F.coalesce(*[F.when((_script(canonical) == s) & (gender == g), _pick(names, draw(d, 3, len(names.split())))) for (s, g), names in NAMES.items()])
         family = lambda i: F.coalesce(*[F.when(_script(canonical) == s, F.concat(*[_pick(parts, draw(d, i + j, len(parts.split()))) for j in range(3)])) for s, parts in FAMILY.items()])
         last, second = family(8), family(12)
@@ -169,6 +185,13 @@ def luhn_total(digits: Column) -> Column:
     return F.aggregate(F.transform(F.filter(places, lambda c: c != ""), value), F.lit(0), lambda a, x: a + x)
 
 
+def remainder97(text: Column) -> Column:
+    """An account number by the rule for its check digits: letters as 10 to 35, the rest of a division by 97."""
+    value = lambda c: F.when(c.rlike("^[0-9]$"), c.cast("int")).otherwise(F.ascii(F.upper(c)) - 55)
+    step = lambda a, x: (a * F.when(x > 9, 100).otherwise(10) + x) % 97
+    return F.aggregate(F.transform(F.filter(F.split(text, ""), lambda c: c != ""), value), F.lit(0), step)
+
+
 def _written_as(entity: Column, kind: Column, made: Column) -> Column:
     """A canonical surrogate in the format of a mention: its separators, its capitals, its title."""
     slots = F.split(entity, "")
@@ -180,53 +203,66 @@ def _written_as(entity: Column, kind: Column, made: Column) -> Column:
     bare = F.regexp_replace(entity, f"^{_TITLE}", "")
     capitals = F.regexp_replace(F.initcap(F.regexp_replace(made, "-", " - ")), " - ", "-")
     name = F.concat(title, F.when(bare == F.upper(bare), F.upper(made)).otherwise(capitals))
-    email = F.when(entity == F.upper(entity), F.upper(made)).otherwise(made)
-    return F.when(kind == "email", email).when(kind == "ip", made).when(kind == "person", name).otherwise(numbers)
+    local = lambda text: F.split(F.substring_index(text, "@", 1), "")
+    cased = F.array_join(F.zip_with(local(entity), local(made), lambda a, b: F.when(a.rlike("^[A-Z]$"), F.upper(b)).otherwise(b)), "")
+    email = F.when(entity == F.upper(entity), F.upper(made)).otherwise(F.concat(cased, F.lit("@"), F.substring_index(made, "@", -1)))
+    ip = F.when(entity.rlike("[A-F]") & (entity == F.upper(entity)), F.upper(made)).otherwise(made)
+    return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "person", name).otherwise(numbers)
 
 
 def mapping(entities: DataFrame, key: str) -> DataFrame:
-    """(kind, canonical, made): one surrogate for each distinct (kind, canonical, gender), no two of a kind alike and none equal to an entity of the corpus."""
-    table = written(entities.select("kind", "canonical", "gender").distinct().withColumn("attempt", F.lit(0)), "entities")
+    """(kind, canonical, gender, n, made): one surrogate for each distinct (kind, canonical, gender), no two of a kind alike and none equal to an entity of the corpus; n: its mentions."""
+    counted = entities.groupBy("kind", "canonical", "gender").agg(F.count("*").alias("n"))
+    table = written(counted.withColumn("attempt", F.lit(0)), "entities")
     originals = table.select("kind", F.col("canonical").alias("made"), F.lit(True).alias("taken")).distinct()
     made = surrogate(key, F.col("kind"), F.col("canonical"), F.col("gender"), F.col("attempt"))
     table = written(table.withColumn("made", made), "surrogates")
     for _ in range(ATTEMPTS):
-        crowd = table.groupBy("kind", "made").agg(F.count("*").alias("n"), F.min(F.struct("canonical", "gender")).alias("first"))
+        crowd = table.groupBy("kind", "made").agg(F.count("*").alias("many"), F.min(F.struct("canonical", "gender")).alias("first"))
         # who has to try again: all but one of a crowd, and those that hit an entity of the corpus
-        clash = crowd.join(originals, ["kind", "made"], "left").filter("n > 1 OR taken").select("kind", "made", "first", F.coalesce("taken", F.lit(False)).alias("taken"))
+        clash = crowd.join(originals, ["kind", "made"], "left").filter("many > 1 OR taken").select("kind", "made", "first", F.coalesce("taken", F.lit(False)).alias("taken"))
         clash = written(clash, "clashes")
         if clash.isEmpty():
             return table
         hit = table.join(clash, ["kind", "made"], "left")
         again = F.col("taken") | (F.col("first") != F.struct("canonical", "gender"))
-        table = hit.withColumn("attempt", F.col("attempt") + F.coalesce(again, F.lit(False)).cast("int")).select("kind", "canonical", "gender", "attempt")
+        table = hit.withColumn("attempt", F.col("attempt") + F.coalesce(again, F.lit(False)).cast("int")).select("kind", "canonical", "gender", "n", "attempt")
         table = written(table.withColumn("made", made), "surrogates")
     raise RuntimeError("surrogates still clash: the space of a type is too small for its entities")
 
 
+def _cut_up(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text, key, pieces, gaps) of every row, written: texts with entities as their entities and what lies around these, other texts whole."""
+    text = F.col(f"`{text_col}`").cast("string")
+    rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text"), F.when(text.rlike(_MAYBE), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).alias("found"))
+    persons = F.filter("found", lambda x: x.rlike(f"^{_TITLE}"))
+    # the name of a person is looked for without title too, so their texts are cut at a pattern of their own
+    named = F.size(persons) > 0
+    own = F.when(named, _pattern(persons))
+    some = F.size("found") > 0
+    pieces = F.when(named, F.regexp_extract_all("text", own, F.lit(0))).when(some, F.col("found"))
+    gaps = F.when(named, F.split("text", own, -1)).when(some, F.split("text", F.lit(ANY), -1))
+    return written(rows.select("id", F.when(some, F.lit(None)).otherwise(F.col("text")).alias("text"), F.when(some, F.sha2(F.col("text").cast("binary"), 256)).alias("key"), pieces.alias("pieces"), gaps.alias("gaps")), "texts")
+
+
 def replace(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text with surrogates, n_entities, kinds) for every row; kinds counts the entities by type, as a map."""
-    text = F.col(text_col).cast("string")
-    found = F.when(text.rlike(_MAYBE), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
-    rows = df.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), found.alias("found"))
-    some = F.coalesce(F.size("found") > 0, F.lit(False))
-    # texts with entities are few; their replacements hang on the text alone, so its hash joins them
-    own = rows.filter(some).withColumn("key", F.sha2(F.col("text").cast("binary"), 256))
-    persons = F.filter("found", lambda x: x.rlike(f"^{_TITLE}"))
-    own = own.withColumn("pattern", F.when(F.size(persons) > 0, _pattern(persons)).otherwise(F.lit(ANY)))
-    again = F.when(F.col("pattern") == F.lit(ANY), F.col("found")).otherwise(F.regexp_extract_all("text", F.col("pattern"), F.lit(0)))
-    each = own.dropDuplicates(["key"]).select("key", F.posexplode(again).alias("pos", "entity"))
+    rows = _cut_up(df, id_col, text_col)
+    own = rows.filter("key IS NOT NULL").drop("text")
+    # replacements hang on the text alone, so copies of a text share them by its hash
+    each = own.groupBy("key").agg(F.first("pieces").alias("pieces")).select("key", F.posexplode("pieces").alias("pos", "entity"))
     each = each.withColumn("kind", _type_of(F.col("entity")))
     person = F.col("kind") == "person"
     each = each.withColumns({"canonical": _canonical(F.col("entity"), F.col("kind")), "titled": person & F.col("entity").rlike(f"^{_TITLE}"), "gender": F.when(person, _gender(F.col("entity"))).otherwise("n")})
-    each = written(_resolved(written(each, "mentions")), "resolved")
-    made = mapping(each.filter("kind <> 'none'"), key).select("kind", "canonical", "gender", "made")
+    each = written(_resolved(written(each, "mentions")).withColumn("who", F.concat_ws("\x1f", "kind", "gender", "canonical")), "resolved")
+    made = written(mapping(each.filter("kind <> 'none'"), key).select(F.concat_ws("\x1f", "kind", "gender", "canonical").alias("who"), "made", "n"), "made")
     part = F.when(F.col("part") > 0, F.get(F.split("made", " "), F.col("part") - 1)).otherwise(F.col("made"))
-    placed = each.join(made, ["kind", "canonical", "gender"], "left").withColumn("new", F.when(F.col("kind") == "none", F.col("entity")).otherwise(_written_as(F.col("entity"), F.col("kind"), part)))
+    new = by_frequency(each.filter("kind <> 'none'"), made, "who").select("key", "pos", "kind", _written_as(F.col("entity"), F.col("kind"), part).alias("new"))
+    placed = new.unionByName(each.filter("kind = 'none'").select("key", "pos", "kind", F.col("entity").alias("new")))
     lists = placed.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("pos", "new", "kind"))).alias("new"))
-    joined = own.join(lists, "key").withColumn("gaps", F.split("text", F.col("pattern"), -1))
+    joined = salted(own.select("id", "key", "gaps"), written(lists, "replacements"), "key")
     pieces = F.zip_with(F.col("gaps"), F.transform("new", lambda x: x.new), lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))))
     counted = F.map_from_entries(F.transform(F.array(*map(F.lit, PATTERNS)), lambda k: F.struct(k, F.size(F.filter("new", lambda x: x.kind == k)))))
     done = joined.select("id", F.array_join(pieces, "").alias("text"), F.size(F.filter("new", lambda x: x.kind != "none")).cast("long").alias("n_entities"), counted.alias("kinds"))
-    plain = rows.filter(~some).select("id", "text", F.lit(0).cast("long").alias("n_entities"), F.map_from_entries(F.array(*[F.struct(F.lit(k), F.lit(0)) for k in PATTERNS])).alias("kinds"))
+    plain = rows.filter("key IS NULL").select("id", "text", F.lit(0).cast("long").alias("n_entities"), F.map_from_entries(F.array(*[F.struct(F.lit(k), F.lit(0)) for k in PATTERNS])).alias("kinds"))
     return done.unionByName(plain).withColumnsRenamed({"id": id_col})

@@ -152,6 +152,39 @@ def test_classifier_without_much_to_learn(spark):
     assert nbsvm.keep_good(docs, nbsvm.train(docs, one)).columns == docs.columns
 
 
+def test_ratios_and_hinge_fit_against_plain_code():
+    make = np.random.default_rng(5)
+    rows = [np.unique(make.integers(0, 30, make.integers(1, 12))) for _ in range(80)]
+    good = make.random(80) < 0.6
+    got = nbsvm.ratios(rows, good)
+    for j in range(30):
+        p, q = sum(j in x for x, y in zip(rows, good) if y), sum(j in x for x, y in zip(rows, good) if not y)
+        want = np.log((p + 1) / (good.sum() + 2)) - np.log((q + 1) / ((~good).sum() + 2)) if p + q >= 3 else 0.0
+        assert abs(got[j] - want) < 1e-12
+    assert not got[30:].any()
+    w, bias = nbsvm.dual_descent(rows, good, got, cost=0.5, rounds=2000)
+    # the dual by projected gradient on dense rows: with the bias as one more feature of value 1
+    x = np.zeros((80, 31))
+    for i, row in enumerate(rows):
+        x[i, row] = got[row]
+    x[:, 30] = 1
+    y = np.where(good, 1.0, -1.0)
+    upper = 0.5 * np.where(good, 80 / (2 * good.sum()), 80 / (2 * (~good).sum()))
+    gram = (x * y[:, None]) @ (x * y[:, None]).T
+    alpha, step = np.zeros(80), 1 / np.linalg.eigvalsh(gram)[-1]
+    for _ in range(200_000):
+        alpha = np.clip(alpha - step * (gram @ alpha - 1), 0, upper)
+    want = (alpha * y) @ x
+    assert np.abs(np.append(w[:30], bias) - want).max() < 5e-3 * max(1, np.abs(want).max())
+
+
+def test_training_takes_the_least_of_several_texts_of_an_id(spark):
+    docs = spark.createDataFrame([(1, "good words here"), (1, "bad ### text"), (2, "bad ### bad"), (3, "good good"), (4, "### ###")] * 2, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (4, 0)], "doc_id long, quality int")
+    models = [nbsvm.train(docs.repartition(n), labels) for n in (1, 3)]
+    assert models[0].bias == models[1].bias and (models[0].weight == models[1].weight).all()
+
+
 def test_features_are_the_same_in_any_company():
     texts = ["The cat!! sat", None, "", "The The cat ### x", "é ü"]
     edges, buckets = nbsvm.features(texts)
