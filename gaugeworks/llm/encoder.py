@@ -132,3 +132,8 @@ def _lowered(text: str) -> str:
 def chunk_encoder(path: str) -> ChunkEncoder:
     """The worker's encoder; it lives as long as the worker."""
     return ChunkEncoder(path)
+
+
+def forget() -> None:
+    """Frees the worker's encoders. Workers outlive stages: one that needs no encoder calls this first."""
+    chunk_encoder.cache_clear()

@@ -41,6 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
+from .encoder import forget
 from .shared import by_frequency, salted, small_batches, written
 from .words import shingle_sets, split_words
 
@@ -59,6 +60,7 @@ def _sketches(df: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame
     """(id, hash, n_shingles, fp, sketch) for every row; hash: of the text, fp: a 128-bit hash of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in small_batches(batches):
             sets = shingle_sets(split_words(batch.column(1).to_pylist()), size)
             fp = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
@@ -103,6 +105,7 @@ def _confirmed(pairs: DataFrame, sketches: DataFrame | None, sets: DataFrame, pe
     least = percent / 100 - 5.2 * math.sqrt(percent / 100 * (1 - percent / 100) / K)
 
     def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
             one, two = ((c.values.to_numpy().view(np.uint64), c.offsets.to_numpy()) for c in (batch.column(2), batch.column(3)))
@@ -120,6 +123,7 @@ def _confirmed(pairs: DataFrame, sketches: DataFrame | None, sets: DataFrame, pe
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns[:2]], ["u", "v"])
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
             for i in range(batch.num_rows):
@@ -144,6 +148,7 @@ def _exact_lists(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """(value, node, n, own): the rarest shingles of each node's full set that two of the nodes have; own: shingles from there on."""
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
@@ -266,6 +271,7 @@ def _full_sets(df: DataFrame, listed: DataFrame, size: int, id_col: str, text_co
     texts = named.unionByName(nameless.select("node", "text", "fp"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in small_batches(batches):
             sets = shingle_sets(split_words(batch.column(1).to_pylist()), size)
             raw = [s.tobytes() for s in sets]

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .encoder import forget
 from .shared import fold_of, small_batches, written
 from .words import mix, split_words
 
@@ -168,6 +169,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: st
     joined = texts.join(F.broadcast(picked), "id").select("id", "text", "y", "fold")  # max_rows ids at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in small_batches(batches):
             edges, buckets = features(batch.column(1).to_pylist())
             own = [buckets[a:b].astype(np.int32).tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
@@ -198,6 +200,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers of 4 bytes: 1.1 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in small_batches(batches):
             found = shared.value.scores(shared.value.margins(*features(batch.column(1).to_pylist())))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], ["id", "score"])
@@ -212,6 +215,7 @@ def keep_good(docs: DataFrame, model: Model, text_col: str = "text", limit: floa
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in small_batches(batches, at):
             found = shared.value.scores(shared.value.margins(*features(batch.column(at).to_pylist())))
             yield batch.filter(pa.array(found >= limit))

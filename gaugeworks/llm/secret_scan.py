@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .encoder import forget
 from .shared import by_frequency, small_batches, written
 
 #: Base kinds in the order that breaks ties between spans with one start.
@@ -107,6 +108,7 @@ def candidates(df: DataFrame, text_col: str, owner: Column, repo: Column, keep:
     names = [*KINDS, *ADDED]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in small_batches(batches, 0):
             spans, digest = [], []
             for text in batch.column(0).to_pylist():
@@ -184,6 +186,7 @@ def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner:
     some = rows.filter(F.size("spans") > 0).select("row", "keep").join(cuts, "row", "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in small_batches(batches, at):
             out = []
             for text, spans in zip(batch.column(at).to_pylist(), batch.column("cuts").to_pylist(), strict=True):
