@@ -105,6 +105,32 @@ def anchors(timeline: Column) -> Column:
     )
 
 
+#: The anchor years that stand for a status, the first that is there.
+ANCHOR_OF = {
+    "proposed": ["proposal_year"],
+    "construction": ["construction_year", "proposal_year"],
+    "shelved": ["shelved_year"],
+    "cancelled": ["cancelled_year", "shelved_year"],
+    "idled": ["stop_year", "actual_start"],
+    "mothballed": ["stop_year", "actual_start"],
+    "retired": ["stop_year", "actual_start"],
+}
+
+
+def anchor_year(status: Column, years: dict[str, Column]) -> Column:
+    """The year that stands for a status, as text; '' for other statuses and where no year is known."""
+    some = lambda c: F.when(F.trim(c.cast("string")) != "", F.trim(c.cast("string")))
+    per = [F.when(status == s, F.coalesce(*[some(years[y]) for y in names if y in years], F.lit(""))) for s, names in ANCHOR_OF.items()]
+    return F.coalesce(*per, F.lit(""))
+
+
+def move_reason(before: Column, after: Column) -> Column:
+    """Why a status may or may not follow another."""
+    known = F.create_map(*[x for k, v in MOVES.items() for x in (F.lit(k), F.lit(", ".join(v.split()) or "none"))])
+    allowed = F.try_element_at(known, before)
+    return F.when(before == after, "unchanged").when(allowed.isNull(), F.concat(F.lit("unknown status "), before)).when(legal_move(before, after), "legal").otherwise(F.concat(before, F.lit(" may lead to: "), allowed))
+
+
 def legal_move(before: Column, after: Column) -> Column:
     """Whether a status may follow another; staying is legal, unknown statuses are not."""
     table = F.create_map(*[x for k, v in MOVES.items() for x in (F.lit(k), F.array(*map(F.lit, v.split())).cast("array<string>"))])

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import names
 
+#: Letters of a name's start by which the names that hold it are looked up.
+START = 8
 _ROW = ["terminal_id", "unit_id", "terminal_name", "unit_name", "owner", "status"]
 
 
@@ -18,8 +20,9 @@ def site_index(units: DataFrame) -> DataFrame:
 
 def sponsor_index(units: DataFrame) -> DataFrame:
     """(country_norm, sponsor, n_units, n_terminals): owners cut at commas."""
-    each = units.withColumn("country_norm", names.country(F.col("country"))).withColumn("part", F.explode(names.owner_parts(F.col("owner"))))
-    each = each.withColumn("sponsor", names.entity(F.col("part"))).filter("country_norm <> '' AND sponsor <> ''")
+    cells = units.select("owner").distinct().withColumn("part", F.explode(F.array_distinct(names.owner_parts(F.col("owner")))))
+    parts = units.withColumn("country_norm", names.country(F.col("country"))).select("country_norm", "terminal_id", F.explode(names.owner_parts(F.col("owner"))).alias("part"))
+    each = parts.join(names.entities(cells, "part"), "part").withColumnRenamed("entity", "sponsor").filter("country_norm <> '' AND sponsor <> ''")
     return each.groupBy("country_norm", "sponsor").agg(F.count("*").alias("n_units"), F.count_distinct("terminal_id").alias("n_terminals"))
 
 
@@ -32,7 +35,8 @@ def find_entity(units: DataFrame, name: str, fields: list[str], country: str | N
     own = units if country is None else units.filter(names.country(F.col("country")) == names.country(F.lit(country)))
     cells = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields])
     each = own.select("terminal_id", F.explode(cells).alias("x")).select("terminal_id", "x.field", F.explode(names.owner_parts(F.col("x.value"))).alias("variant"))
-    hits = each.filter(names.entity(F.col("variant")) == names.entity(F.lit(name)))
+    tag = each.sparkSession.range(1).select(names.entity(F.lit(name)).alias("entity"))
+    hits = each.join(names.entities(each, "variant").join(tag, "entity", "left_semi"), "variant")
     return hits.groupBy("field", "variant").agg(F.count("*").alias("hits"), F.count_distinct("terminal_id").alias("n_terminals"))
 
 
@@ -41,7 +45,7 @@ def match_vessels(units: DataFrame, vessels: DataFrame) -> DataFrame:
 
     how: exact; contained (one name holds the other, and only one such); ambiguous; missing; unnamed. Of
     several rows of one name the last (by `row`) counts. The containment join runs only on what has no
-    exact match, against the distinct names of the list.
+    exact match, name by name.
     """
     key = lambda c: F.trim(F.lower(F.coalesce(F.col(c), F.lit(""))))
     other = vessels.withColumn("other_norm", key("vessel_name")).filter("other_norm <> ''")
@@ -51,8 +55,14 @@ def match_vessels(units: DataFrame, vessels: DataFrame) -> DataFrame:
     named = own.filter("norm <> ''")
     exact = named.join(other, F.col("norm") == F.col("other_norm")).select("unit_id", "vessel_name", "other_name", F.lit("exact").alias("how"))
     rest = named.join(other, F.col("norm") == F.col("other_norm"), "left_anti").select("unit_id", "vessel_name", "norm")
-    inside = rest.join(other, F.col("other_norm").contains(F.col("norm")) | F.col("norm").contains(F.col("other_norm")), "left")
-    hits = inside.groupBy("unit_id", "vessel_name").agg(F.count("other_norm").alias("n"), F.min("other_name").alias("other_name"))
+    # distinct names meet by the start of the one that is inside the other, so that no name meets all others
+    left = rest.select("norm").distinct()
+    start, parts = lambda c: F.substring(c, 1, START).alias("x"), lambda c: F.explode(names.starts(F.col(c), START)).alias("x")
+    met = left.select("norm", start("norm")).join(other.select("other_norm", "other_name", parts("other_norm")), "x")
+    met = met.unionByName(left.select("norm", parts("norm")).join(other.select("other_norm", "other_name", start("other_norm")), "x")).drop("x").distinct()
+    met = met.filter(F.col("other_norm").contains(F.col("norm")) | F.col("norm").contains(F.col("other_norm")))
+    found = met.groupBy("norm").agg(F.count("*").alias("n"), F.min("other_name").alias("other_name"))
+    hits = rest.join(found, "norm", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     how = F.when(F.col("n") == 1, "contained").when(F.col("n") == 0, "missing").otherwise("ambiguous")
     near = hits.select("unit_id", "vessel_name", F.when(F.col("n") == 1, F.col("other_name")).alias("other_name"), how.alias("how"))
     none = own.filter("norm = ''").select("unit_id", "vessel_name", F.lit(None).cast("string").alias("other_name"), F.lit("unnamed").alias("how"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.flat import checkpointed
+
 
 def with_lookups(df: DataFrame, lookups: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
     """Left joins to lookup tables: column -> (table, its key, the column to take). Spark broadcasts those that its statistics show to be small."""
@@ -49,30 +51,25 @@ def back_references(df: DataFrame, key: str, points_at: str, name: str) -> DataF
     return df.join(back, key, "left").withColumn(name, F.coalesce(name, F.array().cast(dict(back.dtypes)[name])))
 
 
-def ultimate_parents(seeds: DataFrame, edges: DataFrame, tops: DataFrame, depth: int = 50) -> DataFrame:
+def ultimate_parents(seeds: DataFrame, edges: DataFrame, tops: DataFrame) -> DataFrame:
     """(start, parent, share): every path from a company up its owners to one that has none, is marked a top, or closes a circle.
 
     seeds (company); edges (company, owner, share: null counts as 100); tops (company): those marked. One row a path.
+    Edges without company or owner are left out. One join a level, each level written before the next.
     """
-    spark = seeds.sparkSession
-    tag = uuid.uuid4().hex
-    names = {k: f"{k}_{tag}" for k in ("seeds", "edges", "tops")}
-    for k, df in (("seeds", seeds), ("edges", edges), ("tops", tops)):
-        df.createOrReplaceTempView(names[k])
-    return spark.sql(f"""
-        WITH RECURSIVE walk(start, at, share, path, ended) MAX RECURSION LEVEL {depth} AS (
-          SELECT company, company, CAST(100 AS DECIMAL(38, 12)), CAST(array() AS ARRAY<BIGINT>),
-                 company NOT IN (SELECT company FROM {names['edges']}) OR company IN (SELECT company FROM {names['tops']})
-          FROM {names['seeds']}
-          UNION ALL
-          SELECT w.start, e.owner, CAST(w.share * coalesce(e.share, 100) / 100 AS DECIMAL(38, 12)), array_append(w.path, w.at),
-                 e.is_end OR array_contains(array_append(w.path, w.at), e.owner)
-          FROM walk w JOIN (
-            SELECT company, owner, CAST(share AS DECIMAL(18, 6)) AS share,
-                   owner NOT IN (SELECT company FROM {names['edges']}) OR owner IN (SELECT company FROM {names['tops']}) AS is_end
-            FROM {names['edges']}) e ON e.company = w.at
-          WHERE NOT w.ended)
-        SELECT start, at AS parent, share FROM walk WHERE ended""")
+    known = edges.filter("company IS NOT NULL AND owner IS NOT NULL").select("company", "owner", F.coalesce(F.col("share").cast("decimal(18,6)"), F.lit(100).cast("decimal(18,6)")).alias("part"))
+    ends = lambda df, col: df.join(known.select(F.col("company").alias(col), F.lit(True).alias("__up")).distinct(), col, "left").join(tops.select(F.col("company").alias(col), F.lit(True).alias("__top")).distinct(), col, "left").withColumn("ended", F.col("__up").isNull() | F.col("__top").isNotNull()).drop("__up", "__top")
+    up = checkpointed(ends(known, "owner").withColumnRenamed("ended", "is_end"))
+    front = ends(seeds.filter("company IS NOT NULL").select(F.col("company").alias("at")), "at")
+    kind = dict(front.dtypes)["at"]
+    front = checkpointed(front.select(F.col("at").alias("start"), "at", F.lit(100).cast("decimal(38,12)").alias("share"), F.array().cast(f"array<{kind}>").alias("path"), "ended"))
+    done = [front.filter("ended")]
+    while not (front := front.filter("NOT ended")).isEmpty():
+        path = F.array_append("path", F.col("at"))
+        step = front.join(up, F.col("at") == F.col("company")).select("start", F.col("owner").alias("at"), (F.col("share") * F.col("part") / 100).cast("decimal(38,12)").alias("share"), path.alias("path"), (F.col("is_end") | F.array_contains(path, F.col("owner"))).alias("ended"))
+        front = checkpointed(step)
+        done.append(front.filter("ended"))
+    return reduce(DataFrame.unionByName, done).select("start", F.col("at").alias("parent"), "share")
 
 
 def rounded_totals(units: DataFrame, key: str, kind: str, value: Column, cost: Column) -> DataFrame:
@@ -110,3 +107,49 @@ def agreement(df: DataFrame, key: str, columns: list[str], project: float = 0.95
     share = F.col("agreeing") / F.col("groups")
     level = F.when(share >= project, "project").when(share <= unit, "unit").otherwise("mixed")
     return each.groupBy("field").agg(F.count("*").alias("groups"), F.sum("same").alias("agreeing")).withColumn("level", level)
+
+
+def compose(units: DataFrame, plants: DataFrame, key: str, both: dict[str, tuple[str | None, str | None]], unit_first: bool = True, limit: int | None = None, order: list[str] | None = None) -> DataFrame:
+    """One wide row a unit: each column from the unit or its plant, the first that is not empty in the order given.
+
+    both: column -> (its column of the unit, of the plant; None where that side has none). Units without plant go. A
+    limit is one on plants, taken in `order` before their units are joined.
+    """
+    chosen = plants if limit is None else plants.orderBy(*(order or [key])).limit(limit)
+    u = units.select(*[F.col(c).alias(f"u_{c}") for c in units.columns])
+    p = chosen.select(*[F.col(c).alias(f"p_{c}") for c in plants.columns])
+    full = lambda side, c: F.when(F.col(f"{side}_{c}").cast("string") != "", F.col(f"{side}_{c}").cast("string"))
+
+    def value(unit: str | None, plant: str | None) -> Column:
+        sides = [full("u", unit)] if unit else []
+        sides = sides + ([full("p", plant)] if plant else [])
+        return F.coalesce(*(sides if unit_first else sides[::-1]), F.lit(""))
+
+    return u.join(p, F.col(f"u_{key}") == F.col(f"p_{key}")).select(*[value(a, b).alias(name) for name, (a, b) in both.items()])
+
+
+def companies_of(links: DataFrame, companies: DataFrame, key: str = "company_id") -> DataFrame:
+    """Owner or operator links with their company's columns; links without company go."""
+    return links.join(companies, key)
+
+
+def parent_homes(texts: DataFrame, key: str, text: str, companies: DataFrame, ids: Column, home: str = "country") -> DataFrame:
+    """(key, homes): the countries of the companies that a text's ids name, in order, each mention. companies: id, home."""
+    each = texts.select(key, F.posexplode(ids).alias("pos", "id")).join(companies.select("id", home), "id")
+    told = each.groupBy(key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", home))), lambda x: x[home]), "; ").alias("homes"))
+    return texts.select(key).join(told, key, "left").select(key, F.coalesce("homes", F.lit("")).alias("homes"))
+
+
+def conversions(units: DataFrame, replacements: DataFrame, prefix: str = "G") -> DataFrame:
+    """(unit, kind, from_ids, to_ids): what a unit replaced or was converted from, and what later replaced it or was converted from it.
+
+    units: unit, converted, converted_from; replacements: unit, replaces. A known conversion beats replacements.
+    """
+    ids = lambda c: F.array_join(F.transform(F.sort_array(F.collect_list(c)), lambda x: F.concat(F.lit(prefix), x.cast("string"))), ", ")
+    before = replacements.filter("replaces IS NOT NULL").groupBy("unit").agg(ids("replaces").alias("old"))
+    changed = units.filter("converted AND converted_from IS NOT NULL").select("unit", F.col("converted_from").alias("source"))
+    later = replacements.filter("replaces IS NOT NULL").select(F.col("replaces").alias("unit"), F.col("unit").alias("next")).unionByName(changed.select(F.col("source").alias("unit"), F.col("unit").alias("next")))
+    after = later.groupBy("unit").agg(ids("next").alias("to_ids"))
+    out = units.select("unit").join(before, "unit", "left").join(changed, "unit", "left").join(after, "unit", "left")
+    kind = F.when(F.col("source").isNotNull(), "conversion").when(F.col("old").isNotNull(), "replacement").otherwise("")
+    return out.select("unit", kind.alias("kind"), F.coalesce(F.concat(F.lit(prefix), F.col("source").cast("string")), F.col("old"), F.lit("")).alias("from_ids"), F.coalesce("to_ids", F.lit("")).alias("to_ids"))

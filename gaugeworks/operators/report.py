@@ -18,8 +18,16 @@ from .relational import runs
 WIDE = 10_000
 TOLERANCE = 1.02
 #: Words in a closing bracket that tell a status, and marks of a facility that belong to the name.
-NONOP_HINTS = {"mothballed": "mothballed", "idle": "idled", "idled": "idled", "stopped": "idled", "retired": "retired", "decommissioned": "retired"}
+NONOP_HINTS = {
+    "mothballed": ["mothball", "mothballed", "mothballing"],
+    "idled": ["halted", "idle", "idled", "idling", "paused", "shut", "shutdown", "stop", "stopped", "suspended"],
+    "retired": ["closed", "decommissioned", "retired"],
+    "cancelled": ["canceled", "cancelled"],
+    "shelved": ["shelved"],
+}
 FACILITY_MARKS = ("FLNG", "FSRU", "FSU", "FRU", "FPSO")
+#: Fixed value: the line at a page's foot, its number before the edition.
+_FOOTER = r"(?i)^\s*\d*\W*\S+\s+annual\s+report\s+\d{4}\s+edition"
 _NUMBER, _SUBTOTAL, _REGION = r"^-?\d+(?:\.\d+)?$", r"^([\d,.]+)\s*MTPA\s*$", r"^\s*[A-Z][A-Z\s&-]+:\s*[\d,.]+\s*MTPA"
 
 
@@ -57,19 +65,20 @@ def cells(lines: DataFrame, heads: DataFrame, layout: Layout) -> DataFrame:
 
 
 def classified(lines: DataFrame, layout: Layout) -> DataFrame:
-    """Adds kind: data, label, subtotal, region, blank or text; subtotal: its figure."""
+    """Adds kind: data, label, subtotal, region, footer, blank or text; subtotal: its figure."""
     first, rest = F.col("cell")[layout.words[0]], F.array_join(F.map_values(F.map_filter("cell", lambda k, v: k != layout.words[0])), "")
     capacity = F.col("cell")[layout.capacity]
     figure = F.regexp_replace(F.regexp_extract(first, _SUBTOTAL, 1), ",", "").try_cast("double")
     kind = (
         F.when(F.trim("line") == "", "blank")
+        .when(F.col("line").rlike(_FOOTER), "footer")
         .when(F.col("line").rlike(_REGION), "region")
         .when(F.split(capacity, r"\s+")[0].rlike(_NUMBER), "data")
         .when(first.rlike(_SUBTOTAL) & (capacity == ""), "subtotal")
         .when((first != "") & (rest == "") & ~first.rlike(_NUMBER) & ~first.contains(":"), "label")
         .otherwise("text")
     )
-    return lines.withColumns({"kind": kind, "subtotal": F.when(kind == "subtotal", figure)})
+    return lines.withColumns({"kind": kind, "label": F.when(kind == "label", first), "subtotal": F.when(kind == "subtotal", figure)})
 
 
 def owned(lines: DataFrame, layout: Layout) -> DataFrame:
@@ -99,7 +108,7 @@ def rows(lines: DataFrame, layout: Layout) -> DataFrame:
 
 def assign_countries(table: DataFrame, lines: DataFrame) -> DataFrame:
     """Adds country: from the row's own cell, else the label above, while its published total lasts; rows past it wait for the next label."""
-    marks = lines.filter("kind IN ('label', 'subtotal')").select("page", "n", F.when(F.col("kind") == "label", 0).otherwise(1).alias("turn"), F.when(F.col("kind") == "label", F.trim(F.substring("line", 1, 60))).alias("text"), F.col("subtotal").alias("value"))
+    marks = lines.filter("kind IN ('label', 'subtotal')").select("page", "n", F.when(F.col("kind") == "label", 0).otherwise(1).alias("turn"), F.when(F.col("kind") == "label", F.col("label")).alias("text"), F.col("subtotal").alias("value"))
     events = marks.unionByName(table.select("page", "n", F.lit(2).alias("turn"), F.col("country_cell").alias("text"), F.coalesce("capacity", F.lit(0.0)).alias("value")))
 
     def walk(df: pd.DataFrame) -> pd.DataFrame:
@@ -168,7 +177,7 @@ def site_parts(project: Column) -> Column:
 
 
 def hinted_status(hint: Column) -> Column:
-    table = F.create_map(*[F.lit(x) for pair in NONOP_HINTS.items() for x in pair])
+    table = F.create_map(*[F.lit(x) for status, words in NONOP_HINTS.items() for word in words for x in (word, status)])
     return F.coalesce(F.try_element_at(table, F.regexp_replace(F.lower(hint), "[^a-z]", "")), F.lit(""))
 
 

@@ -65,7 +65,8 @@ def latest_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def anti_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir, "customer").join(_t(spark, sf_dir, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+    late = _t(spark, sf_dir, "orders").filter("o_totalprice > 300000")
+    return _t(spark, sf_dir, "customer").join(late, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
 
 
 def resolved_references(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,8 +163,8 @@ def collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    own = reconcile.projects(_units(spark, sf_dir)).cache()  # both sides and every pass read it
-    part = F.pmod(F.crc32(F.col("name_norm").cast("binary")), F.lit(5))
+    own = flat.checkpointed(reconcile.projects(_units(spark, sf_dir)))  # both sides and every pass read it
+    part = F.regexp_extract("name_norm", "[0-9]+", 0).cast("int") % 5
     report = own.filter(part < 4).withColumn("capacity", F.when(part == 0, F.col("capacity") * 1.5).otherwise(F.col("capacity")))
     return report, own.filter(part > 0)
 
@@ -336,13 +337,49 @@ f AS (
   UNION ALL SELECT o_orderkey, status, 'planned_start_slipped', 'medium' FROM u WHERE status = 'proposed' AND planned < 2001)"""
 
 
+#: The report's and the register's projects, their other names, and the matches by key and alias.
+_SIDES = f"""{_UNITS},
+  tags AS (SELECT * FROM (VALUES (0, 'shell'), (0, 'totalenergies'), (1, 'cheniere'), (2, 'nobody known'), (2, 'bp'), (3, 'mol'), (4, 'shell')) AS t(own, tag)),
+  numbered AS (SELECT *, CAST(regexp_extract(name_norm, '[0-9]+') AS INTEGER) AS number FROM units WHERE section <> 'unknown'),
+  proj AS (SELECT country_norm, name_norm, section, any_value(number) AS number, list_distinct(list(tag)) AS owners FROM numbered JOIN tags USING (own) GROUP BY country_norm, name_norm, section),
+  report AS (SELECT * FROM proj WHERE number % 5 < 4), register AS (SELECT * FROM proj WHERE number % 5 > 0),
+  others AS (SELECT country_norm, section, name_norm AS register_name, 'site ' || CAST((number + 1) % 500 AS VARCHAR) AS alias, min(row) AS row FROM numbered SEMI JOIN register USING (country_norm, name_norm, section) WHERE CAST(terminal_id AS BIGINT) % 3 = 0 GROUP BY ALL),
+  alias AS (SELECT * FROM others o WHERE alias <> register_name AND NOT EXISTS (SELECT 1 FROM register r WHERE r.country_norm = o.country_norm AND r.section = o.section AND r.name_norm = o.alias)
+    QUALIFY row_number() OVER (PARTITION BY country_norm, alias, section ORDER BY row, register_name) = 1),
+  first AS (SELECT p.country_norm, p.name_norm, p.section, coalesce(r.name_norm, a.register_name) AS register_name, CASE WHEN r.name_norm IS NOT NULL THEN 'exact' ELSE 'alias' END AS how
+    FROM report p LEFT JOIN register r USING (country_norm, name_norm, section) LEFT JOIN alias a ON a.country_norm = p.country_norm AND a.section = p.section AND a.alias = p.name_norm WHERE r.name_norm IS NOT NULL OR a.alias IS NOT NULL)"""
+#: The fuzzy pass as it is defined: report projects by name, each takes the one candidate that is left.
+_RECONCILED = f"""WITH RECURSIVE {_SIDES},
+  words AS (SELECT country_norm, section, name_norm, owners, list_filter(list_distinct(string_split(name_norm, ' ')), lambda w: len(w) >= 4) AS w FROM proj),
+  left_over AS (SELECT w.* FROM words w SEMI JOIN report USING (country_norm, name_norm, section) ANTI JOIN first USING (country_norm, name_norm, section)),
+  free AS (SELECT w.country_norm, w.section, w.name_norm AS register_name, w.owners, w.w FROM words w SEMI JOIN register USING (country_norm, name_norm, section) WHERE NOT EXISTS (SELECT 1 FROM first f WHERE f.country_norm = w.country_norm AND f.section = w.section AND f.register_name = w.name_norm)),
+  named AS (SELECT free.*, list_concat([register_name], coalesce((SELECT list(alias) FROM others o WHERE o.country_norm = free.country_norm AND o.section = free.section AND o.register_name = free.register_name), [])) AS every FROM free),
+  pairs AS (SELECT l.country_norm, l.section, l.name_norm, n.register_name FROM left_over l JOIN named n ON n.country_norm = l.country_norm AND n.section = l.section
+    WHERE len(list_filter(n.every, lambda x: contains(x, l.name_norm) OR contains(l.name_norm, x))) > 0
+      OR (len(list_intersect(l.w, n.w)) >= 1 AND len(list_intersect(l.owners, n.owners)) > 0) OR len(list_intersect(l.w, n.w)) >= 2),
+  asked AS (SELECT country_norm, section, name_norm, list(register_name ORDER BY register_name) AS c FROM pairs GROUP BY ALL),
+  turn AS (SELECT *, row_number() OVER (PARTITION BY country_norm, section ORDER BY name_norm) AS k FROM asked),
+  walk AS (
+    SELECT country_norm, section, CAST(0 AS BIGINT) AS k, CAST([] AS VARCHAR[]) AS taken, CAST(NULL AS VARCHAR) AS name_norm, CAST([] AS VARCHAR[]) AS l FROM turn WHERE k = 1
+    UNION ALL
+    SELECT country_norm, section, k, CASE WHEN len(l) = 1 THEN list_concat(taken, l) ELSE taken END, name_norm, l
+    FROM (SELECT t.country_norm, t.section, t.k, w.taken, t.name_norm, list_filter(t.c, lambda x: NOT list_contains(w.taken, x)) AS l FROM walk w JOIN turn t ON t.country_norm = w.country_norm AND t.section = w.section AND t.k = w.k + 1)),
+  second AS (SELECT country_norm, name_norm, section, CASE WHEN len(l) = 1 THEN l[1] END AS register_name, CASE WHEN len(l) = 1 THEN 'fuzzy' ELSE 'ambiguous' END AS how FROM walk WHERE k > 0 AND len(l) > 0),
+  matched AS (SELECT * FROM first UNION ALL SELECT * FROM second)
+SELECT * FROM matched
+UNION ALL SELECT country_norm, name_norm, section, NULL, 'report_only' FROM report ANTI JOIN matched USING (country_norm, name_norm, section)
+UNION ALL SELECT country_norm, name_norm, section, name_norm, 'register_only' FROM register r WHERE NOT EXISTS (SELECT 1 FROM matched m WHERE m.country_norm = r.country_norm AND m.section = r.section AND m.register_name = r.name_norm)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "exact_matches": f"WITH {_SIDES} SELECT * FROM first",
+        "reconciliation": _RECONCILED,
         "table_graph_export": "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey IN (SELECT r_regionkey FROM region WHERE r_name IN ('ASIA', 'EUROPE'))))",
         "tracker_exists": "SELECT c_custkey, c_name FROM customer c WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c.c_custkey AND o_totalprice > 400000 AND o_orderstatus = 'F')",
         "lookup_joins": "SELECT c_custkey, n_name AS nation FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey",
         "latest_row": "SELECT o_custkey, o_orderkey, o_orderstatus FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC) = 1",
-        "anti_difference": "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)",
+        "anti_difference": "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_totalprice > 300000)",
         "resolved_references": "SELECT l_orderkey, coalesce(string_agg(p_name, ', ' ORDER BY l_linenumber, l_partkey), '') AS refs_text FROM lineitem LEFT JOIN part ON p_partkey = l_partkey GROUP BY l_orderkey",
         "ultimate_parents": """WITH RECURSIVE e AS (
             SELECT s_suppkey AS company, s_suppkey // 2 AS owner, 60.0 AS share FROM supplier WHERE s_suppkey > 3

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -22,6 +23,18 @@ class Header:
     unknown: list[str]
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df written once to the shared checkpoint folder and read back; to a folder under /tmp only where the session names none."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        folder = f"file:///tmp/gaugeworks-{uuid.uuid4().hex}"
+        spark.sparkContext.setCheckpointDir(folder)
+    path = f"{folder.rstrip('/')}/step-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def match_header(columns: list[str], contract: dict[str, str]) -> Header:
     """Exact match after trimming; a byte-order mark before the first name is no part of it."""
     own = {c.strip().removeprefix("﻿"): c for c in columns}
@@ -52,13 +65,36 @@ def first_of(df: DataFrame, *names: str) -> Column:
 
 
 def read_json_list(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A staged JSON list, or no rows if the file is not there."""
+    """A staged JSON list, or no rows if the file is not there or holds no JSON."""
     try:
-        return spark.read.schema(schema).json(path, multiLine=True)
+        return spark.read.schema(schema).json(path, multiLine=True, mode="DROPMALFORMED")
     except AnalysisException:
         return spark.createDataFrame([], schema)
 
 
+def list_tables(spark: SparkSession, database: str | None = None, system: tuple[str, ...] = ("information_schema", "pg_catalog")) -> list[str]:
+    """Names of the tables of a database, in order, without system ones and temporary views."""
+    if database in system:
+        return []
+    return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
+
+
+def describe(df: DataFrame) -> list[tuple[str, str, bool]]:
+    """(name, type, nullable) of every column, in order."""
+    return [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema]
+
+
+def table_name(text: str, schema: str = "public") -> tuple[str, str]:
+    """'a.b' as (a, b), 'b' as (public, b)."""
+    first, dot, rest = text.strip().partition(".")
+    return (first, rest) if dot else (schema, first)
+
+
+def write_json(df: DataFrame, path: str) -> None:
+    """One JSON document a row; nulls are kept as null."""
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
 def read_database(spark: SparkSession, url: str, query: str, timeout_s: int = 300, fetch: int = 1000, **more: str) -> DataFrame:
     """A read-only query through JDBC, with a time limit and fetch size."""
     options = {"url": url, "query": query, "queryTimeout": str(timeout_s), "fetchsize": str(fetch), "sessionInitStatement": "SET SESSION CHARACTERISTICS AS TRANSACTION READ ONLY"} | more

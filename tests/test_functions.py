@@ -28,8 +28,17 @@ def test_countries_and_entities(spark):
     assert [entity(x) for x in ("Royal Dutch Shell", "Shell International", "Venture Global LNG Inc", "My Total Friend", "Shellfish", None)] == ["shell", "shell", "venture-global", "totalenergies", "shellfish", ""]
     found = one(spark, names.entity_list(F.col("a")), a="ENI 50%, EGAS 40%; EGPC [10.5%], Shell")
     assert [(x.entity, x.pct) for x in found] == [("eni", 50.0), ("egas", 40.0), ("egpc", 10.5), ("shell", None)]
-    assert one(spark, names.without_unit_code(F.col("a")), a="Arzew GL1Z") == "Arzew" and one(spark, names.without_unit_code(F.col("a")), a="Senboku II") is None
-    assert one(spark, names.without_train(F.col("a")), a="Bontang Train E") == "Bontang" and one(spark, names.without_expansion(F.col("a")), a="Taichung Expansion 2") == "Taichung"
+    cases = {
+        names.without_unit_code: [("Harbour AB2C", "Harbour"), ("Old Harbour T3", "Old Harbour"), ("Harbour 2B", None), ("Harbour III", None), ("AB2C", None)],
+        names.without_train: [("Harbour Train B", "Harbour"), ("Harbour trains 12", "Harbour"), ("Harbour Train XLIV", "Harbour"), ("Night Train Depot", None), ("Train 4", None)],
+        names.without_expansion: [("Harbour Expansion", "Harbour"), ("Harbour  EXTENSION ", "Harbour"), ("Harbour Expansion 2", None), ("Expansion", None)],
+    }
+    for strip, pairs in cases.items():
+        for name, want in pairs:
+            assert one(spark, strip(F.col("a")), a=name) == want, (name, want)
+    rows = spark.createDataFrame([(x,) for x in [*names.ENTITY_OF, "Big Shell plc Trading", "x total y bp plc", "nobody", None, "", "Total  Energies (new)", "petronet lng ltd"]], "raw string")
+    by_join = {r.raw: r.entity for r in names.entities(rows).collect()}
+    assert by_join == {r.raw: r.e for r in rows.select("raw", names.entity(F.col("raw")).alias("e")).collect()}
     assert one(spark, names.designators(F.col("a")), a="QatarEnergy LNG S(2)") == ["s2"] and one(spark, names.designators(F.col("a")), a="Sabine Pass") == []
     assert one(spark, names.tokens(F.col("a"), 4), a="Tianjin-Nangang (LNG), pier") == ["tianjin", "nangang", "pier"]
 
