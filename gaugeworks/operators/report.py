@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .relational import runs
+from ..sources.flat import checkpointed
 
 WIDE = 10_000
 TOLERANCE = 1.02
@@ -144,19 +144,66 @@ def country_totals(table: DataFrame, lines: DataFrame) -> DataFrame:
     return near.groupBy("page", "at", "subtotal").agg(F.min_by("country", F.struct(F.abs(F.col("n") - F.col("at")), "n")).alias("country")).groupBy("country").agg(F.max("subtotal").alias("total"))
 
 
-def return_islands(table: DataFrame, totals: DataFrame, low: float = 0.94, high: float = 1.02) -> DataFrame:
+#: Halves of country names that a report sets on two lines.
+SPLIT_NAMES = [("south", "korea", "South Korea"), ("equatorial", "guinea", "Equatorial Guinea"), ("papua", "new guinea", "Papua New Guinea"), ("papua new", "guinea", "Papua New Guinea"), ("trinidad &", "tobago", "Trinidad and Tobago"), ("trinidad and", "tobago", "Trinidad and Tobago"), ("trinidad", "tobago", "Trinidad and Tobago"), ("mauritania", "senegal", "Mauritania")]
+
+
+def country_runs(table: DataFrame, part: tuple[str, ...]) -> DataFrame:
+    """table with run, the number of its run of equal countries inside a part, before and after, the countries beside the run, and alone, the run's own sum."""
+    w = Window.partitionBy(*part).orderBy("page", "n")
+    new = F.when(F.lag("country").over(w).eqNullSafe(F.col("country")) & (F.row_number().over(w) > 1), 0).otherwise(1)
+    own = table.withColumn("__new", new).withColumn("run", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
+    each = own.groupBy(*part, "run").agg(F.first("country").alias("__c"), F.sum("capacity").alias("alone"))
+    beside = Window.partitionBy(*part).orderBy("run")
+    each = each.withColumns({"before": F.lag("__c").over(beside), "after": F.lead("__c").over(beside)}).drop("__c")
+    return own.join(each, [*part, "run"])
+
+
+def join_split_names(table: DataFrame, totals: DataFrame, part: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """The table and the totals with countries whose name stands on two lines, half by half, put together again."""
+    plain = lambda c: F.trim(F.regexp_replace(F.regexp_replace(F.lower(F.trim(c)), "/+$", ""), r"\s+", " "))
+    led = country_runs(table, part)
+    whole = lambda one, two: F.coalesce(*[F.when((plain(one) == a) & (plain(two) == b), full) for a, b, full in SPLIT_NAMES])
+    own = led.withColumn("__full", F.coalesce(whole(F.col("country"), F.col("after")), whole(F.col("before"), F.col("country"))))
+    renamed = own.filter("__full IS NOT NULL").select("country", "__full").distinct().groupBy("country").agg(F.min("__full").alias("__full"))
+    out = own.withColumn("country", F.coalesce("__full", "country")).select(*table.columns)
+    again = totals.join(renamed, "country", "left").withColumn("country", F.coalesce("__full", "country")).groupBy("country").agg(F.max("total").alias("total"))
+    return out, again
+
+
+def reclaim(table: DataFrame, totals: DataFrame, part: tuple[str, ...], nearest: bool, low: float = 0.94, high: float = 1.02) -> DataFrame:
+    """Rows above a run that lacks them for its country's published total, given back by the country before it.
+
+    Only runs between two others, with a total that they don't reach. Rows are taken upwards from the run as long as they
+    are the preceding run's: up to `high` of the total (page by page), or as many as come nearest to it. They change
+    hands only if the run then lies within low and high of the total. Sums run in windows over a part's rows.
+    """
+    led = country_runs(table, part)
+    size = led.groupBy(*part, "run").agg(F.first("country").alias("to"), F.first("alone").alias("alone"), F.first("before").alias("before"), F.first("after").alias("after"))
+    short = size.join(totals.withColumnRenamed("country", "to"), "to").filter("before IS NOT NULL AND after IS NOT NULL").filter(F.col("alone") < F.col("total") * low)
+    above = led.join(short.select(*part, (F.col("run") - 1).alias("run"), "to", F.col("alone").alias("own"), "total"), [*part, "run"])
+    up = Window.partitionBy(*part, "run").orderBy(F.desc("page"), F.desc("n"))
+    reached = above.withColumn("__sum", F.col("own") + F.sum(F.coalesce("capacity", F.lit(0.0))).over(up.rowsBetween(Window.unboundedPreceding, 0))).withColumn("__m", F.row_number().over(up))
+    if nearest:
+        best = reached.groupBy(*part, "run").agg(F.min(F.struct(F.abs(F.col("__sum") - F.col("total")).alias("d"), "__m", "__sum", "own", "total", "to")).alias("b")).filter(F.col("b.d") < F.abs(F.col("b.own") - F.col("b.total")))
+    else:
+        # upwards until the total is nearly met, and never past it
+        before = reached.withColumn("__last", F.col("__sum") - F.coalesce("capacity", F.lit(0.0)))
+        bad = F.when((F.col("__last") >= F.col("total") * low) | (F.col("__sum") > F.col("total") * high), F.col("__m"))
+        stop = before.withColumn("__stop", F.min(bad).over(Window.partitionBy(*part, "run"))).filter(F.col("__stop").isNull() | (F.col("__m") < F.col("__stop")))
+        best = stop.groupBy(*part, "run").agg(F.max(F.struct("__m", "__sum", "total", "to")).alias("b"))
+    good = best.filter((F.col("b.__sum") >= F.col("b.total") * low) & (F.col("b.__sum") <= F.col("b.total") * high)).select(*part, "run", F.col("b.__m").alias("take"), F.col("b.to").alias("__to"))
+    ranked = led.withColumn("__m", F.row_number().over(up)).join(good, [*part, "run"], "left")
+    return ranked.withColumn("country", F.when(F.col("__m") <= F.col("take"), F.col("__to")).otherwise(F.col("country"))).select(*table.columns)
+
+
+def return_islands(table: DataFrame, totals: DataFrame, part: tuple[str, ...] = ("page",), low: float = 0.94, high: float = 1.02) -> DataFrame:
     """A run between two runs of one other country goes to that country, if its own country's total is met without it and passed with it."""
-    keyed = table.withColumn("pos", F.col("page") * 100_000 + F.col("n")).withColumn("part", F.lit(0))
-    own = runs(keyed, ["part"], "pos", "country")
-    w = Window.partitionBy("part").orderBy("run")
-    placed = own.withColumns({"before": F.lag("country").over(w), "after": F.lead("country").over(w)})
-    island = keyed.join(placed, (F.col("pos") >= F.col("first")) & (F.col("pos") <= F.col("last")) & (keyed["country"] == placed["country"])).groupBy("run", keyed["country"], "before", "after").agg(F.sum("capacity").alias("island"))
-    sums = table.groupBy("country").agg(F.sum("capacity").alias("all"))
-    judged = island.join(sums, "country").join(totals, "country")
-    move = judged.filter((F.col("before") == F.col("after")) & (F.col("before") != F.col("country")) & (F.col("before") != "") & (F.col("all") - F.col("island") >= F.col("total") * low) & (F.col("all") > F.col("total") * high)).select("run", F.col("before").alias("to"))
-    spans = placed.join(move, "run").select("first", "last", "to")
-    back = keyed.join(F.broadcast(spans), (F.col("pos") >= F.col("first")) & (F.col("pos") <= F.col("last")), "left")  # a report's runs: a few at most
-    return back.withColumn("country", F.coalesce("to", "country")).select(*table.columns)
+    led = country_runs(table, part)
+    sums = table.groupBy(*part, "country").agg(F.sum("capacity").alias("all"))
+    judged = led.join(sums, [*part, "country"]).join(totals, "country", "left")
+    move = (F.col("before") == F.col("after")) & (F.col("before") != "") & (F.col("all") - F.col("alone") >= F.col("total") * low) & (F.col("all") > F.col("total") * high)
+    return judged.withColumn("country", F.when(move, F.col("before")).otherwise(F.col("country"))).select(*table.columns)
 
 
 def override_sites(table: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
@@ -181,12 +228,17 @@ def hinted_status(hint: Column) -> Column:
     return F.coalesce(F.try_element_at(table, F.regexp_replace(F.lower(hint), "[^a-z]", "")), F.lit(""))
 
 
-def extract(pages: DataFrame, layout: Layout, rules: list[tuple[str, str]] | None = None) -> DataFrame:
-    """(page, n, country, site, trains, status, capacity) of a section's pages."""
+def extract(pages: DataFrame, layout: Layout, rules: list[tuple[str, str]] | None = None, rounds: int = 3) -> DataFrame:
+    """(page, n, country, site, trains, status, capacity) of a section's pages. Reclaiming across pages is repeated, as one country's rows may free another's."""
     lines = lines_of(pages)
     marked = classified(cells(lines, header(lines, layout), layout), layout)
     table = assign_countries(rows(owned(marked, layout), layout), marked)
-    table = return_islands(table, country_totals(table, marked))
+    totals = checkpointed(country_totals(table, marked))
+    table = checkpointed(reclaim(table, totals, ("page",), nearest=False).withColumn("section", F.lit(1)))  # a report's section: its rows are one part from here on
+    table, totals = join_split_names(table, totals, ("section",))
+    for _ in range(rounds):
+        table = checkpointed(reclaim(table, totals, ("section",), nearest=True))
+    table = return_islands(table, totals, ("section",))
     if rules:
         table = override_sites(table, rules)
     part = site_parts(F.col("site"))

@@ -49,3 +49,64 @@ def test_site_parts(spark):
     names = ["Yamal LNG T2", "Calcasieu Pass LNG T1-6", "Atlantic LNG T1 (Mothballed)", "MLNG Dua", "Prelude (FLNG)"]
     got = [tuple(r.x) for r in spark.createDataFrame([(n,) for n in names], "a string").select(report.site_parts(F.col("a")).alias("x")).collect()]
     assert got == [("Yamal LNG", "T2", ""), ("Calcasieu Pass LNG", "T1-6", ""), ("Atlantic LNG", "T1", "Mothballed"), ("MLNG Dua", "", ""), ("Prelude (FLNG)", "", "")]
+
+
+def _table(spark, rows):
+    return spark.createDataFrame([(1 + i // 6, i % 6, c, float(v), 1) for i, (c, v) in enumerate(rows)], "page int, n int, country string, capacity double, section int")
+
+
+def _countries(df):
+    return [r.country for r in df.orderBy("page", "n").collect()]
+
+
+def _reclaimed(rows, totals, nearest):
+    """The rule, row by row."""
+    names, caps = [c for c, _ in rows], [v for _, v in rows]
+    edges = [0] + [i for i in range(1, len(rows)) if names[i] != names[i - 1]] + [len(rows)]
+    out = list(names)
+    for a, b in zip(edges[1:-2], edges[2:-1]):
+        total, own = totals.get(names[a]), sum(caps[a:b])
+        if total is None or own >= 0.94 * total:
+            continue
+        first = a
+        while first and names[first - 1] == names[a - 1]:
+            first -= 1
+        tries, reached = [], own
+        for k in range(a - 1, first - 1, -1):
+            if not nearest and (reached >= 0.94 * total or reached + caps[k] > 1.02 * total):
+                break
+            reached += caps[k]
+            tries.append((abs(reached - total), a - k, reached))
+        if not tries:
+            continue
+        d, m, end = min(tries) if nearest else tries[-1]
+        if 0.94 * total <= end <= 1.02 * total and (not nearest or d < abs(own - total)):
+            out[a - m : a] = [names[a]] * m
+    return out
+
+
+def test_reclaiming_against_the_rule_row_by_row(spark):
+    import random
+
+    pick = random.Random(6)
+    for nearest in (False, True):
+        rows = [(c, pick.choice([1, 2, 3])) for c in [pick.choice("ABCD") for _ in range(24)] for _ in range(pick.randint(1, 4))]
+        totals = {c: pick.choice([4, 5, 7, 9]) for c in "ABC"}
+        got = report.reclaim(_table(spark, rows), spark.createDataFrame([(c, float(v)) for c, v in totals.items()], "country string, total double"), ["section"], nearest)
+        assert _countries(got) == _reclaimed(rows, totals, nearest)
+
+
+def test_split_names_and_islands(spark):
+    totals = spark.createDataFrame([("Korea", 9.0), ("A", 5.0), ("B", 4.0)], "country string, total double")
+    table, again = report.join_split_names(_table(spark, [("A", 5), ("South ", 4), ("Korea", 5), ("B", 1)]), totals, ["section"])
+    assert _countries(table) == ["A", "South Korea", "South Korea", "B"]
+    assert {r.country: r.total for r in again.collect()} == {"South Korea": 9.0, "A": 5.0, "B": 4.0}
+    back = report.return_islands(_table(spark, [("A", 3), ("B", 2), ("A", 2), ("C", 1), ("B", 4)]), totals, ["section"])
+    assert _countries(back) == ["A", "A", "A", "C", "B"]
+
+
+def test_status_words_and_footers(spark):
+    words = {"(Shutdown)": "idled", "(closed)": "retired", "(suspended)": "idled", "(stop)": "idled", "(100)": "operating"}
+    for word, status in words.items():
+        part = report.site_parts(F.lit(f"Harbour T1 {word}"))
+        assert (spark.range(1).select(report.hinted_status(part.hint).alias("s")).first().s or "operating") == status
