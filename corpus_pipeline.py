@@ -3,7 +3,12 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is written as Parquet and read
 again as the next one's docs. All but the last return the columns of `documents`. Rejected documents and
 all but one of each group of near copies go, live secrets are cut out of the texts, and what is left is
-packed into sequences of 2048 tokens. Null texts go with the rules; an empty table gives empty results.
+packed into sequences of 2048 tokens.
+
+Null texts go with the rules, and so do empty ones; an empty table gives empty results. Very long texts are
+worked on whole in every stage. Ties: of alike documents the one of least doc_id stays. Repeated rows: one stays of
+those of one doc_id, also where their texts differ, as the group is told by its doc_id; rows without doc_id can't be
+told apart and stay. Other columns are kept as they are, whatever their names, up to the packing.
 """
 
 from __future__ import annotations

@@ -28,6 +28,8 @@ def checkpointed(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("a cluster needs spark.checkpoint.dir, a folder that its machines share")
         folder = f"file:///tmp/gaugeworks-{uuid.uuid4().hex}"
         spark.sparkContext.setCheckpointDir(folder)
     path = f"{folder.rstrip('/')}/step-{uuid.uuid4().hex}"
