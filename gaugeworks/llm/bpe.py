@@ -6,7 +6,8 @@ The words of a batch that the worker has not met are put one behind the other in
 symbols; each round finds every adjacent pair's rank by binary search in the sorted pair keys, merges
 the lowest-ranked pair of each word and drops the words that have no pair left.
 
-Null text: as the empty text (no ids, empty decoding). Repeated rows: each has its row. An empty table:
+Null text: as the empty text (no ids, empty decoding). Very long texts are encoded whole, very long words too. Ties: of
+pairs of one rank in a word the first is merged first. Repeated rows: each has its row. An empty table:
 an empty result. Other columns of the input are not read, so their names can't clash.
 """
 

@@ -25,7 +25,9 @@
 
 Null and empty texts, and texts without words: empty set, linked with nothing. Repeated rows: rows of one
 doc_id with words are of one component, whatever their texts; each row is returned. Null doc_id: component_id is the least doc_id of its class or
-component if there is one, else null, and kept is true only if there is none. Empty tables: empty result.
+component if there is one, else null, and kept is true only if there is none. Very long texts: sets of all their
+shingles. Ties: of equally rare values the smaller, of equally near members the one that compares greatest; neither
+changes the components. Empty tables: empty result.
 Ids are below 2**62. Other columns of the input are not read.
 """
 
@@ -295,7 +297,11 @@ def _labelled(rows: DataFrame, classes: DataFrame, label: DataFrame, id_col: str
 def keep_one(df: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of df, of one document of each component: the one of least id. Of repeated ids the least row stays; rows without id can't be named and stay."""
     kept = near_duplicates(df, size, percent, id_col, text_col).filter(F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__id")).distinct()
-    rows = df.select(F.col(f"`{id_col}`").alias("__id"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"))
-    named = rows.join(kept, "__id").groupBy("__id").agg(F.min("__row").alias("__row")).select("__row")
+    # own names inside, so that no column's name can clash; maps have no order, so rows with some go by their other columns
+    whole = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)])
+    ordered = [F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()]
+    rows = df.select(F.col(f"`{id_col}`").alias("__id"), whole.alias("__row"), *([F.struct(*ordered).alias("__by")] if len(ordered) < len(df.columns) else []))
+    least = F.min_by("__row", "__by") if "__by" in rows.columns else F.min("__row")
+    named = rows.join(kept, "__id").groupBy("__id").agg(least.alias("__row")).select("__row")
     both = named.unionByName(rows.filter("__id IS NULL").select("__row"))
-    return both.select(*[F.col("__row").getField(c).alias(c) for c in df.columns])
+    return both.select(*[F.col("__row").getField(f"c{i}").alias(c) for i, c in enumerate(df.columns)])

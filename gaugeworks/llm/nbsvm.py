@@ -10,8 +10,9 @@ into scores.
 The model is fitted on at most `max_rows` labelled rows, picked by a hash of their ids; everything that
 is learned comes from rows outside the held-out fold. Scores use the text alone.
 
-Null and empty texts have no n-grams: their score comes from the bias. Repeated rows get the same score; of
-repeated labels of one id the least counts; null labels and labels without a document are passed over.
+Null and empty texts have no n-grams: their score comes from the bias. Very long texts: all their n-grams, in training
+too; the buckets bound how many there are. Ties: equal scores of different texts need no order. Repeated rows get the
+same score; of repeated labels of one id, and of several texts of it, the least counts; null labels and labels without a document are passed over.
 With no labels, or one class only, the score is that class's share (0.5 without labels). Empty tables:
 empty result. Other columns of the input are not read.
 """

@@ -10,7 +10,8 @@ table of `capacity` rows at most, whatever the corpus. The plan places runs of e
 bins; a piece finds its place by its number among the pieces of its length. That number comes from
 counts by (length, salt) and a row number inside each, so one length may hold most of all pieces.
 
-Null text is the empty text (the end id alone). Repeated rows are packed one by one. A null id stays
+Null text is the empty text (the end id alone). Very long texts are encoded whole and cut into as many pieces as they
+need. Ties: pieces of one length are numbered by salt, id and piece; which of them gets a place does not matter. Repeated rows are packed one by one. A null id stays
 null in the result. Empty tables give an empty result; other columns of the input are not read.
 """
 

@@ -2,7 +2,8 @@
 
 `RULES` says what a document must keep to. `measure` adds the counts, `judge` turns the table into one
 boolean column. Null text counts as the empty text: all counts are 0, `base_failed` is true and `kept`
-false. Repeated rows are judged one by one; an empty table gives an empty result; columns of the input
+false. Very long texts are
+counted whole. There are no ties. Repeated rows are judged one by one; an empty table gives an empty result; columns of the input
 that carry a name used here are not read, and only the columns named below are returned.
 """
 

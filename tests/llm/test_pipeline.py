@@ -8,7 +8,7 @@ import corpus_pipeline
 import duckdb
 import numpy as np
 import public_tokenizers
-from gaugeworks.llm import nbsvm, queries, secret_scan
+from gaugeworks.llm import minhash, nbsvm, queries, secret_scan
 from tokenizers import Tokenizer
 
 from .test_minhash import brute
@@ -80,3 +80,13 @@ def test_stages_take_nulls_and_empty_tables(spark):
             out = stage(spark, docs, SMALL)
             assert out.columns == docs.columns and out.count() <= len(table)
         assert corpus_pipeline.pack(spark, docs, SMALL).count() >= len(table)
+
+
+def test_one_of_each_group_stays_with_columns_of_any_name(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    schema = "doc_id long, text string, __id string, __row int, keep map<string,int>"
+    rows = [(1, text, "a", 1, {"x": 1}), (1, text, "a", 1, {"x": 1}), (2, text + " end", "b", 2, {}), (3, "other words here", "c", 3, None), (None, text, "d", 4, {"y": 2})]
+    out = minhash.keep_one(spark.createDataFrame(rows, schema))
+    assert out.columns == ["doc_id", "text", "__id", "__row", "keep"]
+    got = sorted((str(r.doc_id), r["__id"], r["__row"], r.keep) for r in out.collect())
+    assert got == [("1", "a", 1, {"x": 1}), ("3", "c", 3, None), ("None", "d", 4, {"y": 2})]
