@@ -87,3 +87,17 @@ def read_only(sql: str) -> str:
     if not sql.strip().lstrip("(").strip().lower().startswith(("select", "with")):
         raise ValueError("only SELECT and WITH queries may run")
     return sql
+
+
+def export_all(steps: list[Step], tables: dict[str, DataFrame], root_filter: str, folder: str, limit: int | None = None) -> list[tuple[str, int, str, int | None, str]]:
+    """Writes the rows of every step as Parquet, one folder a table; gives the manifest. A table that fails is recorded there, and the others go on."""
+    out = []
+    for step in steps:
+        path = f"{folder}/{file_name(step.table)}"
+        try:
+            rows = export(step, tables, root_filter, limit)
+            rows.write.mode("overwrite").parquet(path)
+            out.append(manifest_entry(step, rows.sparkSession.read.schema(rows.schema).parquet(path).count()))
+        except Exception as error:  # noqa: BLE001  recorded in the manifest
+            out.append(manifest_entry(step, None, str(error).splitlines()[0]))
+    return out

@@ -33,3 +33,13 @@ def test_rows_are_those_of_the_sql(spark, tables, name):
     assert sorted(columns) == sorted(out.columns)
     want = sorted(str([shown(r[columns.index(c)]) for c in sorted(columns)]) for r in found.fetchall())
     assert got == want and got
+
+
+def test_export_of_all_tables_records_what_fails(spark, tmp_path):
+    from gaugeworks.plans.traversal import export_all
+
+    frames = {t: spark.read.parquet(f"{SMALL}/{t}.parquet") for t in queries.GRAPH.keys}
+    frames["supplier"] = frames["supplier"].drop("s_nationkey")
+    told = {e[0]: e for e in export_all(queries.GRAPH.walk("region", depth=2), frames, "r_name = 'ASIA'", f"file://{tmp_path}")}
+    assert told["region"][3:] == (1, "") and told["nation"][3] == spark.read.parquet(f"file://{tmp_path}/nation").count() > 0
+    assert told["supplier"][3] is None and told["supplier"][4] and told["customer"][4] == ""
