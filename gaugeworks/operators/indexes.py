@@ -26,6 +26,23 @@ def sponsor_index(units: DataFrame) -> DataFrame:
     return each.groupBy("country_norm", "sponsor").agg(F.count("*").alias("n_units"), F.count_distinct("terminal_id").alias("n_terminals"))
 
 
+def unit_index(units: DataFrame, order: str = "row") -> DataFrame:
+    """One row a unit_id: of several the last by `order`, as a whole, and of such with one order the row that compares greatest. Rows without an id make none."""
+    rows = units.filter("unit_id <> ''").select("unit_id", F.struct(*[c for c in units.columns if c != "unit_id"]).alias("own"), F.col(order).alias("at"))
+    last = rows.groupBy("unit_id").agg(F.max_by("own", F.struct("at", "own")).alias("own"))
+    return last.select("unit_id", "own.*")
+
+
+def index_stats(units: DataFrame) -> DataFrame:
+    """One row of counts: n_rows, n_terminals, project_keys, sponsor_keys, unit_keys, multi_unit_projects. Each index is aggregated apart; their one-row counts meet at the end."""
+    all_rows = units.agg(F.count("*").alias("n_rows"), F.count_distinct("terminal_id").alias("n_terminals"), F.count_distinct(F.when(F.col("unit_id") != "", F.col("unit_id"))).alias("unit_keys"))
+    sites = site_index(units).agg(F.count("*").alias("project_keys"), F.count(F.when(F.col("n_units") > 1, 1)).alias("multi_unit_projects"))
+    sponsors = sponsor_index(units).agg(F.count("*").alias("sponsor_keys"))
+    one = lambda df: df.withColumn("__one", F.lit(1))
+    out = one(all_rows).join(one(sites), "__one").join(one(sponsors), "__one")
+    return out.select("n_rows", "n_terminals", "project_keys", "sponsor_keys", "unit_keys", "multi_unit_projects")
+
+
 def top_sponsors(index: DataFrame, n: int = 10) -> DataFrame:
     return index.orderBy(F.desc("n_units"), "country_norm", "sponsor").limit(n)
 

@@ -149,6 +149,15 @@ def top_sponsors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indexes.top_sponsors(indexes.sponsor_index(_units(spark, sf_dir))).select("country_norm", "sponsor", "n_units")
 
 
+def unit_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _t(spark, sf_dir, "lineitem").select(F.when(F.col("l_orderkey") % 9 > 0, F.col("l_orderkey").cast("string")).otherwise("").alias("unit_id"), F.col("l_linenumber").alias("row"), "l_partkey", "l_quantity")
+    return indexes.unit_index(lines).select("unit_id", "row", "l_partkey", "l_quantity")
+
+
+def index_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return indexes.index_stats(_units(spark, sf_dir))
+
+
 def entity_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indexes.find_entity(_units(spark, sf_dir), "Royal Dutch Shell", ["owner"], "U.S.A.")
 
@@ -318,7 +327,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconciliation(spark, sf_dir)
 
 
-_ALL = [table_graph_export, tracker_exists, lookup_joins, latest_row, anti_difference, resolved_references, ultimate_parents, back_references, rounded_totals, site_index, sponsor_index, top_sponsors, entity_lookup, project_collapse, collisions, exact_matches, reconciliation, monitor_upsert, field_agreement, value_runs, vessel_match, total_gates, status_columns, current_status, stale_sweep, flag_counts, legal_moves, anchor_checks, latest_status, weekly_counts, country_names, owner_lists, capacities, capacity_ranges, number_formats, page_checks, sheet_errors]
+_ALL = [table_graph_export, tracker_exists, lookup_joins, latest_row, anti_difference, resolved_references, ultimate_parents, back_references, rounded_totals, site_index, sponsor_index, top_sponsors, unit_index, index_stats, entity_lookup, project_collapse, collisions, exact_matches, reconciliation, monitor_upsert, field_agreement, value_runs, vessel_match, total_gates, status_columns, current_status, stale_sweep, flag_counts, legal_moves, anchor_checks, latest_status, weekly_counts, country_names, owner_lists, capacities, capacity_ranges, number_formats, page_checks, sheet_errors]
 
 
 def queries() -> dict:
@@ -398,6 +407,10 @@ def oracle_sql() -> dict[str, str]:
             CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) FILTER (l_linestatus = 'O') AS DOUBLE) AS cost_total FROM lineitem GROUP BY l_orderkey""",
         "site_index": f"WITH {_UNITS} SELECT country_norm, name_norm, count(*) AS n_units, count(DISTINCT terminal_id) AS n_terminals FROM units GROUP BY ALL",
         "sponsor_index": _SPONSORS,
+        "unit_index": "SELECT CAST(l_orderkey AS VARCHAR) AS unit_id, l_linenumber AS row, l_partkey, l_quantity FROM lineitem WHERE l_orderkey % 9 > 0 QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_quantity DESC) = 1",
+        "index_stats": f"""WITH {_UNITS}, p AS (SELECT country_norm, name_norm, count(*) AS n FROM units GROUP BY ALL)
+            SELECT (SELECT count(*) FROM units) AS n_rows, (SELECT count(DISTINCT terminal_id) FROM units) AS n_terminals, (SELECT count(*) FROM p) AS project_keys,
+              (SELECT count(*) FROM ({_SPONSORS})) AS sponsor_keys, (SELECT count(DISTINCT unit_id) FROM units) AS unit_keys, (SELECT count(*) FROM p WHERE n > 1) AS multi_unit_projects""",
         "top_sponsors": f"SELECT country_norm, sponsor, n_units FROM ({_SPONSORS}) ORDER BY n_units DESC, country_norm, sponsor LIMIT 10",
         "entity_lookup": f"WITH {_UNITS} SELECT 'owner' AS field, CASE WHEN own = 0 THEN 'Shell plc' ELSE 'Big Shell Trading 10' END AS variant, count(*) AS hits, count(DISTINCT terminal_id) AS n_terminals FROM units WHERE own IN (0, 4) AND country_norm = 'united states' GROUP BY ALL",
         "project_collapse": f"""WITH {_UNITS} SELECT country_norm, name_norm, section, arg_min(terminal_id, row) AS terminal_id, array_to_string(list_sort(list_distinct(list(status))), ',') AS statuses,

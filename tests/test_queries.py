@@ -7,7 +7,7 @@ import pytest
 from gaugeworks import queries, review_queries
 
 SMALL = "/root/testdata/sf0.001"
-NAMES = [*review_queries.oracle_sql(), "exact_matches", "reconciliation", "ultimate_parents", "vessel_match", "sponsor_index"]
+NAMES = [*review_queries.oracle_sql(), "exact_matches", "reconciliation", "ultimate_parents", "vessel_match", "sponsor_index", "unit_index", "index_stats"]
 SQL = queries.oracle_sql() | review_queries.oracle_sql()
 RUN = queries.queries() | review_queries.queries()
 
