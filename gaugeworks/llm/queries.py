@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_extract, minhash, nbsvm, packing, pii, quality, secret_scan, token_store, topk
+from . import bpe, fill_middle, html_extract, minhash, nbsvm, packing, pii, quality, secret_scan, token_store, topk
 from .shared import new_folder
 
 
@@ -58,6 +58,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
@@ -112,5 +116,31 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 """
 
 
+_HASHED, _MARKED = fill_middle.rule_sql()
+OP12 = rf"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, {_HASHED} AS digest FROM documents),
+cut AS (
+  SELECT *, regexp_extract_all(text, '{_GAP}*[^\x20\x09-\x0D]+|{_GAP}+') AS units,
+    [CAST('0x' || substr(digest, 8 * i + 1, 8) AS BIGINT) FOR i IN range(4)] AS h
+  FROM docs),
+ends AS (
+  SELECT doc_id, text, units, len(units) AS n,
+    least(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS a,
+    greatest(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS b,
+    CASE WHEN text = '' OR {_MARKED} OR h[3] % 100 >= 50 THEN 'plain' WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut),
+parts AS (
+  SELECT *, array_to_string(units[:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:], '') AS suffix
+  FROM ends)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CAST(CASE WHEN form <> 'plain' THEN length(prefix) END AS BIGINT) AS prefix_chars,
+  CAST(CASE WHEN form <> 'plain' THEN length(middle) END AS BIGINT) AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": OP3, "op9_topk": OP9}
+    return {"op3_quality_rules": OP3, "op9_topk": OP9, "op12_fill_middle": OP12}
