@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fill_middle, html_extract, minhash, nbsvm, packing, pii, quality, secret_scan, token_store, topk
+from . import bpe, fill_middle, html_extract, minhash, mixing, nbsvm, packing, pii, quality, secret_scan, token_store, topk
 from .shared import new_folder
 
 
@@ -58,6 +58,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(_read(spark, sf_dir, "documents"))
+
+
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(_read(spark, sf_dir, "documents"))
 
