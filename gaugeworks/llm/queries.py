@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fill_middle, html_extract, minhash, mixing, nbsvm, packing, pii, quality, secret_scan, token_store, topk
+from . import bpe, divergence, fill_middle, html_extract, minhash, mixing, nbsvm, packing, pii, quality, secret_scan, token_store, topk
 from .shared import new_folder
 
 
@@ -66,6 +66,10 @@ def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(_read(spark, sf_dir, "documents"))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
@@ -146,5 +150,36 @@ FROM parts
 """
 
 
+OP13 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+found AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term FROM found GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY ALL),
+counts AS (SELECT lang, source, term, count(*) AS n FROM found SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+names AS (SELECT DISTINCT lang, source FROM docs),
+vectors AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, v,
+    1 + (1000000000::HUGEINT * (coalesce(n, 0) + 1)) // (sum(coalesce(n, 0)) OVER (PARTITION BY lang, source) + v) AS p
+  FROM names JOIN kept USING (lang) JOIN sizes USING (lang) LEFT JOIN counts USING (lang, source, term)),
+langs AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 1)) // (sum(sum(n)) OVER (PARTITION BY lang) + any_value(v)) AS q
+  FROM vectors GROUP BY lang, term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM vectors a JOIN vectors b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+rows AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM names a JOIN names b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM vectors JOIN langs USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM rows)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": OP3, "op9_topk": OP9, "op12_fill_middle": OP12}
+    return {"op3_quality_rules": OP3, "op9_topk": OP9, "op12_fill_middle": OP12, "op13_divergence": OP13}
