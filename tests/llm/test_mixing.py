@@ -35,10 +35,12 @@ def i64(v):
     return (v, 8)
 
 
-def permuted(x, n, key, rounds=mixing.ROUNDS):
-    for r in range(1, rounds + 1):
-        other = (h(i64(key), i32(r)) % n - x) % n
-        if h(i32(r), i64(key), i64(max(x, other))) % 2 == 1:
+def permuted(x, n, key):
+    prime = next(p for p in mixing.PRIMES if n % p)
+    for r in range(mixing.ROUNDS):
+        x = (x * prime + h(i64(key), i32(2 * r)) % n) % n
+        other = (h(i64(key), i32(2 * r + 1)) % n - x) % n
+        if h(i32(r), i64(key), i64(max(x, other))) & 1:
             x = other
     return x
 
@@ -125,7 +127,7 @@ def test_the_mix_has_full_shards_whose_texts_are_the_words_taken(spark):
     assert all(len(r.text.split(" ")) == 8 for r in out if len(r.text.split(" ")) != len(whole[r.source].split()) % 8)
     sized = mixing.sizes(df)
     shared = mixing.shares(sized, mix)
-    counts = Counter({(r.shard, r["rank"]): r.n for r in mixing.shard_counts(mixing.slots(shared, mix)).collect()})
+    counts = Counter({(r.shard, r["rank"]): r.n for r in mixing.shard_counts(mixing.slots(shared, mix), mix).collect()})
     for s in shared.collect():
         own = [n for (_, rank), n in counts.items() if rank == s["rank"]]
         assert sum(own) == s.slots
@@ -134,9 +136,12 @@ def test_the_mix_has_full_shards_whose_texts_are_the_words_taken(spark):
     assert all(abs(n - 50 * share) < 5 * (50 * share) ** 0.5 for n in full) and len(set(full)) > 1
 
 
-@pytest.mark.parametrize("n", [1, 2, 3, 10, 97, 256, 1000])
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 97, 256, 1000, 200_006])
 def test_permutations_hit_every_place_once(spark, n):
-    out = spark.range(n).select(*[mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(k).cast("long")).alias(f"k{k}") for k in (1, 2)]).collect()
+    out = spark.range(n)
+    for k in (1, 2):
+        out = mixing.permuted(out, f"k{k}", F.col("id"), F.lit(n).cast("long"), F.lit(k).cast("long"))
+    out = out.orderBy("id").collect()
     for k in ("k1", "k2"):
         assert sorted(r[k] for r in out) == list(range(n))
     if n >= 97:
