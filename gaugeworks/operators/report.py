@@ -1,8 +1,12 @@
 """Tables out of the layout text of an annual report: pages to lines, lines to rows, rows to countries.
 
-Pages come as (page, text). Lines are exploded with their number, columns come from the header's words, and
-every line is classified by expressions. Only the walk that spends a country's published total on its rows,
-line by line, is a function of one page.
+Pages come as (report, page, text), or (page, text) of one report. Lines are exploded with their number, columns
+come from the header's words, and every line is classified by expressions. Only the walk that spends a country's
+published total on its rows, line by line, is a function of one page. What goes across pages is done for each
+report on its own.
+
+Null texts have no lines. A page without header gives no rows. Totals stand on lines of their own, beside a piece of
+a name, or in the first cell of a data row; a label may be set on several lines (`bands`).
 """
 
 from __future__ import annotations
@@ -10,7 +14,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..sources.flat import checkpointed
@@ -26,8 +30,8 @@ NONOP_HINTS = {
     "shelved": ["shelved"],
 }
 FACILITY_MARKS = ("FLNG", "FSRU", "FSU", "FRU", "FPSO")
-#: Fixed value: the line at a page's foot, its number before the edition.
-_FOOTER = r"(?i)^\s*\d*\W*\S+\s+annual\s+report\s+\d{4}\s+edition"
+#: What a page's foot says, somewhere in its line.
+_FOOTER = r"(?i)\bannual\s+report\s+\d{4}\s+edition\b"
 _NUMBER, _SUBTOTAL, _REGION = r"^-?\d+(?:\.\d+)?$", r"^([\d,.]+)\s*MTPA\s*$", r"^\s*[A-Z][A-Z\s&-]+:\s*[\d,.]+\s*MTPA"
 
 
@@ -40,9 +44,14 @@ class Layout:
     capacity: str
 
 
+#: What tells a page.
+KEY = ["report", "page"]
+
+
 def lines_of(pages: DataFrame) -> DataFrame:
-    """(page, n, line)."""
-    return pages.select("page", F.posexplode(F.split("text", r"\r?\n")).alias("n", "line"))
+    """(report, page, n, line); a table without report is one report."""
+    report = F.col("report") if "report" in pages.columns else F.lit("")
+    return pages.select(report.alias("report"), "page", F.posexplode(F.split("text", r"\r?\n")).alias("n", "line"))
 
 
 def header(lines: DataFrame, layout: Layout) -> DataFrame:
@@ -53,19 +62,19 @@ def header(lines: DataFrame, layout: Layout) -> DataFrame:
         found = F.call_function("locate", F.lit(word), F.col("line"), after)
         at.append(F.when(found > 0, found) if not at else F.when(at[-1].isNotNull() & (found > 0), found))
     own = lines.filter(F.ltrim("line").startswith(layout.words[0])).withColumn("starts", F.array(*at)).filter(~F.exists("starts", lambda x: x.isNull()))
-    return own.groupBy("page").agg(F.min_by(F.struct(F.col("n").alias("header_n"), "starts"), "n").alias("h")).select("page", "h.header_n", "h.starts")
+    return own.groupBy(*KEY).agg(F.min_by(F.struct(F.col("n").alias("header_n"), "starts"), "n").alias("h")).select(*KEY, "h.header_n", "h.starts")
 
 
 def cells(lines: DataFrame, heads: DataFrame, layout: Layout) -> DataFrame:
     """Lines below the header with a map of column -> trimmed text."""
-    both = lines.join(heads, "page").filter("n > header_n")
+    both = lines.join(heads, KEY).filter("n > header_n")
     text = lambda i: F.trim(F.substring(F.col("line"), F.col("starts")[i] if i else F.lit(1), (F.col("starts")[i + 1] - (F.col("starts")[i] if i else F.lit(1))) if i + 1 < len(layout.words) else F.lit(WIDE)))
     entries = [x for i, w in enumerate(layout.words) for x in (F.lit(w), text(i))]
-    return both.select("page", "n", "line", F.create_map(*entries).alias("cell"))
+    return both.select(*KEY, "n", "line", F.create_map(*entries).alias("cell"))
 
 
 def classified(lines: DataFrame, layout: Layout) -> DataFrame:
-    """Adds kind: data, label, subtotal, region, footer, blank or text; subtotal: its figure."""
+    """Adds kind: data, label, subtotal, region, footer, blank or text; subtotal: the figure of a total, on its own line or in a data row's first cell."""
     first, rest = F.col("cell")[layout.words[0]], F.array_join(F.map_values(F.map_filter("cell", lambda k, v: k != layout.words[0])), "")
     capacity = F.col("cell")[layout.capacity]
     figure = F.regexp_replace(F.regexp_extract(first, _SUBTOTAL, 1), ",", "").try_cast("double")
@@ -78,12 +87,34 @@ def classified(lines: DataFrame, layout: Layout) -> DataFrame:
         .when((first != "") & (rest == "") & ~first.rlike(_NUMBER) & ~first.contains(":"), "label")
         .otherwise("text")
     )
-    return lines.withColumns({"kind": kind, "label": F.when(kind == "label", first), "subtotal": F.when(kind == "subtotal", figure)})
+    return lines.withColumns({"kind": kind, "label": F.when(kind == "label", first), "subtotal": F.when(kind.isin("subtotal", "data"), figure)})
+
+
+def bands(lines: DataFrame, reach: int = 3) -> DataFrame:
+    """(report, page, n, label): labels, those on several lines put together at the first.
+
+    Label lines with no data line between them are one stretch (they have equally many data lines before them), and
+    a stretch is cut anew where a line is more than `reach` below the first of its label. A slash at a line's end
+    stays one, other ends are joined by a blank.
+    """
+    page = Window.partitionBy(*KEY).orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    told = lines.withColumn("above", F.count(F.when(F.col("kind") == "data", 1)).over(page)).filter("kind = 'label'")
+    stretch = told.groupBy(*KEY, "above").agg(F.sort_array(F.collect_list(F.struct("n", F.trim("label").alias("label")))).alias("own"))
+
+    def add(done: Column, line: Column) -> Column:
+        last = F.element_at(done, -1)
+        near = (F.size(done) > 0) & (line.n - F.try_element_at(done, F.lit(-1)).n <= reach)
+        glue = F.when(F.rtrim(last.label).endswith("/"), "/").otherwise(" ")
+        both = F.struct(last.n.alias("n"), F.concat(F.rtrim(F.regexp_replace(last.label, "[/-]+$", "")), glue, line.label).alias("label"))
+        return F.when(near, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(both))).otherwise(F.concat(done, F.array(line)))
+
+    kind = stretch.schema["own"].dataType.simpleString()
+    return stretch.select(*KEY, F.inline(F.aggregate("own", F.array().cast(kind), add)))
 
 
 def owned(lines: DataFrame, layout: Layout) -> DataFrame:
     """Adds row_n: the data line that a line of text belongs to, the nearest; of two as near the upper one, unless the line begins a name."""
-    w = Window.partitionBy("page").orderBy("n")
+    w = Window.partitionBy(*KEY).orderBy("n")
     data = F.when(F.col("kind") == "data", F.col("n"))
     above = F.last(data, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     below = F.first(data, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
@@ -92,31 +123,47 @@ def owned(lines: DataFrame, layout: Layout) -> DataFrame:
     continues = (opened < 0) | F.lower(name).isin("expansion", "extension") | name.rlike(r"(?i)\(\s*(?:FSRU|FLNG|FSU|FRU)\s*\)")
     begins = name.rlike(r"^\p{Lu}") & (F.col("cell")[layout.capacity] == "") & ~continues
     nearer = F.when(below.isNull() | (F.col("n") - above < below - F.col("n")), above).when(above.isNull() | (F.col("n") - above > below - F.col("n")), below).otherwise(F.when(begins, below).otherwise(above))
-    return lines.filter("kind <> 'blank'").withColumn("row_n", F.when(F.col("kind").isin("data", "text"), nearer))
+    # a total may stand beside a piece of a row's name
+    own = F.col("kind").isin("data", "text") | ((F.col("kind") == "subtotal") & (name != ""))
+    return lines.filter("kind <> 'blank'").withColumn("row_n", F.when(own, nearer))
 
 
 def rows(lines: DataFrame, layout: Layout) -> DataFrame:
-    """(page, n, country_cell, site, capacity, cells): the lines of a row merged column by column, repeats in a row once."""
-    parts = lines.filter("row_n IS NOT NULL").select("page", F.col("row_n").alias("n0"), "n", F.explode("cell").alias("col", "part")).filter("part <> ''")
-    joined = parts.groupBy("page", "n0", "col").agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "part"))), lambda x: x.part).alias("p"))
+    """(report, page, n, country_cell, site, name_parts, capacity, cells): the lines of a row merged column by column, repeats in a row once.
+
+    country_cell is the first piece in the first column that is no total, number or region.
+    """
+    parts = lines.filter("row_n IS NOT NULL").select(*KEY, F.col("row_n").alias("n0"), "n", F.explode("cell").alias("col", "part")).filter("part <> ''")
+    joined = parts.groupBy(*KEY, "n0", "col").agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "part"))), lambda x: x.part).alias("p"))
     fresh = F.filter("p", lambda x, i: (i == 0) | (x != F.get(F.col("p"), i - 1)))
-    merged = joined.select("page", "n0", "col", F.array_join(fresh, " ").alias("text")).groupBy("page", "n0").agg(F.map_from_entries(F.collect_list(F.struct("col", "text"))).alias("cells"))
-    cell = lambda k: F.coalesce(F.try_element_at("cells", F.lit(k)), F.lit(""))
-    number = F.regexp_replace(F.split(cell(layout.capacity), r"\s+")[0], ",", "").try_cast("double")
-    return merged.select("page", F.col("n0").alias("n"), cell(layout.words[0]).alias("country_cell"), cell(layout.name).alias("site"), number.alias("capacity"), "cells")
+    merged = joined.select(*KEY, "n0", "col", fresh.alias("p")).groupBy(*KEY, "n0").agg(F.map_from_entries(F.collect_list(F.struct("col", "p"))).alias("pieces"))
+    none = F.array().cast("array<string>")
+    pieces = lambda k: F.coalesce(F.try_element_at("pieces", F.lit(k)), none)
+    text = lambda k: F.array_join(pieces(k), " ")
+    country = F.filter(pieces(layout.words[0]), lambda x: ~x.rlike(_SUBTOTAL) & ~x.rlike(_NUMBER) & ~x.contains(":"))
+    number = F.regexp_replace(F.split(text(layout.capacity), r"\s+")[0], ",", "").try_cast("double")
+    cells_of = F.transform_values("pieces", lambda k, v: F.array_join(v, " "))
+    return merged.select(*KEY, F.col("n0").alias("n"), F.coalesce(F.get(country, F.lit(0)), F.lit("")).alias("country_cell"), text(layout.name).alias("site"), pieces(layout.name).alias("name_parts"), number.alias("capacity"), cells_of.alias("cells"))
 
 
-def assign_countries(table: DataFrame, lines: DataFrame) -> DataFrame:
-    """Adds country: from the row's own cell, else the label above, while its published total lasts; rows past it wait for the next label."""
-    marks = lines.filter("kind IN ('label', 'subtotal')").select("page", "n", F.when(F.col("kind") == "label", 0).otherwise(1).alias("turn"), F.when(F.col("kind") == "label", F.col("label")).alias("text"), F.col("subtotal").alias("value"))
-    events = marks.unionByName(table.select("page", "n", F.lit(2).alias("turn"), F.col("country_cell").alias("text"), F.coalesce("capacity", F.lit(0.0)).alias("value")))
+def walked(table: DataFrame, lines: DataFrame) -> DataFrame:
+    """(report, page, n, country, total): each row's country, and with n = -1 the total that a page gives a country.
+
+    A row's country is its own cell's, else the label's above, while its published total lasts; rows past it wait for the next label.
+    """
+    none = F.lit(None)
+    labels = bands(lines).select(*KEY, "n", F.lit(0).alias("turn"), F.col("label").alias("text"), none.cast("double").alias("value"))
+    totals = lines.filter("subtotal IS NOT NULL").select(*KEY, "n", F.lit(1).alias("turn"), none.cast("string").alias("text"), F.col("subtotal").alias("value"))
+    own = table.select(*KEY, "n", F.lit(2).alias("turn"), F.col("country_cell").alias("text"), F.coalesce("capacity", F.lit(0.0)).alias("value"))
+    events = labels.unionByName(totals).unionByName(own)
 
     def walk(df: pd.DataFrame) -> pd.DataFrame:
-        country, budget, spent, waiting, out = "", None, 0.0, [], {}
+        country, budget, spent, waiting, out, published = "", None, 0.0, [], {}, {}
         for e in df.sort_values(["n", "turn"]).itertuples():
             named = isinstance(e.text, str) and e.text != ""
             if e.turn == 1:
-                budget = e.value if country else None
+                if country:
+                    budget = published[country] = e.value
                 continue
             if e.turn == 0 or named:
                 out.update(dict.fromkeys(waiting, e.text))
@@ -130,18 +177,34 @@ def assign_countries(table: DataFrame, lines: DataFrame) -> DataFrame:
                     out[e.n] = country
                 else:
                     waiting.append(e.n)
-        return pd.DataFrame({"page": df["page"].iloc[0], "n": list(out), "country": list(out.values())}, columns=["page", "n", "country"])
+        found = [(n, c, None) for n, c in out.items()] + [(-1, c, v) for c, v in published.items()]
+        return pd.DataFrame([(df["report"].iloc[0], df["page"].iloc[0], *f) for f in found], columns=["report", "page", "n", "country", "total"])
+
+    kinds = dict(table.dtypes)
+    return events.groupBy(*KEY).applyInPandas(walk, f"report {kinds['report']}, page {kinds['page']}, n int, country string, total double")
 
-    page = dict(table.dtypes)["page"]
-    named = events.groupBy("page").applyInPandas(walk, f"page {page}, n int, country string")
-    return table.join(named, ["page", "n"], "left").withColumn("country", F.coalesce("country", F.lit("")))
+
+def with_countries(table: DataFrame, told: DataFrame) -> DataFrame:
+    named = told.filter("n >= 0").select(*KEY, "n", "country")
+    return table.join(named, [*KEY, "n"], "left").withColumn("country", F.coalesce("country", F.lit("")))
+
+
+def assign_countries(table: DataFrame, lines: DataFrame) -> DataFrame:
+    """Adds country, by the walk over each page."""
+    return with_countries(table, walked(table, lines))
 
 
 def country_totals(table: DataFrame, lines: DataFrame) -> DataFrame:
-    """(country, total): each published total with the country of the data row nearest to it."""
-    marks = lines.filter("kind = 'subtotal'").select("page", F.col("n").alias("at"), "subtotal")
-    near = table.filter("country <> ''").select("page", "n", "country").join(marks, "page")
-    return near.groupBy("page", "at", "subtotal").agg(F.min_by("country", F.struct(F.abs(F.col("n") - F.col("at")), "n")).alias("country")).groupBy("country").agg(F.max("subtotal").alias("total"))
+    """(report, country, total): each published total with the country of the data row nearest to it."""
+    marks = lines.filter("subtotal IS NOT NULL").select(*KEY, F.col("n").alias("at"), "subtotal")
+    near = table.filter("country <> ''").select(*KEY, "n", "country").join(marks, KEY)
+    nearest = near.groupBy(*KEY, "at", "subtotal").agg(F.min_by("country", F.struct(F.abs(F.col("n") - F.col("at")), "n")).alias("country"))
+    return nearest.groupBy("report", "country").agg(F.max_by("subtotal", F.struct("page", "at")).alias("total"))
+
+
+def _shared(totals: DataFrame, part: tuple[str, ...]) -> list[str]:
+    """The columns of a part that the totals are told apart by."""
+    return [c for c in part if c in totals.columns]
 
 
 #: Halves of country names that a report sets on two lines.
@@ -165,9 +228,10 @@ def join_split_names(table: DataFrame, totals: DataFrame, part: tuple[str, ...])
     led = country_runs(table, part)
     whole = lambda one, two: F.coalesce(*[F.when((plain(one) == a) & (plain(two) == b), full) for a, b, full in SPLIT_NAMES])
     own = led.withColumn("__full", F.coalesce(whole(F.col("country"), F.col("after")), whole(F.col("before"), F.col("country"))))
-    renamed = own.filter("__full IS NOT NULL").select("country", "__full").distinct().groupBy("country").agg(F.min("__full").alias("__full"))
+    by = [*_shared(totals, part), "country"]
+    renamed = own.filter("__full IS NOT NULL").select(*by, "__full").distinct().groupBy(*by).agg(F.min("__full").alias("__full"))
     out = own.withColumn("country", F.coalesce("__full", "country")).select(*table.columns)
-    again = totals.join(renamed, "country", "left").withColumn("country", F.coalesce("__full", "country")).groupBy("country").agg(F.max("total").alias("total"))
+    again = totals.join(renamed, by, "left").withColumn("country", F.coalesce("__full", "country")).groupBy(*by).agg(F.max("total").alias("total"))
     return out, again
 
 
@@ -180,7 +244,7 @@ def reclaim(table: DataFrame, totals: DataFrame, part: tuple[str, ...], nearest:
     """
     led = country_runs(table, part)
     size = led.groupBy(*part, "run").agg(F.first("country").alias("to"), F.first("alone").alias("alone"), F.first("before").alias("before"), F.first("after").alias("after"))
-    short = size.join(totals.withColumnRenamed("country", "to"), "to").filter("before IS NOT NULL AND after IS NOT NULL").filter(F.col("alone") < F.col("total") * low)
+    short = size.join(totals.withColumnRenamed("country", "to"), [*_shared(totals, part), "to"]).filter("before IS NOT NULL AND after IS NOT NULL").filter(F.col("alone") < F.col("total") * low)
     above = led.join(short.select(*part, (F.col("run") - 1).alias("run"), "to", F.col("alone").alias("own"), "total"), [*part, "run"])
     up = Window.partitionBy(*part, "run").orderBy(F.desc("page"), F.desc("n"))
     reached = above.withColumn("__sum", F.col("own") + F.sum(F.coalesce("capacity", F.lit(0.0))).over(up.rowsBetween(Window.unboundedPreceding, 0))).withColumn("__m", F.row_number().over(up))
@@ -197,11 +261,22 @@ def reclaim(table: DataFrame, totals: DataFrame, part: tuple[str, ...], nearest:
     return ranked.withColumn("country", F.when(F.col("__m") <= F.col("take"), F.col("__to")).otherwise(F.col("country"))).select(*table.columns)
 
 
+def settled(table: DataFrame, totals: DataFrame, part: tuple[str, ...], most: int = 8) -> DataFrame:
+    """Reclaiming, the nearest fit, until a round moves no row or `most` are done: a country that gives rows up may come to lack some itself. The moved rows are counted as a round is written."""
+    for _ in range(most):
+        seen = Observation()
+        again = reclaim(table.withColumn("was", F.col("country")), totals, part, nearest=True)
+        table = checkpointed(again.observe(seen, F.count_if(~F.col("country").eqNullSafe(F.col("was"))).alias("moved"))).drop("was")
+        if not seen.get["moved"]:
+            break
+    return table
+
+
 def return_islands(table: DataFrame, totals: DataFrame, part: tuple[str, ...] = ("page",), low: float = 0.94, high: float = 1.02) -> DataFrame:
     """A run between two runs of one other country goes to that country, if its own country's total is met without it and passed with it."""
     led = country_runs(table, part)
     sums = table.groupBy(*part, "country").agg(F.sum("capacity").alias("all"))
-    judged = led.join(sums, [*part, "country"]).join(totals, "country", "left")
+    judged = led.join(sums, [*part, "country"]).join(totals, [*_shared(totals, part), "country"], "left")
     move = (F.col("before") == F.col("after")) & (F.col("before") != "") & (F.col("all") - F.col("alone") >= F.col("total") * low) & (F.col("all") > F.col("total") * high)
     return judged.withColumn("country", F.when(move, F.col("before")).otherwise(F.col("country"))).select(*table.columns)
 
@@ -228,18 +303,50 @@ def hinted_status(hint: Column) -> Column:
     return F.coalesce(F.try_element_at(table, F.regexp_replace(F.lower(hint), "[^a-z]", "")), F.lit(""))
 
 
-def extract(pages: DataFrame, layout: Layout, rules: list[tuple[str, str]] | None = None, rounds: int = 3) -> DataFrame:
-    """(page, n, country, site, trains, status, capacity) of a section's pages. Reclaiming across pages is repeated, as one country's rows may free another's."""
+def terminal_parts(pieces: Column, concept: Column) -> Column:
+    """struct<site, vessel, type, status> of the pieces of a terminal's name: pieces with a facility mark name its vessel.
+
+    Where every piece has a mark, the first is the site and the last its vessel; one marked piece alone is both.
+    """
+    mark = r"(?i)\(\s*(?:FSRU|FLNG|FSU|FRU)\s*\)"
+    bare = lambda x: F.trim(F.regexp_replace(x, r"\s*" + mark + r"\s*", " "))
+    marked, plain = F.filter(pieces, lambda x: x.rlike(mark)), F.filter(pieces, lambda x: ~x.rlike(mark))
+    n = F.size(marked)
+    first = F.trim(F.regexp_replace(bare(F.get(marked, F.lit(0))), r"(?i)\s+(?:and|&)\s*$", ""))
+    named = F.when(F.size(plain) > 0, F.array_join(plain, " ")).when(n >= 2, first).otherwise(F.array_join(pieces, " "))
+    vessel = F.when(n > 0, bare(F.element_at(marked, -1))).otherwise("")
+    bracket = F.regexp_extract(named, r"\(([A-Za-z]{1,20})\)\s*$", 1)
+    status = hinted_status(bracket)
+    site = F.when(status != "", F.rtrim(F.regexp_replace(named, r"\([A-Za-z]{1,20}\)\s*$", ""))).otherwise(named)
+    kind = F.when(vessel != "", "FSRU").when(F.lower(concept).contains("offshore"), "offshore").when(F.lower(concept).contains("onshore"), "onshore").otherwise("")
+    return F.struct(site.alias("site"), vessel.alias("vessel"), kind.alias("type"), status.alias("status"))
+
+
+def table_rows(pages: DataFrame, layout: Layout, rules: list[tuple[str, str]] | None = None, rounds: int = 8) -> DataFrame:
+    """The rows of all pages with their countries, settled within each report."""
     lines = lines_of(pages)
-    marked = classified(cells(lines, header(lines, layout), layout), layout)
-    table = assign_countries(rows(owned(marked, layout), layout), marked)
+    marked = checkpointed(classified(cells(lines, header(lines, layout), layout), layout))
+    table = checkpointed(rows(owned(marked, layout), layout).filter("site <> ''"))
+    told = checkpointed(walked(table, marked))
+    table = checkpointed(with_countries(table, told))
     totals = checkpointed(country_totals(table, marked))
-    table = checkpointed(reclaim(table, totals, ("page",), nearest=False).withColumn("section", F.lit(1)))  # a report's section: its rows are one part from here on
-    table, totals = join_split_names(table, totals, ("section",))
-    for _ in range(rounds):
-        table = checkpointed(reclaim(table, totals, ("section",), nearest=True))
-    table = return_islands(table, totals, ("section",))
-    if rules:
-        table = override_sites(table, rules)
+    published = told.filter("n < 0").select(*KEY, "country", "total")
+    table = reclaim(table, published, tuple(KEY), nearest=False)
+    table, totals = join_split_names(checkpointed(table), totals, ("report",))
+    totals = checkpointed(totals)
+    table = return_islands(settled(checkpointed(table), totals, ("report",), rounds), totals, ("report",))
+    return override_sites(table, rules) if rules else table
+
+
+def extract(pages: DataFrame, layout: Layout, rules: list[tuple[str, str]] | None = None, rounds: int = 8) -> DataFrame:
+    """(report, page, n, country, site, trains, status, capacity) of a plant table's pages."""
+    table = table_rows(pages, layout, rules, rounds)
     part = site_parts(F.col("site"))
-    return table.select("page", "n", "country", part.site.alias("site"), part.trains.alias("trains"), F.when(hinted_status(part.hint) != "", hinted_status(part.hint)).otherwise("operating").alias("status"), "capacity")
+    return table.select(*KEY, "n", "country", part.site.alias("site"), part.trains.alias("trains"), F.when(hinted_status(part.hint) != "", hinted_status(part.hint)).otherwise("operating").alias("status"), "capacity")
+
+
+def extract_terminals(pages: DataFrame, layout: Layout, concept: str, rules: list[tuple[str, str]] | None = None, rounds: int = 8) -> DataFrame:
+    """(report, page, n, country, site, vessel, type, status, capacity) of a terminal table's pages; concept: the column that says onshore or offshore."""
+    table = table_rows(pages, layout, rules, rounds)
+    part = terminal_parts(F.col("name_parts"), F.coalesce(F.try_element_at("cells", F.lit(concept)), F.lit("")))
+    return table.select(*KEY, "n", "country", part.site.alias("site"), part.vessel.alias("vessel"), part.type.alias("type"), F.when(part.status != "", part.status).otherwise("operating").alias("status"), "capacity")

@@ -46,9 +46,69 @@ def test_islands_go_back(spark):
 
 
 def test_site_parts(spark):
-    names = ["Yamal LNG T2", "Calcasieu Pass LNG T1-6", "Atlantic LNG T1 (Mothballed)", "MLNG Dua", "Prelude (FLNG)"]
+    names = ["Harbour Isle T4", "Stone Bay LNG T1-3", "Long Reach T2 (Closed)", "Moor Dua", "Tern (FLNG)", "Two Rivers T1 & T2"]
     got = [tuple(r.x) for r in spark.createDataFrame([(n,) for n in names], "a string").select(report.site_parts(F.col("a")).alias("x")).collect()]
-    assert got == [("Yamal LNG", "T2", ""), ("Calcasieu Pass LNG", "T1-6", ""), ("Atlantic LNG", "T1", "Mothballed"), ("MLNG Dua", "", ""), ("Prelude (FLNG)", "", "")]
+    assert got == [("Harbour Isle", "T4", ""), ("Stone Bay LNG", "T1-3", ""), ("Long Reach", "T2", "Closed"), ("Moor Dua", "", ""), ("Tern (FLNG)", "", ""), ("Two Rivers", "T1 & T2", "")]
+
+
+def test_terminal_parts(spark):
+    rows = [(["Port A", "Big Ship (FSRU)"], "Offshore"), (["Port B (FSRU) and", "Small Ship (FSU)"], "x"), (["Port C (FSU)"], ""), (["Port", "D (Idle)"], "Onshore"), (["Port E (West)"], "OFFSHORE")]
+    out = spark.createDataFrame(rows, "p array<string>, c string").select(report.terminal_parts(F.col("p"), F.col("c")).alias("x"))
+    assert [tuple(r.x) for r in out.collect()] == [("Port A", "Big Ship", "FSRU", ""), ("Port B", "Small Ship", "FSRU", ""), ("Port C (FSU)", "Port C", "FSRU", ""), ("Port D", "", "onshore", "idled"), ("Port E (West)", "", "offshore", "")]
+
+
+def _marked(spark, text):
+    lines = report.lines_of(spark.createDataFrame([(1, text)], "page int, text string"))
+    return report.classified(report.cells(lines, report.header(lines, LAYOUT), LAYOUT), LAYOUT)
+
+
+HEAD = "Country      Project                  (MTPA)   Owner\n"
+
+
+def test_totals_on_data_rows_and_wrapped_labels(spark):
+    text = HEAD + "Oman\n             Alpha                    5.0      A\n12.0 MTPA    Beta                     7.0      A\nMauritania/\nSenegal\n             Gamma                    2.0      B\n3.0 MTPA     north\n             Delta                    1.0      B\n54 - Some Gas Group Annual Report 2026 Edition\n"
+    out = report.extract(spark.createDataFrame([(1, text)], "page int, text string"), LAYOUT).orderBy("n").collect()
+    assert [(r.country, r.site) for r in out] == [("Oman", "Alpha"), ("Oman", "Beta"), ("Mauritania/Senegal", "Gamma north"), ("Mauritania/Senegal", "Delta")]
+    marked = _marked(spark, text)
+    assert sorted(r.subtotal for r in marked.filter("subtotal IS NOT NULL").collect()) == [3.0, 12.0]
+    assert [r.kind for r in marked.orderBy("n").collect()][-2:] == ["footer", "blank"]
+
+
+def test_bands_against_the_rule_line_by_line(spark):
+    import random
+
+    pick = random.Random(12)
+    for _ in range(6):
+        lines, want = [], []
+        for n in range(40):
+            kind = pick.choice(["label", "label", "data", "blank"])
+            word = f"L{n}" + pick.choice(["", "/", "-", " /"])
+            lines.append({"label": word, "data": "             P                        1.0      A", "blank": ""}[kind])
+            if kind == "data":
+                open_at = None
+            elif kind == "label":
+                if want and open_at is not None and n - open_at <= 3:
+                    last = want[-1][1]
+                    want[-1] = (want[-1][0], last.rstrip("/-").rstrip() + ("/" if last.endswith("/") else " ") + word)
+                else:
+                    open_at = n
+                    want.append((n, word))
+            if kind == "data" or not want:
+                open_at = None
+        got = sorted((r.n - 1, r.label) for r in report.bands(_marked(spark, HEAD + "\n".join(lines))).collect())
+        assert got == want
+
+
+def test_a_chain_needs_five_rounds_and_reports_do_not_mix(spark):
+    names = ["A"] * 3 + [c for c in ("C1", "C2", "C3", "C4") for _ in range(2)] + ["C5", "Z"]
+    rows = [(r, 1 + i // 4, i, c, 5.0) for r in ("x", "y") for i, c in enumerate(names)]
+    table = spark.createDataFrame(rows, "report string, page int, n int, country string, capacity double")
+    totals = spark.createDataFrame([("x", f"C{i}", 10.0) for i in range(1, 6)], "report string, country string, total double")
+    want = ["A"] * 2 + [c for c in ("C1", "C2", "C3", "C4", "C5") for _ in range(2)] + ["Z"]
+    for most in (4, 8):
+        out = report.settled(table, totals, ("report",), most).orderBy("report", "n").collect()
+        assert ([r.country for r in out if r.report == "x"] == want) == (most == 8)
+        assert [r.country for r in out if r.report == "y"] == names
 
 
 def _table(spark, rows):
