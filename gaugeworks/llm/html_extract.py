@@ -2,15 +2,19 @@
 
 Every text node has a root-to-leaf tag path (tag names, with the class where there is one). Over a page,
 each path gets two ratios: characters per node and punctuation marks per node. Both are smoothed over the
-node sequence with a Gaussian, fused by their product and held against a threshold (a share of the page's
-deviation); the nodes on paths above it are content.
-
-The content nodes choose the section: an <article> (or <main>) that holds a fair share of their text, else
-the smallest section that leaves hardly any of it outside. Inside, the paths decide block by block: blocks
-on content paths stay; runs of links on other paths are menus and go; in a section without bounds of its
-own (the body), short blocks on other paths stay only as headings of content or between content. A page's
-own marks come first: elements that are never content by tag, role, `hidden` or a class or id made of nothing
-but such words (`ad`, `site-footer`, `comments-list`, but not `social-science`), are no nodes at all.
+node sequence with a Gaussian and fused by their product, as a share of the page's deviation. What a page
+says of itself enters as a prior of the path: under an <article> (or <main>) its score is raised, beside one it
+is lowered, in a link it is cut, and under an element that is never content by tag, role, class or id
+(made of nothing but such words: `ad`, `site-footer`, `comments-list`, but not `social-science`) it is next to
+nothing. The paths above a threshold are content; no text is taken or left but by its path's score and its
+place among the blocks that such paths make.
+
+A block is content if most of its characters are on content paths. On a page with articles these blocks are the text,
+with single links between them; any number of articles, and of texts of <main> around them, may take part. Small
+articles (teasers) have no prior. On a page without, the smallest section that leaves hardly any content
+outside is chosen; in a section without bounds of its own (the body), short blocks on other paths stay only
+as headings of content or between content. A form is never content if it has fields and, for each of them, little prose;
+one around a whole page is. Hidden and raw-text elements are no nodes at all.
 
 Null or empty html, and pages without content: text '' and 0 characters. Broken markup (tags not closed,
 cut references, stray '<') is read as far as it goes. Very long and deeply nested pages: every text is read
@@ -42,13 +46,19 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Start tags that close an open element of the same kind.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Never content: by tag, by role, by a class or id whose words all are one of these or of the plain ones.
-NEVER_TAGS = set("head nav header footer aside form button select menu dialog script style noscript template iframe svg canvas object textarea title".split())
+UNSHOWN_TAGS = set("head button select script style noscript template iframe svg canvas object textarea title".split())
+NEVER_TAGS = set("nav header footer aside menu dialog".split())
+FIELDS = {"input", "select", "textarea", "button"}
 NEVER_ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
-NEVER_WORDS = set("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies copyright disqus disclaimer footer footnav form header masthead menu modal nav navbar navigation newsletter notice notices pagination pager popup promo promoted related respond share sharing sidebar signup skip social sponsor sponsored subscribe tags toolbar widget".split())
-PLAIN_WORDS = set("area bar block body bottom box btn button buttons col column container content div global group holder inner item items left link links list main outer page panel post posts row section site slot sticky text top right unit widget widgets wrap wrapper".split())
+NEVER_WORDS = set("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies copyright discussion disqus disclaimer feedback footer footnav form header masthead menu modal nav navbar navigation newsletter notice notices pagination pager popup promo promoted reaction reactions related replies reply respond share sharing sidebar signup skip social sponsor sponsored subscribe tags toolbar widget".split())
+PLAIN_WORDS = set("area bar block body bottom box btn button buttons col column container content div global group holder inner item items left link links list main outer page panel post posts reader readers row section site slot sticky text top right unit user users visitor visitors widget widgets wrap wrapper".split())
 
-#: The least share of the content's text that makes an article the section, and the most that may lie outside a smaller section.
+#: The least share of the largest article's prose that makes an article one of the page's, and the most that may lie outside a smaller section.
 FAIR, OUTSIDE = 0.3, 0.2
+#: Priors of paths: in an article, in <main> around one, beside both; what a link and what an element that is never content leave of a score.
+IN_ARTICLE, IN_MAIN, BESIDE, IN_LINK, NEVER = 1.0, 0.6, -0.6, 0.3, 0.02
+#: Characters of a text that may be prose, and prose that a field of a form stands for.
+PROSE, FIELD = 80, 80
 #: Links in a row that make a menu, where the paths don't say otherwise.
 MENU = 3
 
@@ -57,18 +67,29 @@ _SELF_CLOSED = r"<svg(?=[\s/])(?:=\s*[^\s\"'<>]++|[^\"'<>/=]++|/(?!>)|=|" + _QUO
 _TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|" + _SELF_CLOSED + "|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?P<rest>(?:[^\"'>]++|" + _QUOTED + r")*+)>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<close>/?)(?P<name>[A-Za-z][A-Za-z0-9:._-]*+)(?P<attrs>(?:[^\"'<>]++|" + _QUOTED + r")*+)>|<[!?][^>]*>", re.S | re.I)
 #: One attribute at a time from the tag's start: each takes its whole value, so that no word of a value is read as a name.
 _ATTR = re.compile(r"""([^\s/>=][^\s/>=]*+)(?:\s*=\s*("[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^\s>]*))?""")
+_HIDDEN_FIELD = re.compile(r"(?i)(?<![^\s\"'])type\s*=\s*[\"']?hidden")
 _WORD = re.compile(r"[a-z]+")
 _UNSHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b")
 _MARK = re.compile(r"[.,;:!?…。，、；：！？]")
 
 
+class _Path:
+    """A root-to-leaf tag path. Elements with a prior of their own (articles, forms) have paths of their own."""
+
+    __slots__ = ("link", "never", "parent", "prior", "shut")
+
+    def __init__(self, parent: _Path | None, link: bool, never: bool):
+        self.parent, self.link, self.never, self.prior, self.shut = parent, link, never, 0.0, False
+
+
 class _Node:
     """An element. Its descendants are those numbered from its own number up to `end`."""
 
-    __slots__ = ("block", "end", "heading", "link", "never", "number", "parent", "path", "soft", "tag")
+    __slots__ = ("block", "end", "heading", "link", "never", "number", "parent", "path", "soft", "tag", "unshown")
 
-    def __init__(self, tag: str, parent: _Node | None, path: int, never: bool, number: int):
-        self.tag, self.parent, self.path, self.number, self.end = tag, parent, path, number, -1
+    def __init__(self, tag: str, parent: _Node | None, never: bool, unshown: bool, number: int):
+        self.tag, self.parent, self.number, self.end = tag, parent, number, -1
+        self.unshown = unshown or (parent is not None and parent.unshown)
         above = parent is not None
         # an article's own header: its heading is the article's, the rest of it is not
         inside = above and parent.soft
@@ -103,19 +124,25 @@ class _Page:
     """Elements of a page in order, and its text nodes (element, text, block number) that may be content. A block number changes wherever a block starts or ends."""
 
     def __init__(self, page: str):
-        self.paths: dict[tuple[int, str], int] = {}
-        self.root = _Node("html", None, 0, False, 0)
-        self.elements, self.texts = [self.root], []
+        self.paths: dict[tuple, _Path] = {}
+        self.root = _Node("html", None, False, False, 0)
+        self.root.path = _Path(None, False, False)
+        self.elements, self.texts, self.fields = [self.root], [], []
         self.open: Counter[str] = Counter()
         at, block, position = self.root, 0, 0
         for m in _TOKEN.finditer(page):
-            if m.start() > position and not at.never:
+            if m.start() > position and not at.unshown:
                 self.texts.append((at, page[position : m.start()], block))
             position = m.end()
             name = m["name"]
+            raw = (m["raw"] or "").lower()
+            if raw == "textarea":
+                self.fields.append(at)
             if not name:
                 continue
             name = name.lower()
+            if name in FIELDS and not m["close"] and not _HIDDEN_FIELD.search(m["attrs"]):
+                self.fields.append(at)
             if name in ("html", "body") and not m["close"] and at is not self.root:
                 continue
             if m["close"]:
@@ -138,7 +165,7 @@ class _Page:
                         if here is not None and here.tag in shut and here.parent is not None:
                             at = self._closed(at, shut)
                 at = self._opened(name, m["attrs"], at)
-        if position < len(page) and not at.never:
+        if position < len(page) and not at.unshown:
             self.texts.append((at, page[position:], block))
         while at is not None:
             at.end, at = len(self.elements), at.parent
@@ -153,24 +180,76 @@ class _Page:
                 return at
 
     def _opened(self, tag: str, attrs: str, parent: _Node) -> _Node:
-        cls, never = "", tag in NEVER_TAGS
+        cls, never, unshown = "", tag in NEVER_TAGS, tag in UNSHOWN_TAGS
         if attrs and not attrs.isspace():
             for name, value in _ATTR.findall(attrs):
                 name, value = name.lower(), value.strip("\"' ").lower()
                 if name == "role":
                     never |= value in NEVER_ROLES
                 elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and _UNSHOWN.search(value)):
-                    never = True
+                    unshown = True
                 elif name in ("class", "id"):
                     never |= tag not in ("body", "html", "article", "main", *HEADINGS) and _named_never(value)
                     if name == "class" and (words := _WORD.findall(value)):
                         cls = words[0]
-        path = self.paths.setdefault((parent.path, f"{tag}.{cls}" if cls else tag), len(self.paths) + 1)
-        node = _Node(tag, parent, path, never, len(self.elements))
+        node = _Node(tag, parent, never, unshown, len(self.elements))
+        own = node.number if tag in ("article", "main", "form") else -1
+        key = (parent.path, tag, cls, node.never, own)
+        path = self.paths.get(key)
+        if path is None:
+            path = self.paths[key] = _Path(parent.path, node.link, node.never)
+        node.path = path
         self.elements.append(node)
         self.open[tag] += 1
         return node
 
+    def prepare(self, texts: list[tuple[_Node, str]]) -> list[_Node]:
+        """Sets never and prior of all paths; gives the page's articles and <main>s. texts: text nodes that are not blank."""
+        self._forms(texts)
+        for path in self.paths.values():  # parents come first
+            path.shut |= path.parent.shut
+            path.never |= path.shut
+        prose = [0] * (len(self.elements) + 1)
+        for e, t in texts:
+            prose[e.number + 1] += 0 if e.path.never or e.link else len(t.strip())
+        before = np.cumsum(prose)
+        held = lambda e: int(before[e.end] - before[e.number])
+        tops: dict[str, list[_Node]] = {"article": [], "main": []}
+        for tag, own in tops.items():
+            end = 0
+            for e in self.elements:  # those in another one are part of it
+                if e.tag == tag and e.number >= end and not e.path.never:
+                    own.append(e)
+                    end = e.end
+        most = max(map(held, tops["article"]), default=0)
+        articles = [e for e in tops["article"] if held(e) and held(e) >= FAIR * most]
+        mains = [e for e in tops["main"] if held(e)]
+        if articles or mains:
+            own_prior = {e.path: IN_MAIN for e in mains} | {e.path: IN_ARTICLE for e in articles}
+            if not articles:
+                own_prior = {e.path: IN_ARTICLE for e in mains}
+            self.root.path.prior = BESIDE
+            for path in self.paths.values():
+                path.prior = max(own_prior.get(path, BESIDE), path.parent.prior)
+        return articles + mains
+
+    def _forms(self, texts: list[tuple[_Node, str]]) -> None:
+        """Forms with fields and little prose for each of them are never content."""
+        forms = [e for e in self.elements if e.tag == "form"]
+        if not forms:
+            return
+        prose, fields = np.zeros(len(self.elements) + 1, np.int64), np.zeros(len(self.elements) + 1, np.int64)
+        for e, t in texts:
+            if len(t.strip()) >= PROSE:
+                prose[e.number + 1] += len(t.strip())
+        for e in self.fields:
+            fields[e.number + 1] += 1
+        prose, fields = np.cumsum(prose), np.cumsum(fields)
+        for e in forms:
+            n = fields[e.end] - fields[e.number]
+            if n and prose[e.end] - prose[e.number] < FIELD * n:
+                e.path.shut = True
+
 
 def smooth(values: np.ndarray, radius: int = 1) -> np.ndarray:
     """Gaussian mean over neighbours, with the weights normed at the ends."""
@@ -183,11 +262,9 @@ def smooth(values: np.ndarray, radius: int = 1) -> np.ndarray:
     return middle(values.astype(float)) / middle(np.ones(len(values)))
 
 
-def content_paths(nodes: list[tuple[int, str]], strictness: float = 0.5) -> set[int]:
-    """Of (path, text) nodes in page order, the paths whose smoothed, fused ratios pass the threshold."""
-    if not nodes:
-        return set()
-    total: dict[int, list[int]] = {}
+def path_scores(nodes: list[tuple[_Path, str]]) -> dict[_Path, float]:
+    """Of (path, text) nodes in page order, each path's fused ratios as a share of the page's deviation, with its prior."""
+    total: dict[_Path, list[int]] = {}
     for path, text in nodes:
         t = total.setdefault(path, [0, 0, 0])
         t[0] += len(text)
@@ -196,12 +273,25 @@ def content_paths(nodes: list[tuple[int, str]], strictness: float = 0.5) -> set[
     by_length = smooth(np.array([total[p][0] / total[p][2] for p, _ in nodes]))
     by_marks = smooth(np.array([(total[p][1] + 1) / total[p][2] for p, _ in nodes]))
     fused = by_length * by_marks
-    own: dict[int, list[float]] = {}
+    own: dict[_Path, list[float]] = {}
     for (path, _), score in zip(nodes, fused, strict=True):
         own.setdefault(path, []).append(score)
-    score = {p: sum(v) / len(v) for p, v in own.items()}
-    limit = min(strictness * math.sqrt(float(np.mean(fused**2))), max(score.values()))
-    return {p for p, s in score.items() if s >= limit}
+    counted = np.array([not p.never for p, _ in nodes])
+    unit = math.sqrt(float(np.mean(fused[counted] ** 2))) if counted.any() else 1.0
+    out = {}
+    for p, v in own.items():
+        score = sum(v) / len(v) / (unit or 1.0)
+        out[p] = score * NEVER if p.never else (score + p.prior) * IN_LINK if p.link else score + p.prior
+    return out
+
+
+def content_paths(nodes: list[tuple[_Path, str]], strictness: float = 0.5) -> set[_Path]:
+    """The paths that pass the threshold; if none does, the best that is not one of those that are never content."""
+    if not nodes:
+        return set()
+    scores = path_scores(nodes)
+    limit = min(strictness, max((s for p, s in scores.items() if not p.never), default=strictness))
+    return {p for p, s in scores.items() if s >= limit}
 
 
 class _Block:
@@ -209,7 +299,7 @@ class _Block:
 
     __slots__ = ("at", "chars", "content", "heading", "linked", "links", "text", "weight")
 
-    def __init__(self, nodes: list[tuple[_Node, str]], chosen: set[int]):
+    def __init__(self, nodes: list[tuple[_Node, str]], chosen: set[_Path]):
         written = [(e, t, len(t.strip())) for e, t in nodes]
         written = [x for x in written if x[2]]
         self.at = written[0][0]
@@ -229,19 +319,10 @@ def _section(page: _Page, blocks: list[_Block]) -> tuple[_Node, bool]:
         held[b.at.number] += b.weight
     if not any(held):
         for b in blocks:
-            held[b.at.number] += b.chars
+            held[b.at.number] += b.chars if b.content else 0
     for e in reversed(page.elements):
         if e.parent is not None:
             held[e.parent.number] += held[e.number]
-    for tag in ("article", "main"):
-        tops, end = [], 0
-        for e in page.elements:  # those in another one are part of it
-            if e.tag == tag and e.number >= end:
-                tops.append(e)
-                end = e.end
-        best = max(tops, key=lambda e: held[e.number], default=None)
-        if best is not None and held[best.number] > 0 and held[best.number] >= FAIR * held[0]:
-            return best, True
     below: dict[int, list[_Node]] = {}
     for e in page.elements:
         if e.tag in SECTIONS and e.parent is not None and held[e.number]:
@@ -283,7 +364,7 @@ def _between(blocks: list[_Block]) -> list[_Block]:
 
 
 def main_text(page: str | None) -> str:
-    """The page's article, its blocks joined by line ends."""
+    """The page's text, its blocks joined by line ends."""
     if not page:
         return ""
     read = _Page(page)
@@ -291,21 +372,29 @@ def main_text(page: str | None) -> str:
     written = [(e, t) for e, t, _ in found if t and not t.isspace()]
     if not written:
         return ""
+    tops = read.prepare(written)
     chosen = content_paths([(e.path, t) for e, t in written])
     blocks: list[_Block] = []
     held: list[tuple[_Node, str]] = []
     for i, (e, t, b) in enumerate(found):
-        held.append((e, t))
+        if not e.path.never or e.path in chosen or t.isspace():
+            held.append((e, t))
         if i + 1 == len(found) or found[i + 1][2] != b:
             if any(x and not x.isspace() for _, x in held):
                 blocks.append(_Block(held, chosen))
             held = []
+    if not any(b.content for b in blocks):
+        return ""
+    if tops:
+        within = lambda b: any(e.number <= b.at.number < e.end for e in tops)
+        kept = [b for b in _without_menus(blocks) if b.content or (within(b) and (b.heading or b.linked))]
+        return "\n".join(b.text for b in kept)
     section, bounded = _section(read, blocks)
     inside = [b for b in blocks if section.number <= b.at.number < section.end]
     kept = _without_menus(inside)
     if not bounded:
         kept = _between(kept)
-    elif section.tag not in ("article", "main") and not any(b.heading for b in kept[:1]):
+    elif not any(b.heading for b in kept[:1]):
         # the title may stand before the section
         kept = [b for b in blocks if b.heading and b.at.number < section.number][-1:] + kept
     return "\n".join(b.text for b in kept)

@@ -254,6 +254,82 @@ def test_content_is_chosen_by_its_paths(page, text):
     assert html_extract.main_text(page) == text
 
 
+LONG = "<p>" + "A sentence of some length, with a mark or two, is what prose looks like. " * 4 + "</p>"
+TEXT = LONG[3:-4].strip()
+
+
+def test_forms_around_pages_and_texts_beside_articles_stay():
+    form = f"<body><form id='aspnetForm' action='x'><input type=hidden name=a><input type='submit'><nav><a>Home</a></nav><div>{LONG * 3}</div></form></body>"
+    assert html_extract.main_text(form) == f"{TEXT}\n{TEXT}\n{TEXT}"
+    for fields in ("<input name=q><button>Go</button>", "Your name, please. <input><textarea>no</textarea><select><option>no</select>"):
+        assert html_extract.main_text(f"<body><form>Search, or ask. {fields}</form>{LONG * 2}</body>") == f"{TEXT}\n{TEXT}"
+    around = f"<body><div><p>Aside, short.</p></div><main>{LONG}<article><h1>Head</h1>{LONG * 2}</article>{LONG}</main></body>"
+    assert html_extract.main_text(around) == f"{TEXT}\nHead\n{TEXT}\n{TEXT}\n{TEXT}"
+    two = f"<body><article><h2>One</h2>{LONG * 2}</article><div class='x'>Tags</div><article><h2>Two</h2>{LONG * 2}</article></body>"
+    assert html_extract.main_text(two) == f"One\n{TEXT}\n{TEXT}\nTwo\n{TEXT}\n{TEXT}"
+    teasers = "".join(f"<article class='card'><a>More on {i}</a></article>" for i in range(4))
+    assert html_extract.main_text(f"<body><article>{LONG * 3}</article><div>{teasers}</div></body>") == f"{TEXT}\n{TEXT}\n{TEXT}"
+    comments = f"<article>{LONG}<div class='user-reactions'>{LONG}</div><div class='reader-replies'>{LONG}</div></article>"
+    assert html_extract.main_text(comments) == TEXT
+
+
+def _two_ratios(nodes):
+    """Scores by plain loops, for nodes (path name, text, prior, link, never)."""
+    import math
+
+    marks = ".,;:!?…。，、；：！？"
+    paths = {p for p, *_ in nodes}
+    size = {p: [len(t) for q, t, *_ in nodes if q == p] for p in paths}
+    punct = {p: sum(c in marks for q, t, *_ in nodes if q == p for c in t) for p in paths}
+    weights = {-1: math.exp(-0.5), 0: 1.0, 1: math.exp(-0.5)}
+
+    def smoothed(values):
+        out = []
+        for i in range(len(values)):
+            near = [(w, values[i + d]) for d, w in weights.items() if 0 <= i + d < len(values)]
+            out.append(sum(w * v for w, v in near) / sum(w for w, _ in near))
+        return out
+
+    a = smoothed([sum(size[p]) / len(size[p]) for p, *_ in nodes])
+    b = smoothed([(punct[p] + 1) / len(size[p]) for p, *_ in nodes])
+    fused = [x * y for x, y in zip(a, b)]
+    shown = [f for f, n in zip(fused, nodes) if not n[4]]
+    unit = math.sqrt(sum(f * f for f in shown) / len(shown)) if shown else 1.0
+    scores = {}
+    for p, _, prior, link, never in nodes:
+        own = [f for f, n in zip(fused, nodes) if n[0] == p]
+        x = sum(own) / len(own) / (unit or 1.0)
+        scores[p] = x * 0.02 if never else (x + prior) * 0.3 if link else x + prior
+    limit = min([0.5] + ([max(s for p, s in scores.items() if not any(n[0] == p and n[4] for n in nodes))] if shown else []))
+    return scores, {p for p, s in scores.items() if s >= limit}
+
+
+def test_ratios_and_choice_against_plain_loops(spark):
+    pages = [r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()] + [page for page, _ in SHAPED]
+    seen = 0
+    for page in pages:
+        read = html_extract._Page(page)
+        nodes = [(e, t) for e, t, _ in read.texts if t and not t.isspace()]
+        read.prepare(nodes)
+        scores = html_extract.path_scores([(e.path, t) for e, t in nodes])
+        name = {p: i for i, p in enumerate(scores)}
+        want, chosen = _two_ratios([(name[e.path], t, e.path.prior, e.path.link, e.path.never) for e, t in nodes])
+        assert {name[p]: round(s, 9) for p, s in scores.items()} == {p: round(s, 9) for p, s in want.items()}
+        got = html_extract.content_paths([(e.path, t) for e, t in nodes])
+        assert {name[p] for p in got} == chosen
+        seen += len(scores) > len(got) > 0
+    assert seen > 10
+
+
+def test_accepting_all_or_no_paths_changes_the_given_pages(spark, monkeypatch):
+    pages = [r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()]
+    own = [html_extract.main_text(p) for p in pages]
+    monkeypatch.setattr(html_extract, "content_paths", lambda nodes: {p for p, _ in nodes})
+    assert all(a != html_extract.main_text(p) for a, p in zip(own, pages, strict=True))
+    monkeypatch.setattr(html_extract, "content_paths", lambda nodes: set())
+    assert not any(html_extract.main_text(p) for p in pages)
+
+
 def test_the_threshold_decides(monkeypatch):
     own = [html_extract.main_text(page) for page, _ in SHAPED]
     monkeypatch.setattr(html_extract, "content_paths", lambda nodes: {p for p, _ in nodes})
