@@ -4,7 +4,8 @@ Three base kinds are found in every text: assignments (`password = ...`), access
 hexadecimal runs. The method adds candidates of further kinds (tokens with a known prefix, signed web
 tokens, private key blocks, random-looking strings), hashes the value of every candidate, and counts over the
 whole corpus the distinct repositories and owners that hold each value. A value that many owners share, or that
-is in many repositories of several owners, is a copied example; one that keeps to its owner looks live, in
+is in many repositories of several owners, is a copied example (many: a share of the owners and repositories that
+the corpus has, a few at least); one that keeps to its owner looks live, in
 however many of the owner's repositories it is. Base spans are always returned; an added span is returned if it
 looks live and lies beside all base spans.
 
@@ -52,8 +53,10 @@ _HINTS = {"prefixed": re.compile(r"gh[pousr]_|xox[abpr]-|sk_live_|AIza|glpat-"),
 _DIGIT, _CAPITAL = re.compile("[0-9]"), re.compile("[A-Z]")
 #: Added values below so many bits a character are words, not keys.
 BITS = 4.0
-#: A value held by so many owners, or by two owners or more in so many repositories, is a copied example.
+#: A value held by so many owners, or by two owners or more in so many repositories, is a copied example: these
+#: numbers, or these shares of the corpus's owners and repositories, whichever is more.
 OWNERS, REPOS = 3, 20
+OWNER_SHARE, REPO_SHARE = 0.001, 0.0001
 
 
 def bits(value: str) -> float:
@@ -134,9 +137,16 @@ def ownership(found: DataFrame, owners: int = OWNERS, repos: int = REPOS) -> Dat
     return total.withColumn("live", ~example)
 
 
+def wanted(rows: DataFrame, owners: int = OWNERS, repos: int = REPOS) -> tuple[int, int]:
+    """How many owners, and repositories, make a value an example in this corpus."""
+    each = rows.groupBy("owner", "repo").agg(F.lit(1).alias("one")).groupBy("owner").agg(F.count("*").alias("repos"))
+    n_owners, n_repos = each.agg(F.count("*"), F.sum("repos")).first()
+    return max(owners, math.ceil(OWNER_SHARE * n_owners)), max(repos, math.ceil(REPO_SHARE * (n_repos or 0)))
+
+
 def judged(rows: DataFrame, owners: int, repos: int) -> DataFrame:
     """(row, kind, start, end, live, n_owners, n_repos): every candidate of written rows with the verdict on its value."""
-    counted = written(ownership(rows, owners, repos), "secret-owners")
+    counted = written(ownership(rows, *wanted(rows, owners, repos)), "secret-owners")
     each = rows.filter(F.size("spans") > 0).select("row", F.explode("spans").alias("s")).select("row", "s.kind", "s.start", "s.end", "s.hash")
     return by_frequency(each, counted, "hash").drop("hash", "n")
 
@@ -145,7 +155,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner: C
     """(id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example, found) for every row.
 
     found: structs (kind, start, end, live, n_owners, n_repos) of the spans returned, by start. An example is a value
-    that `owners` or more owners hold, or two or more in `repos` or more repositories.
+    that `owners` or more owners hold, or two or more in `repos` or more repositories, or more as the corpus has more (`wanted`).
     """
     owner = F.col("source") if owner is None else owner
     repo = F.col(id_col) if repo is None else repo

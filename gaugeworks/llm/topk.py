@@ -22,7 +22,7 @@ Ties: the smaller vector id is the better one, among equal scores of a vector re
 
 Vectors that are null, or hold null or non-finite components, and rows without id take no part. Missing
 components of shorter vectors count as 0. Scores beyond 64 bits are clipped. Repeated ids: each row is
-a candidate, and one query runs for an id. Fewer than k candidates: all of them. Empty tables: empty
+a candidate, and one query runs for an id, that with the least vector. Fewer than k candidates: all of them. Empty tables: empty
 result. Other columns of the input are not read.
 """
 
@@ -235,7 +235,7 @@ def _ranked(scores: DataFrame, k: int) -> DataFrame:
 def top_k(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 1024) -> DataFrame:  # noqa: ANN001
     """(query_id, rank, vec_id, score): for each row where is_query (a column of `id`) holds, its k best others."""
     index, vectors = build(written(whole_vectors(df, id_col, vec_col, scale), "vectors"))
-    queries = vectors.filter(is_query).select("id", "vec").dropDuplicates(["id"])
+    queries = vectors.filter(is_query).groupBy("id").agg(F.min("vec").alias("vec"))
     groups = max(1, -(-queries.count() // QUERIES))
     queries = written(queries.withColumn("grp", F.pmod(F.xxhash64("id"), F.lit(groups))), "queries")
     first = written(_ranked(_scores(vectors, _needs(queries, index, k, False), index, k), k), "first")

@@ -56,6 +56,7 @@ def test_merge_rounds_give_the_librarys_ids_and_decoding(spark):
     for r in bpe.round_trip_digests(rows(spark, texts), WORD).collect():
         assert r.n_tokens == len(want[r.doc_id])
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, want[r.doc_id])).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(want[r.doc_id], skip_special_tokens=False).encode()).hexdigest()
 
 
 def test_empty_tables(spark):
