@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import names
+from .relational import containments
 
-#: Letters of a name's start by which the names that hold it are looked up.
-START = 8
 _ROW = ["terminal_id", "unit_id", "terminal_name", "unit_name", "owner", "status"]
 
 
@@ -72,12 +71,10 @@ def match_vessels(units: DataFrame, vessels: DataFrame) -> DataFrame:
     named = own.filter("norm <> ''")
     exact = named.join(other, F.col("norm") == F.col("other_norm")).select("unit_id", "vessel_name", "other_name", F.lit("exact").alias("how"))
     rest = named.join(other, F.col("norm") == F.col("other_norm"), "left_anti").select("unit_id", "vessel_name", "norm")
-    # distinct names meet by the start of the one that is inside the other, so that no name meets all others
+    # distinct names meet by the rarest stretch of the one that is inside the other, so that no name meets all others
     left = rest.select("norm").distinct()
-    start, parts = lambda c: F.substring(c, 1, START).alias("x"), lambda c: F.explode(names.starts(F.col(c), START)).alias("x")
-    met = left.select("norm", start("norm")).join(other.select("other_norm", "other_name", parts("other_norm")), "x")
-    met = met.unionByName(left.select("norm", parts("norm")).join(other.select("other_norm", "other_name", start("other_norm")), "x")).drop("x").distinct()
-    met = met.filter(F.col("other_norm").contains(F.col("norm")) | F.col("norm").contains(F.col("other_norm")))
+    met = containments(left, other.select("other_norm", "other_name"), [], "norm", "other_norm")
+    met = met.unionByName(containments(other.select("other_norm", "other_name"), left, [], "other_norm", "norm")).distinct()
     found = met.groupBy("norm").agg(F.count("*").alias("n"), F.min("other_name").alias("other_name"))
     hits = rest.join(found, "norm", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     how = F.when(F.col("n") == 1, "contained").when(F.col("n") == 0, "missing").otherwise("ambiguous")

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import names
 from ..sources.flat import checkpointed
 
 
@@ -153,3 +154,33 @@ def conversions(units: DataFrame, replacements: DataFrame, prefix: str = "G") ->
     out = units.select("unit").join(before, "unit", "left").join(changed, "unit", "left").join(after, "unit", "left")
     kind = F.when(F.col("source").isNotNull(), "conversion").when(F.col("old").isNotNull(), "replacement").otherwise("")
     return out.select("unit", kind.alias("kind"), F.coalesce(F.concat(F.lit(prefix), F.col("source").cast("string")), F.col("old"), F.lit("")).alias("from_ids"), F.coalesce("to_ids", F.lit("")).alias("to_ids"))
+
+
+def running_sum(df: DataFrame, order: list[str], value: str, to: str) -> DataFrame:
+    """df with `to`, the sum of `value` over all rows before, in a total order: by range partitions, within each and over their totals."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = checkpointed(df.repartitionByRange(n, *order).withColumn("__part", F.spark_partition_id()))
+    inside = Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    parts = dealt.groupBy("__part").agg(F.sum(value).alias("__all"))  # a row for each partition
+    starts = parts.select("__part", F.coalesce(F.sum("__all").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__from"))
+    own = dealt.withColumn(to, F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    return own.join(F.broadcast(starts), "__part").withColumn(to, F.col(to) + F.col("__from")).drop("__part", "__from")
+
+
+def containments(inner: DataFrame, outer: DataFrame, place: list[str], inner_col: str, outer_col: str, length: int = 8) -> DataFrame:
+    """Rows of inner beside the rows of outer, of the same place, whose text holds theirs.
+
+    An inner text is looked up by the stretch of `length` letters of it that the fewest outer texts hold (a shorter
+    text by itself), so that a common beginning makes no crowd. Empty inner texts are in no other text.
+    """
+    held = outer.select(*place, outer_col).distinct()
+    stretches = names.starts(F.col(outer_col), length)
+    parts = checkpointed(held.select(*place, outer_col, F.explode(F.filter(stretches, lambda x: x != "")).alias("__x")))
+    often = parts.groupBy(*place, "__x").agg(F.count("*").alias("__n"))
+    own = inner.select(*place, inner_col).distinct().filter(F.length(inner_col) > 0)
+    last = F.greatest(F.length(inner_col) - length + 1, F.lit(1))
+    asked = own.select(*place, inner_col, F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(F.col(inner_col), i, length)))).alias("__x"))
+    counted = asked.join(often, [*place, "__x"], "left")
+    rarest = counted.groupBy(*place, inner_col).agg(F.min_by("__x", F.struct("__n", "__x")).alias("__x"), F.count_if(F.col("__n").isNull()).alias("__missing")).filter("__missing = 0").drop("__missing")
+    met = rarest.join(parts, [*place, "__x"]).drop("__x").filter(F.col(outer_col).contains(F.col(inner_col)))
+    return met.join(inner, [*place, inner_col]).join(outer, [*place, outer_col])

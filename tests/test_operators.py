@@ -65,6 +65,76 @@ def test_greedy_assignment_does_not_hang_on_row_order(spark):
     assert results[0] == results[1] == results[2] and [r[3] for r in results[0]] == [f"r{i}" for i in range(6)]
 
 
+def _in_turn(keys, candidates, named):
+    """The rule, key by key: (how, taken) for each that has a candidate left."""
+    out, taken = {}, {}
+    for place, name, section in sorted(keys, key=lambda k: (k[0], k[2], k[1])):
+        mine = taken.setdefault((place, section), set())
+        left = [r for r in candidates[place, name, section] if r not in mine]
+        by_owner = [r for r in left if (name, r) in named[place, section]]
+        if len(left) > 1 and len(by_owner) == 1:
+            left = by_owner
+        if len(left) == 1:
+            mine.add(left[0])
+        if left:
+            out[place, name, section] = (left[0], "fuzzy") if len(left) == 1 else (None, "ambiguous")
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_rounds_of_matching_are_the_rule_in_turn(spark, seed):
+    pick = random.Random(seed)
+    keys = [(f"c{i % 3}", f"n{i:03d}", "ls"[i % 2]) for i in range(90)]
+    candidates = {k: sorted({f"r{pick.randrange(3 + int(k[1][1:]) // 4)}" for _ in range(pick.choice([0, 1, 1, 2, 2, 3]))}) for k in keys}
+    named = {(p, s): {(n, r) for (q, n, t), c in candidates.items() if (q, t) == (p, s) for r in c if pick.random() < 0.15 * seed} for p, _, s in keys}
+    rows = [(*k, r, True, 0, False, (k[1], r) in named[k[0], k[2]] or pick.choice([False, None])) for k, c in candidates.items() for r in c]
+    pick.shuffle(rows)
+    kinds = "country_norm string, name_norm string, section string, register_name string, inside boolean, shared int, owner_overlap boolean, owner_named boolean"
+    got = {(r.country_norm, r.name_norm, r.section): (r.register_name, r.how) for r in reconcile.assign_greedily(spark.createDataFrame(rows, kinds)).collect()}
+    assert got == _in_turn(keys, candidates, named)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
+def test_matching_by_counts_is_the_rule_over_all_pairs(spark, seed, monkeypatch):
+    monkeypatch.setattr(reconcile, "FREQUENT", 2)
+    pick = random.Random(seed)
+    word, owner = ["harbour", "terminal", "north", "isle", "stone"], ["o1", "o2", "o3"]
+    name = lambda i: " ".join(dict.fromkeys([pick.choice(word), f"x{i}", *pick.sample(word, pick.choice([0, 0, 1]))]))
+    report = [("a", name(i), "l", [pick.choice(owner)]) for i in range(40)] + [("a", "stone", "l", []), ("a", "x1", "l", []), ("b", "north x1", "l", ["o1"])]
+    register = [("a", name(100 + i), "l", pick.sample(owner, 2), pick.choice([None, None, None, "o1", "o2"])) for i in range(pick.choice([8, 45]))] + [("b", "north x1 quay", "l", [], None)]
+    report, register = list({r[:3]: r for r in report}.values()), list({r[:3]: r for r in register}.values())
+    words = lambda t: {w for w in t.split() if len(w) >= 4}
+    candidates, named = {}, {}
+    for p, n, s, o in report:
+        near = lambda r: n in r[1] or r[1] in n or (words(n) & words(r[1]) and set(o) & set(r[3])) or len(words(n) & words(r[1])) >= 2  # noqa: B023, E731
+        candidates[p, n, s] = sorted(r[1] for r in register if r[0] == p and near(r))
+        named.setdefault((p, s), set()).update((n, r[1]) for r in register if r[0] == p and o and r[4] == o[0])
+    a = spark.createDataFrame(report, "country_norm string, name_norm string, section string, owners array<string>")
+    b = spark.createDataFrame(register, "country_norm string, name_norm string, section string, owners array<string>, bracket_owner string")
+    pairs, many = reconcile.fuzzy_pairs(a, b)
+    got = {(r.country_norm, r.name_norm, r.section): (r.register_name, r.how) for r in reconcile.assign_greedily(pairs, many).collect()}
+    assert got == _in_turn([r[:3] for r in report], candidates, named)
+    assert pairs.count() <= sum(map(len, candidates.values())) and (seed % 2 or many.count() >= 0)
+
+
+def test_containments_go_by_the_rarest_stretch(spark):
+    pick = random.Random(4)
+    texts = ["port of " + "".join(pick.choice("abc") for _ in range(pick.randint(0, 6))) for _ in range(60)] + ["port", "", "of", None, "a"]
+    a = spark.createDataFrame([("p", t) for t in texts], "place string, inner string")
+    b = spark.createDataFrame([("p", t) for t in texts[::2]] + [("q", "port")], "place string, outer string")
+    got = sorted((r.inner, r.outer) for r in relational.containments(a.distinct(), b.distinct(), ["place"], "inner", "outer").collect())
+    assert got == sorted((x, y) for x in set(texts) for y in set(texts[::2]) if x and y and x in y)
+
+
+def test_running_sums_over_a_total_order(spark):
+    rows = [(f"k{i * 7 % 100:02d}", i) for i in range(100)]
+    got = {r.k: r.before for r in relational.running_sum(spark.createDataFrame(rows, "k string, v long"), ["k"], "v", "before").collect()}
+    at = 0
+    for k, v in sorted(rows):
+        assert got[k] == at
+        at += v
+
+
 def test_designators_stand_for_one_unit(spark):
     report = spark.createDataFrame([("q", "big energy s(2)", "l", ["o"]), ("q", "other n(9)", "l", [])], "country_norm string, name_norm string, section string, owners array<string>")
     units = spark.createDataFrame([("q", "big energy south", "l", "Train S(2)", ["o"]), ("q", "big energy south", "l", "Train S(3)", ["o"])], "country_norm string, name_norm string, section string, unit_name string, owners array<string>")
