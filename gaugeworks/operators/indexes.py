@@ -46,14 +46,18 @@ def top_sponsors(index: DataFrame, n: int = 10) -> DataFrame:
     return index.orderBy(F.desc("n_units"), "country_norm", "sponsor").limit(n)
 
 
-def find_entity(units: DataFrame, name: str, fields: list[str], country: str | None = None) -> DataFrame:
-    """(field, variant, hits, n_terminals): where and how a company is named."""
+def find_entity(units: DataFrame, name: str, fields: list[str], country: str | None = None, parent_id: str | None = None) -> DataFrame:
+    """(field, variant, hits, n_terminals): where and how a company is named; with parent_id (a column) also parent_ids, those beside it where it is an owner."""
     own = units if country is None else units.filter(names.country(F.col("country")) == names.country(F.lit(country)))
     cells = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields])
-    each = own.select("terminal_id", F.explode(cells).alias("x")).select("terminal_id", "x.field", F.explode(names.owner_parts(F.col("x.value"))).alias("variant"))
+    parent = F.trim(F.coalesce(F.col(parent_id).cast("string"), F.lit(""))) if parent_id else F.lit("")
+    each = own.select("terminal_id", parent.alias("parent"), F.explode(cells).alias("x")).select("terminal_id", "parent", "x.field", F.explode(names.owner_parts(F.col("x.value"))).alias("variant"))
     tag = each.sparkSession.range(1).select(names.entity(F.lit(name)).alias("entity"))
     hits = each.join(names.entities(each, "variant").join(tag, "entity", "left_semi"), "variant")
-    return hits.groupBy("field", "variant").agg(F.count("*").alias("hits"), F.count_distinct("terminal_id").alias("n_terminals"))
+    told = [F.count("*").alias("hits"), F.count_distinct("terminal_id").alias("n_terminals")]
+    if parent_id:
+        told.append(F.array_sort(F.collect_set(F.when((F.col("field") == "owner") & (F.col("parent") != ""), F.col("parent")))).alias("parent_ids"))
+    return hits.groupBy("field", "variant").agg(*told)
 
 
 def match_vessels(units: DataFrame, vessels: DataFrame) -> DataFrame:
@@ -89,8 +93,20 @@ def unmatched_vessels(vessels: DataFrame, matched: DataFrame, kind: str = "vesse
 
 
 def flag_counts(flagged: DataFrame, country: str = "country", flags: str = "flags") -> DataFrame:
-    """(country, flag, n) of units with an array of flags."""
-    return flagged.select(country, F.explode(flags).alias("f")).groupBy(country, F.col("f.flag").alias("flag")).agg(F.count("*").alias("n"))
+    """(level, country, flag, n, place): flags by flag, by country and flag and by country, in one pass of grouping sets; place: among countries by all their flags, ties by name."""
+    each = flagged.select(F.coalesce(F.col(country), F.lit("")).alias("country"), F.explode(flags).alias("f")).select("country", F.col("f.flag").alias("flag"))
+    sets = each.groupingSets([["country", "flag"], ["flag"], ["country"]], "country", "flag").agg(F.count("*").alias("n"), F.grouping_id().alias("g"))
+    level = F.when(F.col("g") == 0, "country_flag").when(F.col("g") == 2, "flag").otherwise("country")
+    told = sets.withColumn("level", level).drop("g")
+    place = F.when(F.col("level") == "country", F.row_number().over(Window.partitionBy("level").orderBy(F.desc("n"), "country")))
+    ranked = told.filter("level = 'country'").withColumn("place", place)  # a row a country
+    rest = told.filter("level <> 'country'").withColumn("place", F.lit(None).cast("int"))
+    return ranked.unionByName(rest).select("level", "country", "flag", "n", "place")
+
+
+def top_countries(counts: DataFrame, most: int = 10) -> DataFrame:
+    """(country, n, place) of the countries with most flags."""
+    return counts.filter(F.col("place") <= most).select("country", "n", "place")
 
 
 def disagree(a: Column, b: Column) -> Column:

@@ -28,8 +28,14 @@ def operating_table(matches: DataFrame, unit_matches: DataFrame) -> DataFrame:
 
 
 def nonoperating_table(units: DataFrame) -> DataFrame:
-    """units (country, terminal, unit_name, status, capacity, mention) with register_only: whether the report doesn't mention them."""
-    return units.withColumn("register_only", F.when(F.coalesce("mention", F.lit("")) == "", "only in the register").otherwise(""))
+    """units (country, terminal, unit_name, status, capacity, mention) with register_only, whether the report doesn't mention them, by country, terminal, status and unit."""
+    told = units.withColumn("register_only", F.when(F.coalesce("mention", F.lit("")) == "", "only in the register").otherwise(""))
+    return told.orderBy(*[F.col(c).asc_nulls_first() for c in ("country", "terminal", "status", "unit_name") if c in told.columns])
+
+
+def staged_table(rows: DataFrame, columns: list[str], read_only: tuple[str, ...] = ()) -> DataFrame:
+    """A flat sheet of staged rows: the sheet's columns in order, without those that a register computes itself; what the rows lack is null, what they have besides goes."""
+    return rows.select(*[F.col(f"`{c}`").alias(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in columns if c not in read_only])
 
 
 def stale_table(flagged: DataFrame, flags: str = "flags") -> DataFrame:

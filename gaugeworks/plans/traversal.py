@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 MAX_DEPTH = 3
@@ -89,15 +89,38 @@ def read_only(sql: str) -> str:
     return sql
 
 
+MANIFEST = "table string, depth int, mode string, rows long, file string, error string"
+
+
+def write_manifest(spark: SparkSession, entries: list[tuple[str, int, str, int | None, str]], folder: str) -> DataFrame:
+    """The manifest of an export as a written CSV table, `_manifest`: a row for each table, with its folder and what went wrong."""
+    rows = [(table, depth, mode, n, "" if error else file_name(table), error) for table, depth, mode, n, error in entries]
+    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("overwrite").csv(f"{folder}/_manifest", header=True)
+    return spark.read.schema(MANIFEST).csv(f"{folder}/_manifest", header=True)
+
+
+def project_type(value: str, types: dict[str, str]) -> tuple[str, str]:
+    """(code, warning) of a project type given by name, in any case, or by its code of digits; an unknown code is taken with a warning, an unknown name is an error."""
+    text = value.strip()
+    if text.isdigit():
+        return text, "" if text in types.values() else f"unknown code {text}"
+    found = {name.lower(): code for name, code in types.items()}.get(text.lower())
+    if found is None:
+        raise ValueError(f"unknown project type {value!r}; known: {', '.join(sorted(types))}")
+    return found, ""
+
+
 def export_all(steps: list[Step], tables: dict[str, DataFrame], root_filter: str, folder: str, limit: int | None = None) -> list[tuple[str, int, str, int | None, str]]:
-    """Writes the rows of every step as Parquet, one folder a table; gives the manifest. A table that fails is recorded there, and the others go on."""
+    """Writes the rows of every step as Parquet, one folder a table, counted as they are written, and the manifest. A table that fails is recorded there, and the others go on."""
     out = []
     for step in steps:
         path = f"{folder}/{file_name(step.table)}"
         try:
-            rows = export(step, tables, root_filter, limit)
-            rows.write.mode("overwrite").parquet(path)
-            out.append(manifest_entry(step, rows.sparkSession.read.schema(rows.schema).parquet(path).count()))
+            seen = Observation()
+            export(step, tables, root_filter, limit).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+            out.append(manifest_entry(step, seen.get["rows"]))
         except Exception as error:  # noqa: BLE001  recorded in the manifest
             out.append(manifest_entry(step, None, str(error).splitlines()[0]))
+    spark = next(iter(tables.values())).sparkSession
+    write_manifest(spark, out, folder)
     return out

@@ -301,7 +301,7 @@ def capacities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def capacity_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = ["5.2 mtpa", "5.2 to 5.6 mtpa", "5.2-5.6 MTPA", "around 7.5 bcm/y", "nothing"]
+    texts = ["3.1 mtpa", "3.1 to 4.4 mtpa", "3.1-4.4 MTPA", "circa 8.25 bcm/y", "unknown"]
     r = capacity.for_database(_pick(texts, F.col("p_partkey")))
     return _t(spark, sf_dir, "part").select("p_partkey", r.value.alias("value"), r.unit.alias("unit"), r.note.alias("note"))
 
@@ -461,7 +461,7 @@ def oracle_sql() -> dict[str, str]:
         "owner_lists": f"SELECT c_custkey, pos, entity, CAST(pct AS DOUBLE) AS pct FROM customer JOIN {_OWNER_ROWS} ON c_custkey % 5 = k",
         "capacities": """SELECT o_orderkey, round(o_totalprice * CASE o_orderkey % 4 WHEN 0 THEN 1.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE / 1.36 WHEN 2 THEN 365.0::DOUBLE / 130 END, 6) AS mtpa,
             CAST(round(CAST(floor(o_totalprice) AS DECIMAL(20,6)) * CASE o_orderkey % 4 WHEN 0 THEN CAST(1 AS DECIMAL(10,5)) WHEN 1 THEN CAST(0.735 AS DECIMAL(10,5)) WHEN 2 THEN CAST(7.67 AS DECIMAL(10,5)) END, 2) AS DOUBLE) AS shown FROM orders""",
-        "capacity_ranges": "SELECT p_partkey, ([5.2, 5.6, 5.6, 7.5, NULL])[p_partkey % 5 + 1]::DOUBLE AS value, (['mtpa', 'mtpa', 'mtpa', 'bcm/y', NULL])[p_partkey % 5 + 1] AS unit, CASE WHEN p_partkey % 5 IN (1, 2) THEN 'Capacity reported as 5.2-5.6 mtpa range; database records max.' END AS note FROM part",
+        "capacity_ranges": "SELECT p_partkey, ([3.1, 4.4, 4.4, 8.25, NULL])[p_partkey % 5 + 1]::DOUBLE AS value, (['mtpa', 'mtpa', 'mtpa', 'bcm/y', NULL])[p_partkey % 5 + 1] AS unit, CASE WHEN p_partkey % 5 IN (1, 2) THEN 'Capacity reported as 3.1-4.4 mtpa range; database records max.' END AS note FROM part",
         "number_formats": """WITH q AS (SELECT p_partkey, p_size // 4 AS w, (['', '.25', '.5', '.75'])[p_size % 4 + 1] AS d, (['.00', '.25', '.50', '.75'])[p_size % 4 + 1] AS f, p_size, p_partkey % 2 AS odd FROM part)
             SELECT p_partkey, w || d AS plain, w || f AS fixed, w || CASE WHEN d = '' THEN '.0' ELSE d END AS one, w || d || '%' AS share, w || CASE WHEN d = '' THEN '.0' ELSE d END || '%' AS parent,
             CASE WHEN odd = 1 THEN p_size || '-' || (p_size + 1) ELSE CAST(p_size AS VARCHAR) END AS years FROM q""",

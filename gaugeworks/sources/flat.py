@@ -6,7 +6,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,11 +67,15 @@ def first_of(df: DataFrame, *names: str) -> Column:
 
 
 def read_json_list(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A staged JSON list, or no rows if the file is not there or holds no JSON."""
+    """A staged JSON list, or no rows if the file is not there or is not whole JSON of that form: a part of a broken list is never taken for the list."""
+    none = spark.createDataFrame([], schema)
     try:
-        return spark.read.schema(schema).json(path, multiLine=True, mode="DROPMALFORMED")
+        read = spark.read.schema(f"{schema}, _broken string").json(path, multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_broken")
     except AnalysisException:
-        return spark.createDataFrame([], schema)
+        return none
+    first = none.columns[0]  # a scan of the mark alone is not allowed
+    broken = read.agg(F.count_if(F.col("_broken").isNotNull()), F.count(F.col(f"`{first}`"))).first()[0]
+    return none if broken else read.drop("_broken")
 
 
 def list_tables(spark: SparkSession, database: str | None = None, system: tuple[str, ...] = ("information_schema", "pg_catalog")) -> list[str]:
@@ -109,9 +113,18 @@ def read_page_texts(spark: SparkSession, path: str, marker: str | None = None, w
     return whole if marker is None else whole.filter(F.substring("text", 1, within).contains(marker))
 
 
-def write_flat(df: DataFrame, path: str, order: list[str]) -> None:
-    """A flat export: null as '', rows in order."""
-    df.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in df.columns]).orderBy(*order).write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
+def write_flat(df: DataFrame, path: str, order: list[str], columns: list[str] | None = None, mark: bool = False) -> int:
+    """A flat export: null as '', rows in order; gives the number of rows, counted as they are written.
+
+    columns: the export's columns in order, whatever df has; those it lacks are empty. mark: begin files with a byte-order mark.
+    """
+    names = list(columns or df.columns)
+    cell = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) if c in df.columns else F.lit("")
+    head = ["\ufeff" + n if mark and not i else n for i, n in enumerate(names)]
+    seen = Observation()
+    ordered = df.orderBy(*order).select(*[cell(n).alias(h) for n, h in zip(names, head, strict=True)])
+    ordered.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
+    return seen.get["rows"]
 
 
 def write_package(sheets: dict[str, DataFrame], path: str, read_only: tuple[str, ...] = ()) -> list[tuple[str, int, str]]:

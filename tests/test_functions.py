@@ -43,7 +43,7 @@ def test_countries_and_entities(spark):
     assert one(spark, names.tokens(F.col("a"), 4), a="Tianjin-Nangang (LNG), pier") == ["tianjin", "nangang", "pier"]
 
 
-@pytest.mark.parametrize(("text", "lo", "hi", "unit"), [("5.2 mtpa", 5.2, 5.2, "mtpa"), ("5.2 to 5.6 mtpa", 5.2, 5.6, "mtpa"), ("5.2-5.6 mtpa", 5.2, 5.6, "mtpa"), ("5.2–5.6 MTPA", 5.2, 5.6, "mtpa"), ("around 5.2 mtpa", 5.2, 5.2, "mtpa")])
+@pytest.mark.parametrize(("text", "lo", "hi", "unit"), [("3 mt/y", 3.0, 3.0, "mt/y"), ("0.75 to 1.25 bcf/d", 0.75, 1.25, "bcf/d"), (" 11-12.5 mtpa a year", 11.0, 12.5, "mtpa"), ("8–9 BCM/Y", 8.0, 9.0, "bcm/y"), ("Circa 4.5mtpa", 4.5, 4.5, "mtpa"), ("around ~ 2 - 3 mtpa", 2.0, 3.0, "mtpa"), ("6 tpa to 7 tpa", 6.0, 6.0, "tpa")])
 def test_ranges(spark, text, lo, hi, unit):
     r = one(spark, capacity.parse_range(F.col("a")), a=text)
     assert (r.lo, r.hi, r.unit) == (lo, hi, unit)
@@ -54,7 +54,8 @@ def test_capacities(spark):
     assert shown(Decimal("1"), "bcf/d") == Decimal("7.67") and shown(Decimal("150"), "MMcf/d") == Decimal("1.15") and shown(Decimal("1"), "ounces") is None
     assert one(spark, capacity.to_mtpa(F.col("a"), F.col("b")), a="1.36", b="bcm/y") == pytest.approx(1.0)
     assert one(spark, capacity.to_mtpa(F.col("a"), F.col("b")), a="many", b="mtpa") is None
-    assert one(spark, capacity.parse_range(F.col("a")), a="nothing") is None
+    for text in ("nothing", "", "1.2.3 mtpa", "mtpa 5", "7", ".5 mtpa"):
+        assert one(spark, capacity.parse_range(F.col("a")), a=text) is None, text
 
 
 def test_formats(spark):
