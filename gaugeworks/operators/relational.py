@@ -30,6 +30,22 @@ def grouped_lists(df: DataFrame, key: str, order: list[str], take: list[str], na
     return df.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*order, *[c for c in take if c not in order]))).alias(name))
 
 
+def ordered_lists(df: DataFrame, key: str, order: list[Column], take: list[str], name: str) -> DataFrame:
+    """(key, name): the rows of a key as an array of structs in any order of columns, such as a share that falls with nulls last. Give a total order."""
+    placed = df.withColumn("__at", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    listed = placed.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("__at", F.struct(*take).alias("row")))).alias("rows"))
+    return listed.select(key, F.transform("rows", lambda x: x.row).alias(name))
+
+
+def named_ids(df: DataFrame, key: str, ids: str, lookup: DataFrame, lookup_key: str, lookup_name: str) -> DataFrame:
+    """(key, names): the names of a JSON list of ids, in its order, joined by commas; what is no id, and ids without a name, are left out, what is no list gives ''."""
+    listed = F.from_json(F.col(ids), "array<string>")
+    each = df.select(key, F.posexplode(listed).alias("at", "id")).withColumn("id", F.col("id").try_cast("bigint")).filter("id IS NOT NULL")
+    known = lookup.select(F.col(lookup_key).cast("bigint").alias("id"), F.col(lookup_name).alias("name")).filter("name <> ''")
+    told = each.join(known, "id").groupBy(key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "name"))), lambda x: x["name"]), ", ").alias("names"))
+    return df.select(key).join(told, key, "left").select(key, F.coalesce("names", F.lit("")).alias("names"))
+
+
 def by_level(plants: DataFrame, owners: DataFrame, flag: str, plant_key: str, unit_key: str) -> DataFrame:
     """Level switch: a plant's own rows where its flag is set, else its units' rows. An owner row with both keys counts for the plant."""
     of_plant = owners.filter(F.col(plant_key).isNotNull())

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import pages
-from .operators import indexes
+from .operators import indexes, relational
 from .plans import catalog
 from .plans.traversal import export
 from .queries import OWNERS, _pick, _sql_pick, _t, stale_sweep
@@ -66,12 +66,26 @@ def ship_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("k", "x.number", "x.warning")
 
 
+def technology_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of JSON lists of ids, some of which are no ids, unknown or no list."""
+    o = _t(spark, sf_dir, "orders")
+    ids = F.when(F.col("o_orderkey") % 7 == 0, "none").otherwise(F.concat(F.lit("["), F.col("o_orderkey") % 25, F.lit(', "x", '), F.col("o_custkey") % 30, F.lit(', "3"]')))
+    return relational.named_ids(o.select("o_orderkey", ids.alias("ids")), "o_orderkey", "ids", _t(spark, sf_dir, "nation"), "n_nationkey", "n_name")
+
+
+def owner_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items of an order as its owners, by falling share, those without share last, then by number."""
+    lines = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_quantity") % 3 > 0, F.floor(F.col("l_quantity") / 10)).alias("share"))
+    out = relational.ordered_lists(lines, "l_orderkey", [F.desc_nulls_last("share"), F.asc("l_linenumber")], ["l_linenumber", "share"], "owners")
+    return out.select("l_orderkey", F.array_join(F.transform("owners", lambda x: F.concat_ws(":", x.l_linenumber.cast("string"), F.coalesce(x.share.cast("string"), F.lit("-")))), ",").alias("owners"))
+
+
 SHIPS = """SELECT s_suppkey AS k, CASE WHEN s_suppkey % 3 <> 0 THEN CAST(1000000 + s_suppkey AS VARCHAR) END AS number,
   CASE WHEN s_suppkey % 3 = 0 THEN 'numbers without a name: ' || array_to_string([CAST(1000000 + s_suppkey + d AS VARCHAR) FOR d IN [0, 7000, 9000]], ', ') END AS warning FROM supplier"""
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (catalog_export, flag_rollup, most_flagged, entity_parents, ship_anchors)}
+    return {f.__name__: f for f in (catalog_export, flag_rollup, most_flagged, entity_parents, ship_anchors, technology_names, owner_order)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -87,4 +101,8 @@ def oracle_sql() -> dict[str, str]:
             hit AS (SELECT o_custkey, field, CASE WHEN value LIKE 'Shell plc%' THEN 'Shell plc' ELSE 'Big Shell Trading 10' END AS variant FROM u WHERE value LIKE '%Shell%')
             SELECT field, variant, count(*) AS hits, count(DISTINCT o_custkey) AS n_terminals, array_to_string(list_sort(coalesce(list(DISTINCT 'E' || CAST(o_custkey % 7 AS VARCHAR)) FILTER (field = 'owner' AND o_custkey % 3 > 0), [])), ',') AS parent_ids FROM hit GROUP BY ALL""",
         "ship_anchors": SHIPS,
+        "technology_names": """WITH e AS (SELECT o_orderkey, unnest([1, 2, 3]) AS pos, unnest([o_orderkey % 25, o_custkey % 30, 3]) AS id FROM orders WHERE o_orderkey % 7 <> 0)
+            SELECT o.o_orderkey, coalesce(string_agg(n_name, ', ' ORDER BY pos), '') AS names FROM orders o LEFT JOIN e ON e.o_orderkey = o.o_orderkey LEFT JOIN nation ON n_nationkey = id GROUP BY o.o_orderkey""",
+        "owner_order": """WITH l AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity % 3 > 0 THEN CAST(floor(l_quantity / 10) AS BIGINT) END AS share FROM lineitem)
+            SELECT l_orderkey, string_agg(l_linenumber || ':' || coalesce(CAST(share AS VARCHAR), '-'), ',' ORDER BY share DESC NULLS LAST, l_linenumber) AS owners FROM l GROUP BY l_orderkey""",
     }
