@@ -211,8 +211,22 @@ def _written_as(entity: Column, kind: Column, made: Column) -> Column:
 
 
 def mapping(entities: DataFrame, key: str) -> DataFrame:
-    """(kind, canonical, gender, n, made): one surrogate for each distinct (kind, canonical, gender), no two of a kind alike and none equal to an entity of the corpus; n: its mentions."""
-    counted = entities.groupBy("kind", "canonical", "gender").agg(F.count("*").alias("n"))
+    """(kind, canonical, gender, n, made): one surrogate for each distinct (kind, canonical, gender), no two of a kind alike and none equal to an entity of the corpus; n: its mentions.
+
+    A person of two names or more whose titles tell no gender is the one of that name whose titles do, if the
+    corpus has exactly one such: both have one surrogate.
+    """
+    counted = written(entities.groupBy("kind", "canonical", "gender").agg(F.count("*").alias("n")), "counted")
+    known = counted.filter((F.col("kind") == "person") & F.col("canonical").contains(" ") & (F.col("gender") != "n"))
+    one = known.groupBy("kind", "canonical").agg(F.min("gender").alias("of"), F.max("gender").alias("other")).filter("of = other").drop("other")
+    same = written(counted.filter("gender = 'n'").join(one, ["kind", "canonical"]), "same-persons")
+    table = _made(counted.join(same.select("kind", "canonical", "gender"), ["kind", "canonical", "gender"], "left_anti"), key).select("kind", "canonical", "gender", "n", "made")
+    twins = same.join(table.select("kind", "canonical", F.col("gender").alias("of"), "made"), ["kind", "canonical", "of"])
+    return table.unionByName(twins.select("kind", "canonical", "gender", "n", "made"))
+
+
+def _made(counted: DataFrame, key: str) -> DataFrame:
+    """Distinct entities with `made`, drawn anew where it clashes."""
     table = written(counted.withColumn("attempt", F.lit(0)), "entities")
     originals = table.select("kind", F.col("canonical").alias("made"), F.lit(True).alias("taken")).distinct()
     made = surrogate(key, F.col("kind"), F.col("canonical"), F.col("gender"), F.col("attempt"))
