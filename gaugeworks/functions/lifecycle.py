@@ -86,8 +86,10 @@ def anchors(timeline: Column) -> Column:
         refs(now).alias("status_refs"),
         year(proposed).alias("proposal_year"),
         _text(proposed.month).alias("proposal_month"),
+        refs(proposed).alias("proposal_refs"),
         year(construction).alias("construction_year"),
         _text(construction.month).alias("construction_month"),
+        refs(construction).alias("construction_refs"),
         nth(plans, 1).alias("original_planned_start"),
         year(_last(plans)).alias("latest_planned_start"),
         nth(starts, 1).alias("actual_start"),
@@ -96,12 +98,16 @@ def anchors(timeline: Column) -> Column:
         nth(starts, 3).alias("actual_start_3"),
         F.flatten(F.transform(operating, refs)).alias("start_refs"),
         asleep.alias("shelved_year"),
+        refs(_last(shelved)).alias("shelved_refs"),
         dead.alias("cancelled_year"),
+        refs(_last(cancelled)).alias("cancelled_refs"),
         F.coalesce(some(dead), some(asleep), year(stopped)).alias("stop_year"),
+        F.when(dead != "", refs(_last(cancelled))).when(asleep != "", refs(_last(shelved))).otherwise(refs(stopped)).alias("stop_refs"),
         year(stops).alias("planned_stop_year"),
         F.coalesce(dormancy_kind(kind.substatus), F.lit("")).alias("dormancy_kind"),
         F.when(F.size(fid) == 0, F.lit("")).when(planned(_last(fid)), "Pre-FID").otherwise("FID").alias("fid_status"),
         year(_last(fid)).alias("fid_year"),
+        refs(_last(fid)).alias("fid_refs"),
     )
 
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import duckdb
 import pytest
-from gaugeworks import classify_queries, queries, register_queries, report_queries, review_queries
+from gaugeworks import classify_queries, queries, register_queries, report_queries, review_queries, wide_queries
 
 SMALL = "/root/testdata/sf0.001"
-NAMES = [*review_queries.oracle_sql(), *report_queries.oracle_sql(), "staged_reconciliation", *register_queries.oracle_sql(), "exact_matches", "reconciliation", "ultimate_parents", "vessel_match", "sponsor_index", "unit_index", "index_stats"]
-SQL = queries.oracle_sql() | review_queries.oracle_sql() | report_queries.oracle_sql() | classify_queries.oracle_sql() | register_queries.oracle_sql()
-RUN = queries.queries() | review_queries.queries() | report_queries.queries() | classify_queries.queries() | register_queries.queries()
+NAMES = [*review_queries.oracle_sql(), *report_queries.oracle_sql(), "staged_reconciliation", *register_queries.oracle_sql(), *wide_queries.oracle_sql(), "exact_matches", "reconciliation", "ultimate_parents", "vessel_match", "sponsor_index", "unit_index", "index_stats"]
+SQL = queries.oracle_sql() | review_queries.oracle_sql() | report_queries.oracle_sql() | classify_queries.oracle_sql() | register_queries.oracle_sql() | wide_queries.oracle_sql()
+RUN = queries.queries() | review_queries.queries() | report_queries.queries() | classify_queries.queries() | register_queries.queries() | wide_queries.queries()
 
 
 def shown(value):
