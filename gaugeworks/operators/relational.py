@@ -40,9 +40,9 @@ def ordered_lists(df: DataFrame, key: str, order: list[Column], take: list[str],
 def named_ids(df: DataFrame, key: str, ids: str, lookup: DataFrame, lookup_key: str, lookup_name: str) -> DataFrame:
     """(key, names): the names of a JSON list of ids, in its order, joined by commas; what is no id, and ids without a name, are left out, what is no list gives ''."""
     listed = F.from_json(F.col(ids), "array<string>")
-    each = df.select(key, F.posexplode(listed).alias("at", "id")).withColumn("id", F.col("id").try_cast("bigint")).filter("id IS NOT NULL")
-    known = lookup.select(F.col(lookup_key).cast("bigint").alias("id"), F.col(lookup_name).alias("name")).filter("name <> ''")
-    told = each.join(known, "id").groupBy(key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "name"))), lambda x: x["name"]), ", ").alias("names"))
+    each = df.select(key, F.posexplode(listed).alias("__at", "__text")).withColumn("__id", F.col("__text").try_cast("bigint")).filter("__id IS NOT NULL")
+    known = lookup.select(F.col(lookup_key).cast("bigint").alias("__id"), F.col(lookup_name).alias("__name")).filter("__name <> ''")
+    told = each.join(known, "__id").groupBy(key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("__at", "__name"))), lambda x: x["__name"]), ", ").alias("names"))
     return df.select(key).join(told, key, "left").select(key, F.coalesce("names", F.lit("")).alias("names"))
 
 
