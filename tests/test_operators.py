@@ -228,3 +228,15 @@ def test_prose_turns_rows_off(spark):
     rows = spark.createDataFrame([(1, "indonesia", "Bontang Train F", 2.9, True), (2, "indonesia", "Bontang Train F", 2.9, True), (3, "indonesia", "Bontang Train E", 2.9, True)], "row int, country_norm string, site string, capacity double, operating boolean")
     fixes = spark.createDataFrame([(1, "indonesia", "Train F", 2.9)], "id int, country_norm string, site string, capacity double")
     assert [(r.row, r.operating) for r in reconcile.correct_by_prose(rows, fixes).orderBy("row").collect()] == [(1, False), (2, True), (3, True)]
+
+
+def test_vessels_meet_by_their_rarest_word_and_once_each(spark):
+    from gaugeworks.operators import vessels
+
+    rows = [("x", "port", "regas", i, f"Alpha Ship{i % 2}") for i in range(400)] + [("x", "bay", "regas", 900, ""), ("x", "bay", "regas", 901, None)]
+    register = [("x", f"terminal {i:03d}", "regas", f"Alpha Ship{i % 2}, Alpha Other{i}") for i in range(300)] + [("y", "a", "regas", "Alpha Ship0")]
+    shape = "country_norm string, name_norm string, section string"
+    own, at = spark.createDataFrame(rows, f"{shape}, row int, vessel_name string"), spark.createDataFrame(register, f"{shape}, vessel_name string")
+    out = {r["row"]: (r["name_norm"], r["register_name"]) for r in vessels.route(own, at).collect()}
+    assert len(out) == 402 and out[900] == out[901] == ("bay", None)
+    assert out[0] == ("port ## terminal 000", "terminal 000") and out[399] == ("port ## terminal 001", "terminal 001")
