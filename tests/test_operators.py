@@ -240,3 +240,20 @@ def test_vessels_meet_by_their_rarest_word_and_once_each(spark):
     out = {r["row"]: (r["name_norm"], r["register_name"]) for r in vessels.route(own, at).collect()}
     assert len(out) == 402 and out[900] == out[901] == ("bay", None)
     assert out[0] == ("port ## terminal 000", "terminal 000") and out[399] == ("port ## terminal 001", "terminal 001")
+
+
+def test_prose_finds_rows_by_words_and_capacity(spark):
+    from gaugeworks.operators import reconcile
+
+    rows = [(1, "x", "north bay", 1.0), (2, "x", "north bay", 1.0), (3, "x", "south bay", 2.04), (4, "x", "east", None), (5, "y", "north bay", 1.0), (6, "x", "west", 7.0), (7, None, "north bay", 1.0)]
+    own = spark.createDataFrame([(*r, True) for r in rows], "row int, country_norm string, site string, capacity double, operating boolean")
+    asked = [(1, "x", "bay north", 1.04), (2, "x", "bay", 2.0), (3, "x", "east", None), (4, "x", "east", 1.0), (5, "y", "bay quay", None), (6, "x", "", 7.04), (7, "x", "north", 1.06), (8, None, "bay", 1.0), (9, "x", None, float("nan"))]
+    told = spark.createDataFrame(asked, "id int, country_norm string, site string, capacity double")
+    out = {r["row"]: r["operating"] for r in reconcile.correct_by_prose(own, told).collect()}
+    assert out == {1: False, 2: True, 3: False, 4: False, 5: True, 6: False, 7: True}
+    crowd = spark.range(600).selectExpr("CAST(id AS INT) AS row", "'x' AS country_norm", "concat('bay w', id) AS site", "id * 1.0D AS capacity", "true AS operating")
+    many = spark.range(600).selectExpr("CAST(id AS INT) AS id", "'x' AS country_norm", "concat('bay w', id) AS site", "id * 1.0D AS capacity")
+    out = reconcile.correct_by_prose(crowd, many)
+    assert out.filter("operating").isEmpty()
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "<= 0.05" in plan and all("word" in line for line in plan.splitlines() if "Join Inner" in line and "<= 0.05" in line)
