@@ -3,7 +3,7 @@
 Pages come as (report, page, text), or (page, text) of one report. Lines are exploded with their number, columns
 come from the header's words, and every line is classified by expressions. Only the walk that spends a country's
 published total on its rows, line by line, is a function of one page. What goes across pages is done for each
-report on its own.
+report on its own, by windows over rows that are dealt once a step and hold no more than place, country and capacity.
 
 Null texts have no lines. A page without header gives no rows. Totals stand on lines of their own, beside a piece of
 a name, or in the first cell of a data row; a label may be set on several lines (`bands`).
@@ -11,9 +11,12 @@ a name, or in the first cell of a data row; a label may be set on several lines
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from itertools import groupby, islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
@@ -54,23 +57,41 @@ def lines_of(pages: DataFrame) -> DataFrame:
     return pages.select(report.alias("report"), "page", F.posexplode(F.split("text", r"\r?\n")).alias("n", "line"))
 
 
-def header(lines: DataFrame, layout: Layout) -> DataFrame:
-    """(page, header_n, starts): the first line that begins with the first word and holds all words in order; starts: where each begins."""
+def _starts(line: Column, layout: Layout) -> Column:
+    """Where each header word begins in a line that holds all of them in order and begins with the first; else null."""
     at: list[Column] = []
     for word in layout.words:
         after = (at[-1] + len(layout.words[len(at) - 1])) if at else F.lit(1)
-        found = F.call_function("locate", F.lit(word), F.col("line"), after)
+        found = F.call_function("locate", F.lit(word), line, after)
         at.append(F.when(found > 0, found) if not at else F.when(at[-1].isNotNull() & (found > 0), found))
-    own = lines.filter(F.ltrim("line").startswith(layout.words[0])).withColumn("starts", F.array(*at)).filter(~F.exists("starts", lambda x: x.isNull()))
+    return F.when(F.ltrim(line).startswith(layout.words[0]) & at[-1].isNotNull(), F.array(*at))
+
+
+def header(lines: DataFrame, layout: Layout) -> DataFrame:
+    """(page, header_n, starts): the first line that begins with the first word and holds all words in order; starts: where each begins."""
+    own = lines.withColumn("starts", _starts(F.col("line"), layout)).filter("starts IS NOT NULL")
     return own.groupBy(*KEY).agg(F.min_by(F.struct(F.col("n").alias("header_n"), "starts"), "n").alias("h")).select(*KEY, "h.header_n", "h.starts")
 
 
+def headed(pages: DataFrame, layout: Layout) -> DataFrame:
+    """(report, page, n, line, starts): the lines below each page's header, which is looked for before the page is cut into rows."""
+    report = F.col("report") if "report" in pages.columns else F.lit("")
+    whole = pages.select(report.alias("report"), "page", F.split("text", r"\r?\n").alias("all"))
+    tried = F.transform("all", lambda x, i: F.struct(i.alias("header_n"), _starts(x, layout).alias("starts")))
+    found = whole.withColumn("h", F.get(F.filter(tried, lambda x: x.starts.isNotNull()), F.lit(0))).filter("h IS NOT NULL")
+    return found.select(*KEY, "h", F.posexplode("all").alias("n", "line")).filter("n > h.header_n").select(*KEY, "n", "line", "h.starts")
+
+
 def cells(lines: DataFrame, heads: DataFrame, layout: Layout) -> DataFrame:
     """Lines below the header with a map of column -> trimmed text."""
-    both = lines.join(heads, KEY).filter("n > header_n")
+    return cut(lines.join(heads, KEY).filter("n > header_n"), layout)
+
+
+def cut(lines: DataFrame, layout: Layout) -> DataFrame:
+    """Lines with starts, cut into a map of column -> trimmed text."""
     text = lambda i: F.trim(F.substring(F.col("line"), F.col("starts")[i] if i else F.lit(1), (F.col("starts")[i + 1] - (F.col("starts")[i] if i else F.lit(1))) if i + 1 < len(layout.words) else F.lit(WIDE)))
     entries = [x for i, w in enumerate(layout.words) for x in (F.lit(w), text(i))]
-    return both.select(*KEY, "n", "line", F.create_map(*entries).alias("cell"))
+    return lines.select(*KEY, "n", "line", F.create_map(*entries).alias("cell"))
 
 
 def classified(lines: DataFrame, layout: Layout) -> DataFrame:
@@ -87,7 +108,7 @@ def classified(lines: DataFrame, layout: Layout) -> DataFrame:
         .when((first != "") & (rest == "") & ~first.rlike(_NUMBER) & ~first.contains(":"), "label")
         .otherwise("text")
     )
-    return lines.withColumns({"kind": kind, "label": F.when(kind == "label", first), "subtotal": F.when(kind.isin("subtotal", "data"), figure)})
+    return lines.withColumn("kind", kind).withColumns({"label": F.when(F.col("kind") == "label", first), "subtotal": F.when(F.col("kind").isin("subtotal", "data"), figure)})
 
 
 def bands(lines: DataFrame, reach: int = 3) -> DataFrame:
@@ -114,10 +135,11 @@ def bands(lines: DataFrame, reach: int = 3) -> DataFrame:
 
 def owned(lines: DataFrame, layout: Layout) -> DataFrame:
     """Adds row_n: the data line that a line of text belongs to, the nearest; of two as near the upper one, unless the line begins a name."""
-    w = Window.partitionBy(*KEY).orderBy("n")
+    page = Window.partitionBy(*KEY)
     data = F.when(F.col("kind") == "data", F.col("n"))
-    above = F.last(data, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    below = F.first(data, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    # both run from an end of the page: a frame that reaches to the end is summed anew for every line
+    seen = lambda order: F.last(data, ignorenulls=True).over(page.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    above, below = F.col("__above"), F.col("__below")
     name = F.col("cell")[layout.name]
     opened = F.length(F.regexp_replace(name, r"[^(]", "")) - F.length(F.regexp_replace(name, r"[^)]", ""))
     continues = (opened < 0) | F.lower(name).isin("expansion", "extension") | name.rlike(r"(?i)\(\s*(?:FSRU|FLNG|FSU|FRU)\s*\)")
@@ -125,7 +147,8 @@ def owned(lines: DataFrame, layout: Layout) -> DataFrame:
     nearer = F.when(below.isNull() | (F.col("n") - above < below - F.col("n")), above).when(above.isNull() | (F.col("n") - above > below - F.col("n")), below).otherwise(F.when(begins, below).otherwise(above))
     # a total may stand beside a piece of a row's name
     own = F.col("kind").isin("data", "text") | ((F.col("kind") == "subtotal") & (name != ""))
-    return lines.filter("kind <> 'blank'").withColumn("row_n", F.when(own, nearer))
+    beside = lines.filter("kind <> 'blank'").withColumn("__below", seen(F.desc("n"))).withColumn("__above", seen(F.asc("n")))
+    return beside.withColumn("row_n", F.when(own, nearer)).drop("__above", "__below")
 
 
 def rows(lines: DataFrame, layout: Layout) -> DataFrame:
@@ -133,10 +156,13 @@ def rows(lines: DataFrame, layout: Layout) -> DataFrame:
 
     country_cell is the first piece in the first column that is no total, number or region.
     """
-    parts = lines.filter("row_n IS NOT NULL").select(*KEY, F.col("row_n").alias("n0"), "n", F.explode("cell").alias("col", "part")).filter("part <> ''")
-    joined = parts.groupBy(*KEY, "n0", "col").agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "part"))), lambda x: x.part).alias("p"))
-    fresh = F.filter("p", lambda x, i: (i == 0) | (x != F.get(F.col("p"), i - 1)))
-    merged = joined.select(*KEY, "n0", "col", fresh.alias("p")).groupBy(*KEY, "n0").agg(F.map_from_entries(F.collect_list(F.struct("col", "p"))).alias("pieces"))
+    parts = lines.filter("row_n IS NOT NULL").select(*KEY, F.col("row_n").alias("n0"), F.struct("n", F.transform(F.array(*map(F.lit, layout.words)), lambda w: F.col("cell")[w]).alias("v")).alias("part"))
+    whole = parts.groupBy(*KEY, "n0").agg(F.sort_array(F.collect_list("part")).alias("own"))
+    column = lambda i: F.filter(F.transform("own", lambda x: x.v[i]), lambda x: x != "")
+    fresh = lambda p: F.filter(p, lambda x, i: (i == 0) | (x != F.get(p, i - 1)))
+    several = whole.select(*KEY, "n0", *[column(i).alias(f"__{i}") for i in range(len(layout.words))])
+    entries = F.array(*[F.struct(F.lit(w).alias("col"), fresh(F.col(f"__{i}")).alias("p")) for i, w in enumerate(layout.words)])
+    merged = several.select(*KEY, "n0", F.map_from_entries(F.filter(entries, lambda x: F.size(x.p) > 0)).alias("pieces"))
     none = F.array().cast("array<string>")
     pieces = lambda k: F.coalesce(F.try_element_at("pieces", F.lit(k)), none)
     text = lambda k: F.array_join(pieces(k), " ")
@@ -157,31 +183,45 @@ def walked(table: DataFrame, lines: DataFrame) -> DataFrame:
     own = table.select(*KEY, "n", F.lit(2).alias("turn"), F.col("country_cell").alias("text"), F.coalesce("capacity", F.lit(0.0)).alias("value"))
     events = labels.unionByName(totals).unionByName(own)
 
-    def walk(df: pd.DataFrame) -> pd.DataFrame:
+    def walk(page: tuple, lines: Iterator[tuple]) -> Iterator[tuple]:
         country, budget, spent, waiting, out, published = "", None, 0.0, [], {}, {}
-        for e in df.sort_values(["n", "turn"]).itertuples():
-            named = isinstance(e.text, str) and e.text != ""
-            if e.turn == 1:
+        for _, _, n, turn, text, value in lines:
+            if turn == 1:
                 if country:
-                    budget = published[country] = e.value
+                    budget = published[country] = value
                 continue
-            if e.turn == 0 or named:
-                out.update(dict.fromkeys(waiting, e.text))
-                country, budget, spent, waiting = e.text, None, 0.0, []
-            if e.turn == 2:
-                if named:
-                    spent = e.value
-                    out[e.n] = country
-                elif country and (budget is None or spent + e.value <= budget * TOLERANCE):
-                    spent += e.value
-                    out[e.n] = country
+            if turn == 0 or text:
+                out.update(dict.fromkeys(waiting, text))
+                country, budget, spent, waiting = text, None, 0.0, []
+            if turn == 2:
+                if text:
+                    spent = value
+                    out[n] = country
+                elif country and (budget is None or spent + value <= budget * TOLERANCE):
+                    spent += value
+                    out[n] = country
                 else:
-                    waiting.append(e.n)
-        found = [(n, c, None) for n, c in out.items()] + [(-1, c, v) for c, v in published.items()]
-        return pd.DataFrame([(df["report"].iloc[0], df["page"].iloc[0], *f) for f in found], columns=["report", "page", "n", "country", "total"])
+                    waiting.append(n)
+        yield from ((*page, n, c, None) for n, c in out.items())
+        yield from ((*page, -1, c, v) for c, v in published.items())
+
+    def walks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pages one after the other, each in the order of its lines, whatever batches cut them."""
+        kinds: list[pa.DataType] = []
+
+        def stream() -> Iterator[tuple]:
+            for batch in batches:
+                kinds[:] = batch.schema.types[:2]
+                yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+        found = (row for page, lines in groupby(stream(), key=lambda e: e[:2]) for row in walk(page, lines))
+        while some := list(islice(found, 10_000)):
+            fields = zip([*KEY, "n", "country", "total"], [*kinds, pa.int32(), pa.string(), pa.float64()], zip(*some, strict=True), strict=True)
+            yield pa.RecordBatch.from_pydict({name: pa.array(values, kind) for name, kind, values in fields})
 
     kinds = dict(table.dtypes)
-    return events.groupBy(*KEY).applyInPandas(walk, f"report {kinds['report']}, page {kinds['page']}, n int, country string, total double")
+    ordered = events.select(*KEY, "n", "turn", "text", "value").repartition(*KEY).sortWithinPartitions(*KEY, "n", "turn")
+    return ordered.mapInArrow(walks, f"report {kinds['report']}, page {kinds['page']}, n int, country string, total double")
 
 
 def with_countries(table: DataFrame, told: DataFrame) -> DataFrame:
@@ -196,10 +236,15 @@ def assign_countries(table: DataFrame, lines: DataFrame) -> DataFrame:
 
 def country_totals(table: DataFrame, lines: DataFrame) -> DataFrame:
     """(report, country, total): each published total with the country of the data row nearest to it."""
-    marks = lines.filter("subtotal IS NOT NULL").select(*KEY, F.col("n").alias("at"), "subtotal")
-    near = table.filter("country <> ''").select(*KEY, "n", "country").join(marks, KEY)
-    nearest = near.groupBy(*KEY, "at", "subtotal").agg(F.min_by("country", F.struct(F.abs(F.col("n") - F.col("at")), "n")).alias("country"))
-    return nearest.groupBy("report", "country").agg(F.max_by("subtotal", F.struct("page", "at")).alias("total"))
+    marks = lines.filter("subtotal IS NOT NULL").select(*KEY, "n", F.lit(1).alias("turn"), F.lit(None).cast("string").alias("country"), "subtotal")
+    both = marks.unionByName(table.filter("country <> ''").select(*KEY, "n", F.lit(0).alias("turn"), "country", F.lit(None).cast("double").alias("subtotal")))
+    page, row = Window.partitionBy(*KEY), F.when(F.col("turn") == 0, F.struct("n", "country"))
+    seen = lambda *order: F.last(row, ignorenulls=True).over(page.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    # a row on the total's own line is above it; of two as near the upper one counts
+    beside = both.withColumn("below", seen(F.desc("n"), F.desc("turn"))).withColumn("above", seen("n", "turn")).filter("turn = 1")
+    upper = F.col("below").isNull() | (F.col("n") - F.col("above.n") <= F.col("below.n") - F.col("n"))
+    nearest = beside.withColumn("country", F.when(upper, F.col("above.country")).otherwise(F.col("below.country"))).filter("country IS NOT NULL")
+    return nearest.groupBy("report", "country").agg(F.max_by("subtotal", F.struct("page", "n")).alias("total"))
 
 
 def _shared(totals: DataFrame, part: tuple[str, ...]) -> list[str]:
@@ -207,27 +252,44 @@ def _shared(totals: DataFrame, part: tuple[str, ...]) -> list[str]:
     return [c for c in part if c in totals.columns]
 
 
+def with_totals(table: DataFrame, totals: DataFrame, part: tuple[str, ...]) -> DataFrame:
+    """Adds total, the published one of a row's country: a part's few totals meet its rows by the part alone, so that rows need not be dealt by country."""
+    shared = _shared(totals, part)
+    lists = totals.groupBy(*shared).agg(F.collect_list(F.struct("country", "total")).alias("__totals"))
+    both = table.join(lists, shared, "left") if shared else table.crossJoin(F.broadcast(lists))
+    own = F.get(F.filter("__totals", lambda x: x.country == F.col("country")), F.lit(0))
+    return both.withColumn("total", own.total).drop("__totals")
+
+
 #: Halves of country names that a report sets on two lines.
 SPLIT_NAMES = [("south", "korea", "South Korea"), ("equatorial", "guinea", "Equatorial Guinea"), ("papua", "new guinea", "Papua New Guinea"), ("papua new", "guinea", "Papua New Guinea"), ("trinidad &", "tobago", "Trinidad and Tobago"), ("trinidad and", "tobago", "Trinidad and Tobago"), ("trinidad", "tobago", "Trinidad and Tobago"), ("mauritania", "senegal", "Mauritania")]
 
 
+def _order(part: tuple[str, ...]) -> Window:
+    return Window.partitionBy(*part).orderBy("page", "n")
+
+
+def _run(part: tuple[str, ...]) -> Window:
+    """All rows of a run, in order."""
+    return Window.partitionBy(*part, "run").orderBy("page", "n").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 def country_runs(table: DataFrame, part: tuple[str, ...]) -> DataFrame:
     """table with run, the number of its run of equal countries inside a part, before and after, the countries beside the run, and alone, the run's own sum."""
-    w = Window.partitionBy(*part).orderBy("page", "n")
-    new = F.when(F.lag("country").over(w).eqNullSafe(F.col("country")) & (F.row_number().over(w) > 1), 0).otherwise(1)
-    own = table.withColumn("__new", new).withColumn("run", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
-    each = own.groupBy(*part, "run").agg(F.first("country").alias("__c"), F.sum("capacity").alias("alone"))
-    beside = Window.partitionBy(*part).orderBy("run")
-    each = each.withColumns({"before": F.lag("__c").over(beside), "after": F.lead("__c").over(beside)}).drop("__c")
-    return own.join(each, [*part, "run"])
+    w, run = _order(part), _run(part)
+    own = table.withColumns({"__last": F.lag("country").over(w), "__next": F.lead("country").over(w), "__i": F.row_number().over(w)})
+    new = F.when(F.col("__last").eqNullSafe(F.col("country")) & (F.col("__i") > 1), 0).otherwise(1)
+    numbered = own.withColumn("run", F.sum(new).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.withColumns({"before": F.first("__last").over(run), "after": F.last("__next").over(run), "alone": F.sum("capacity").over(run)}).drop("__last", "__next", "__i")
 
 
 def join_split_names(table: DataFrame, totals: DataFrame, part: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
-    """The table and the totals with countries whose name stands on two lines, half by half, put together again."""
+    """The table, written, and the totals with countries whose name stands on two lines, half by half, put together again."""
     plain = lambda c: F.trim(F.regexp_replace(F.regexp_replace(F.lower(F.trim(c)), "/+$", ""), r"\s+", " "))
-    led = country_runs(table, part)
-    whole = lambda one, two: F.coalesce(*[F.when((plain(one) == a) & (plain(two) == b), full) for a, b, full in SPLIT_NAMES])
-    own = led.withColumn("__full", F.coalesce(whole(F.col("country"), F.col("after")), whole(F.col("before"), F.col("country"))))
+    whole = F.create_map(*[F.lit(x) for a, b, full in SPLIT_NAMES for x in (f"{a}\n{b}", full)])
+    led = country_runs(table, part).withColumns({"__own": plain("country"), "__next": plain("after"), "__last": plain("before")})
+    pair = lambda one, two: F.try_element_at(whole, F.concat_ws("\n", F.coalesce(one, F.lit("")), F.coalesce(two, F.lit(""))))
+    own = checkpointed(led.withColumn("__full", F.coalesce(pair(F.col("__own"), F.col("__next")), pair(F.col("__last"), F.col("__own")))).select(*table.columns, "__full"))
     by = [*_shared(totals, part), "country"]
     renamed = own.filter("__full IS NOT NULL").select(*by, "__full").distinct().groupBy(*by).agg(F.min("__full").alias("__full"))
     out = own.withColumn("country", F.coalesce("__full", "country")).select(*table.columns)
@@ -240,43 +302,52 @@ def reclaim(table: DataFrame, totals: DataFrame, part: tuple[str, ...], nearest:
 
     Only runs between two others, with a total that they don't reach. Rows are taken upwards from the run as long as they
     are the preceding run's: up to `high` of the total (page by page), or as many as come nearest to it. They change
-    hands only if the run then lies within low and high of the total. Sums run in windows over a part's rows.
+    hands only if the run then lies within low and high of the total. All in windows over a part's rows.
     """
-    led = country_runs(table, part)
-    size = led.groupBy(*part, "run").agg(F.first("country").alias("to"), F.first("alone").alias("alone"), F.first("before").alias("before"), F.first("after").alias("after"))
-    short = size.join(totals.withColumnRenamed("country", "to"), [*_shared(totals, part), "to"]).filter("before IS NOT NULL AND after IS NOT NULL").filter(F.col("alone") < F.col("total") * low)
-    above = led.join(short.select(*part, (F.col("run") - 1).alias("run"), "to", F.col("alone").alias("own"), "total"), [*part, "run"])
-    up = Window.partitionBy(*part, "run").orderBy(F.desc("page"), F.desc("n"))
-    reached = above.withColumn("__sum", F.col("own") + F.sum(F.coalesce("capacity", F.lit(0.0))).over(up.rowsBetween(Window.unboundedPreceding, 0))).withColumn("__m", F.row_number().over(up))
+    col, all_of = F.col, Window.partitionBy(*part, "run")
+    led = with_totals(country_runs(table, part), totals, part)
+    lack = F.when(col("before").isNotNull() & col("after").isNotNull() & (col("alone") < col("total") * low), F.struct(col("country").alias("to"), col("alone").alias("own"), "total"))
+    # what the run below lacks is told to all rows of a run
+    told = led.withColumn("__below", F.lead(lack).over(_order(part))).withColumn("__lack", F.last("__below").over(_run(part)))
+    up, own, total = all_of.orderBy(F.desc("page"), F.desc("n")), col("__lack.own"), col("__lack.total")
+    reached = told.withColumns({"__sum": own + F.sum(F.coalesce("capacity", F.lit(0.0))).over(up.rowsBetween(Window.unboundedPreceding, 0)), "__m": F.row_number().over(up)})
     if nearest:
-        best = reached.groupBy(*part, "run").agg(F.min(F.struct(F.abs(F.col("__sum") - F.col("total")).alias("d"), "__m", "__sum", "own", "total", "to")).alias("b")).filter(F.col("b.d") < F.abs(F.col("b.own") - F.col("b.total")))
+        fit = F.when(col("__lack").isNotNull(), F.struct(F.abs(col("__sum") - total).alias("d"), "__m", "__sum"))
+        best = reached.withColumn("__b", F.min(fit).over(all_of))
+        better = col("__b.d") < F.abs(own - total)
     else:
         # upwards until the total is nearly met, and never past it
-        before = reached.withColumn("__last", F.col("__sum") - F.coalesce("capacity", F.lit(0.0)))
-        bad = F.when((F.col("__last") >= F.col("total") * low) | (F.col("__sum") > F.col("total") * high), F.col("__m"))
-        stop = before.withColumn("__stop", F.min(bad).over(Window.partitionBy(*part, "run"))).filter(F.col("__stop").isNull() | (F.col("__m") < F.col("__stop")))
-        best = stop.groupBy(*part, "run").agg(F.max(F.struct("__m", "__sum", "total", "to")).alias("b"))
-    good = best.filter((F.col("b.__sum") >= F.col("b.total") * low) & (F.col("b.__sum") <= F.col("b.total") * high)).select(*part, "run", F.col("b.__m").alias("take"), F.col("b.to").alias("__to"))
-    ranked = led.withColumn("__m", F.row_number().over(up)).join(good, [*part, "run"], "left")
-    return ranked.withColumn("country", F.when(F.col("__m") <= F.col("take"), F.col("__to")).otherwise(F.col("country"))).select(*table.columns)
+        bad = F.when((col("__sum") - F.coalesce("capacity", F.lit(0.0)) >= total * low) | (col("__sum") > total * high), col("__m"))
+        stop = reached.withColumn("__stop", F.min(bad).over(all_of))
+        open_ = col("__lack").isNotNull() & (col("__stop").isNull() | (col("__m") < col("__stop")))
+        best = stop.withColumn("__b", F.max(F.when(open_, F.struct("__m", "__sum"))).over(all_of))
+        better = F.lit(True)
+    moves = better & (col("__b.__sum") >= total * low) & (col("__b.__sum") <= total * high) & (col("__m") <= col("__b.__m"))
+    return best.withColumn("country", F.when(moves, col("__lack.to")).otherwise(col("country"))).select(*table.columns)
 
 
 def settled(table: DataFrame, totals: DataFrame, part: tuple[str, ...], most: int = 8) -> DataFrame:
-    """Reclaiming, the nearest fit, until a round moves no row or `most` are done: a country that gives rows up may come to lack some itself. The moved rows are counted as a round is written."""
+    """Reclaiming, the nearest fit, until a round moves no row or `most` are done: a country that gives rows up may come to lack some itself.
+
+    A part without a moved row is settled, and only the others go into the next round. Their rows are counted as a round is written.
+    """
+    done, columns = [], table.columns
     for _ in range(most):
         seen = Observation()
         again = reclaim(table.withColumn("was", F.col("country")), totals, part, nearest=True)
-        table = checkpointed(again.observe(seen, F.count_if(~F.col("country").eqNullSafe(F.col("was"))).alias("moved"))).drop("was")
-        if not seen.get["moved"]:
-            break
-    return table
+        moved = F.max(~F.col("country").eqNullSafe(F.col("was"))).over(Window.partitionBy(*part))
+        round_ = checkpointed(again.withColumn("moved", moved).drop("was").observe(seen, F.count_if("moved").alias("rows")))
+        done.append(round_.filter("NOT moved").select(*columns))
+        table = round_.filter("moved").select(*columns)
+        if not seen.get["rows"]:
+            return reduce(DataFrame.unionByName, done)
+    return reduce(DataFrame.unionByName, done, table)
 
 
 def return_islands(table: DataFrame, totals: DataFrame, part: tuple[str, ...] = ("page",), low: float = 0.94, high: float = 1.02) -> DataFrame:
     """A run between two runs of one other country goes to that country, if its own country's total is met without it and passed with it."""
-    led = country_runs(table, part)
-    sums = table.groupBy(*part, "country").agg(F.sum("capacity").alias("all"))
-    judged = led.join(sums, [*part, "country"]).join(totals, [*_shared(totals, part), "country"], "left")
+    led = with_totals(country_runs(table, part), totals, part)
+    judged = led.withColumn("all", F.sum("capacity").over(Window.partitionBy(*part, "country").orderBy("page", "n").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     move = (F.col("before") == F.col("after")) & (F.col("before") != "") & (F.col("all") - F.col("alone") >= F.col("total") * low) & (F.col("all") > F.col("total") * high)
     return judged.withColumn("country", F.when(move, F.col("before")).otherwise(F.col("country"))).select(*table.columns)
 
@@ -324,17 +395,15 @@ def terminal_parts(pieces: Column, concept: Column) -> Column:
 
 def table_rows(pages: DataFrame, layout: Layout, rules: list[tuple[str, str]] | None = None, rounds: int = 8) -> DataFrame:
     """The rows of all pages with their countries, settled within each report."""
-    lines = lines_of(pages)
-    marked = checkpointed(classified(cells(lines, header(lines, layout), layout), layout))
+    marked = checkpointed(classified(cut(headed(pages, layout), layout), layout).drop("line"))
     table = checkpointed(rows(owned(marked, layout), layout).filter("site <> ''"))
     told = checkpointed(walked(table, marked))
-    table = checkpointed(with_countries(table, told))
-    totals = checkpointed(country_totals(table, marked))
+    placed = checkpointed(with_countries(table.select(*KEY, "n", "capacity"), told))
+    totals = checkpointed(country_totals(placed, marked))
     published = told.filter("n < 0").select(*KEY, "country", "total")
-    table = reclaim(table, published, tuple(KEY), nearest=False)
-    table, totals = join_split_names(checkpointed(table), totals, ("report",))
+    placed, totals = join_split_names(reclaim(placed, published, tuple(KEY), nearest=False), totals, ("report",))
     totals = checkpointed(totals)
-    table = return_islands(settled(checkpointed(table), totals, ("report",), rounds), totals, ("report",))
+    table = with_countries(table, return_islands(settled(placed, totals, ("report",), rounds), totals, ("report",)))
     return override_sites(table, rules) if rules else table
 
 

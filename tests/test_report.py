@@ -170,3 +170,86 @@ def test_status_words_and_footers(spark):
     for word, status in words.items():
         part = report.site_parts(F.lit(f"Harbour T1 {word}"))
         assert (spark.range(1).select(report.hinted_status(part.hint).alias("s")).first().s or "operating") == status
+
+
+def _plan(df, capsys):
+    df.explain()
+    return capsys.readouterr().out
+
+
+def test_rows_are_dealt_once_a_round(spark, capsys):
+    table = spark.createDataFrame([("x", 1, 1, "A", 5.0)], "report string, page int, n int, country string, capacity double")
+    totals = spark.createDataFrame([("x", "A", 5.0)], "report string, country string, total double")
+    for nearest in (False, True):
+        assert _plan(report.reclaim(table, totals, ("report",), nearest), capsys).count("Exchange hashpartitioning") <= 2
+    assert _plan(report.return_islands(table, totals, ("report",)), capsys).count("Exchange hashpartitioning") <= 2
+
+
+def test_nearest_lines_of_a_long_page_are_not_summed_anew(spark, capsys):
+    assert "currentrow$(), unboundedfollowing$()" not in _plan(report.owned(_marked(spark, PAGE), LAYOUT), capsys)
+
+
+def test_settled_reports_leave_the_rounds(spark, monkeypatch):
+    names = ["A"] * 3 + [c for c in ("C1", "C2", "C3") for _ in range(2)] + ["C4", "Z"]
+    rows = [(r, 1, i, c, 5.0) for r in ("x", "y", "z") for i, c in enumerate(names)]
+    table = spark.createDataFrame(rows, "report string, page int, n int, country string, capacity double")
+    totals = spark.createDataFrame([("x", f"C{i}", 10.0) for i in range(1, 5)] + [("z", "C4", 10.0)], "report string, country string, total double")
+    seen, own = [], report.reclaim
+
+    def watched(table, *more, **named):
+        seen.append(sorted(r.report for r in table.select("report").distinct().collect()))
+        return own(table, *more, **named)
+
+    monkeypatch.setattr(report, "reclaim", watched)
+    out = report.settled(table, totals, ("report",)).orderBy("report", "n").collect()
+    assert seen == [["x", "y", "z"], ["x", "z"], ["x"], ["x"], ["x"]]
+    assert [r.country for r in out if r.report == "x"] == ["A"] * 2 + [c for c in ("C1", "C2", "C3", "C4") for _ in range(2)] + ["Z"]
+    assert [r.country for r in out if r.report == "y"] == names
+    assert [r.country for r in out if r.report == "z"] == names[:-3] + ["C4", "C4", "Z"]
+
+
+def test_pages_are_walked_whatever_batches_cut_them(spark):
+    pages = spark.createDataFrame([(r, p, PAGE) for r in ("x", "y", None) for p in (1, 2)], "report string, page int, text string")
+    lines = report.classified(report.cut(report.headed(pages, LAYOUT), LAYOUT), LAYOUT)
+    table = report.rows(report.owned(lines, LAYOUT), LAYOUT)
+    want = {(-1, "Brunei", 7.2), (3, "USA", None), (4, "USA", None), (7, "Brunei", None), (8, "Oman", None), (10, "Oman", None)}
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for rows in ("2", "3", size):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+            got = sorted(report.walked(table, lines).collect(), key=str)
+            assert {(r.report, r.page) for r in got} == {(r, p) for r in ("x", "y", None) for p in (1, 2)}
+            for key in {(r.report, r.page) for r in got}:
+                own = [(r.n, r.country, r.total) for r in got if (r.report, r.page) == key]
+                assert set(own) == want and len(own) == 6
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+
+
+def test_headers_found_in_pages_are_those_found_in_lines(spark):
+    texts = [None, "", HEAD, PAGE, "Owner (MTPA) Project Country\nx", "a\r\n  " + HEAD + "Oman         P                        1.0      A\r\n" + HEAD + "\n\nQatar", "Country only\n" + PAGE + PAGE]
+    pages = spark.createDataFrame([(1 + i // 3, i, t) for i, t in enumerate(texts)], "report int, page int, text string")
+    lines = report.lines_of(pages)
+    got, want = report.cut(report.headed(pages, LAYOUT), LAYOUT), report.cells(lines, report.header(lines, LAYOUT), LAYOUT)
+    told = lambda df: sorted((r.report, r.page, r.n, r.line, sorted(r.cell.items())) for r in df.collect())
+    assert told(got) == told(want) and len({r.page for r in got.collect()}) == 4
+
+
+def test_totals_go_to_the_nearest_row(spark):
+    import random
+
+    pick = random.Random(3)
+    rows, marks = [], []
+    for page in range(12):
+        for n in range(30):
+            if pick.random() < 0.3:
+                rows.append(("x", page, n, pick.choice(["A", "B", "C", ""])))
+            if pick.random() < 0.2:
+                marks.append(("x", page, n, float(pick.randint(1, 99))))
+    want = {}
+    for _, page, at, value in marks:
+        near = min(((abs(n - at), n, c) for _, p, n, c in rows if p == page and c), default=None)
+        if near:
+            want[near[2]] = value
+    got = report.country_totals(spark.createDataFrame(rows, "report string, page int, n int, country string"), spark.createDataFrame(marks, "report string, page int, n int, subtotal double"))
+    assert {r.country: r.total for r in got.collect()} == want
