@@ -257,3 +257,57 @@ def test_prose_finds_rows_by_words_and_capacity(spark):
     assert out.filter("operating").isEmpty()
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "<= 0.05" in plan and all("word" in line for line in plan.splitlines() if "Join Inner" in line and "<= 0.05" in line)
+
+
+def _joined_rows(spark, df) -> int:
+    """The most rows that a join of df gives as it runs."""
+    df.collect()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    store = spark._jsparkSession.sharedState().statusStore()
+    number = store.executionsList().last().executionId()
+    values, nodes = store.executionMetrics(number), store.planGraph(number).allNodes()
+    found = [0]
+    for node in (nodes.apply(i) for i in range(nodes.size()) if "Join" in nodes.apply(i).name()):
+        for metric in (node.metrics().apply(j) for j in range(node.metrics().size())):
+            if metric.name() == "number of output rows" and values.contains(metric.accumulatorId()):
+                found.append(int(values.apply(metric.accumulatorId()).replace(",", "")))
+    return max(found)
+
+
+def test_parts_of_names_that_share_a_common_word_make_no_crowd(spark):
+    n, kinds = 300, "country_norm string, name_norm string, section string, capacity double"
+    report = spark.createDataFrame([("a", f"free{i} south", "l", 1.0) for i in range(n)] + [("a", f"part{i} south", "l", float(i)) for i in (1, 2)] + [("a", "grand south", "l", 4.0), ("a", "grand", "l", 2.0)], kinds)
+    register = spark.createDataFrame([("a", f"held{i} south", "l", 1.0, 2) for i in range(n)] + [("a", "grand south quay", "l", 6.0, 2)], kinds + ", n_units long")
+    alias = spark.createDataFrame([], "country_norm string, alias_norm string, section string, register_name string")
+    out = reconcile.merge_subnames(report, register, alias)
+    assert _joined_rows(spark, out) <= 4 * n  # by the common word alone they would be n * n
+    assert sorted((r.name_norm, r.register_name, r.survivor) for r in out.collect()) == [("grand", "grand south quay", "grand south"), ("grand south", "grand south quay", "grand south")]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_rows_take_units_in_turn_without_a_group_in_python(spark, seed):
+    pick = random.Random(seed)
+    pairs = [(f"m{m}", r, u, f"n{pick.randrange(4)}") for m in range(40) for r in range(5) for u in pick.sample(range(9), pick.randrange(4))]
+    want = []
+    for m in sorted({p[0] for p in pairs}):
+        used = set()
+        for r in range(5):
+            left = [p for p in sorted(p for p in pairs if p[:2] == (m, r)) if p[3] not in used]
+            if left:
+                used.add(left[0][3])
+                want.append((m, r, left[0][3]))
+    out = relational.taken_once(spark.createDataFrame(pairs, "match string, row long, unit_row long, unit_name string"))
+    assert sorted(tuple(x) for x in out.collect()) == want
+    rows = spark.createDataFrame([], "match string, row long, site string, trains string, capacity double")
+    units = spark.createDataFrame([], "match string, row long, unit_name string, status string, capacity double, total double")
+    assert "Pandas" not in reconcile.align_units(rows, units)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_checkpoint_leaves_no_shuffle_files(spark):
+    def files() -> int:
+        return sum(name.startswith("shuffle_") for _, _, names in os.walk(spark.conf.get("spark.local.dir")) for name in names)
+
+    before = files()
+    out = flat.checkpointed(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count())
+    assert out.count() == 7 and files() <= before
+    assert spark.conf.get(flat.SHORT_LIVED) == "false"
